@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _erf = np.vectorize(math.erf, otypes=[float])
 
@@ -15,7 +16,7 @@ def normal_cdf_value(x: float) -> float:
     return 0.5 * (1.0 + math.erf(x / math.sqrt(2.0)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_cdf(x: pd.Series) -> pd.Series:
     """Share of a standard normal population below ``x`` (null stays null)."""
     values = x.to_numpy(dtype=float)
@@ -76,14 +77,14 @@ def t_critical(level: float, df: float) -> float:
     return (low + high) / 2.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([
         None if pd.isna(a) or pd.isna(b) or b <= 0 else t_two_sided(float(a), float(b)) for a, b in zip(t, df)
     ], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_quantile(level: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([
         None if pd.isna(b) or b <= 0 else t_critical(float(a), float(b)) for a, b in zip(level, df)

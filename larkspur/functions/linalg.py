@@ -13,8 +13,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-FIT_SCHEMA = "coef array<double>, stderr array<double>, sse double, rank int"
+from pyspark.sql import types as T
+
+FIT_SCHEMA = T.StructType([
+    T.StructField("coef", T.ArrayType(T.DoubleType())),
+    T.StructField("stderr", T.ArrayType(T.DoubleType())),
+    T.StructField("sse", T.DoubleType()),
+    T.StructField("rank", T.IntegerType()),
+])
 
 
 def solve_normal_equations(gram: np.ndarray, moment: np.ndarray, yy: float, n: float, penalty: np.ndarray | None = None):

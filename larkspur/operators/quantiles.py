@@ -91,7 +91,8 @@ def exact_quantiles(
         F.min_by(F.struct("v"), F.when(F.col("_upto") > ceil, F.col("_upto"))).alias("_hi"),
     )
     lo, hi = F.col("_lo.v"), F.col("_hi.v")
-    value = lo + (hi - lo) * (F.col("_pos") - F.floor("_pos"))
+    share = F.col("_pos") - F.floor("_pos")
+    value = F.when(lo == hi, lo).otherwise(lo * (1 - share) + hi * share)
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
     return picked.select(
         *keys,

@@ -122,13 +122,14 @@ def brand_means(t):
 
 
 @query("A8", sql="""
-    SELECT l_returnflag, l_linestatus, median(l_extendedprice) AS l_extendedprice, median(l_quantity) AS l_quantity
+    SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 6) AS l_extendedprice, round(median(l_quantity), 6) AS l_quantity
     FROM (SELECT l_returnflag, l_linestatus, l_extendedprice,
                  CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS l_quantity FROM lineitem)
     WHERE l_quantity IS NOT NULL GROUP BY 1, 2""")
 def flag_status_medians(t):
     gaps = t.lineitem.withColumn("l_quantity", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")))
-    return ag.group_median(gaps, ["l_returnflag", "l_linestatus"], ["l_extendedprice", "l_quantity"])
+    medians = ag.group_median(gaps, ["l_returnflag", "l_linestatus"], ["l_extendedprice", "l_quantity"])
+    return co.round_columns(medians, 6)
 
 
 @query("A9", sql="""
@@ -179,12 +180,12 @@ def priority_status_table(t):
 
 
 @query("A14", sql="""
-    SELECT quantile_cont(l_extendedprice, 0.05) AS p05, quantile_cont(l_extendedprice, 0.25) AS q1,
-           quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3,
-           quantile_cont(l_extendedprice, 0.95) AS p95 FROM lineitem""")
+    SELECT round(quantile_cont(l_extendedprice, 0.05), 6) AS p05, round(quantile_cont(l_extendedprice, 0.25), 6) AS q1,
+           round(quantile_cont(l_extendedprice, 0.5), 6) AS median, round(quantile_cont(l_extendedprice, 0.75), 6) AS q3,
+           round(quantile_cont(l_extendedprice, 0.95), 6) AS p95 FROM lineitem""")
 def price_quantiles(t):
     names = {"p05": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95}
-    return ag.quantiles(t.lineitem, "l_extendedprice", names)
+    return co.round_columns(ag.quantiles(t.lineitem, "l_extendedprice", names), 6)
 
 
 # ---------------------------------------------------------------- columns
@@ -354,7 +355,7 @@ def orders_by_place(t):
 
 
 @query("F11", sql="""
-    WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
+    WITH q AS (SELECT round(quantile_cont(l_extendedprice, 0.25), 6) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem, q
     WHERE l_extendedprice >= q1 - 1.5 * (q3 - q1) AND l_extendedprice <= q3 + 1.5 * (q3 - q1)""")
 def prices_inside_fence(t):

@@ -81,6 +81,8 @@ def main() -> int:
     for name, q in CATALOG.items():
         if args.names and name not in args.names:
             continue
+        if args.module and not q.build.__module__.endswith(args.module):
+            continue
         start = time.time()
         try:
             if q.sql:
