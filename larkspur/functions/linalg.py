@@ -64,10 +64,21 @@ def grouped_ols(
     unit diagonal before it is solved.
     """
     used = df.dropna(subset=[target, *features, *by])
-    y = F.col(target).cast("double")
-    terms: list[Column] = ([F.lit(1.0)] if intercept else []) + [F.col(f).cast("double") for f in features]
+    return ols_of_terms(used, F.col(target), [F.col(f) for f in features], by, intercept)
+
+
+def ols_of_terms(
+    df: DataFrame, target: Column, features: Sequence[Column], by: Sequence[str] = (), intercept: bool = True
+) -> DataFrame:
+    """``grouped_ols`` on expressions without nulls.
+
+    The expressions go straight into the sums: as separate columns below a
+    filter, many of them make the optimizer's search for constraints slow.
+    """
+    y = target.cast("double")
+    terms: list[Column] = ([F.lit(1.0)] if intercept else []) + [f.cast("double") for f in features]
     pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
-    sums = used.groupBy(*by).agg(
+    sums = df.groupBy(*by).agg(
         F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_gram"),
         F.array(*[F.sum(t * y) for t in terms]).alias("_moment"),
         F.sum(y * y).alias("_yy"),

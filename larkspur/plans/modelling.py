@@ -15,6 +15,7 @@ from larkspur.operators import sampling as sa
 from larkspur.operators import stats as st
 from larkspur.operators.ranking import top_n
 from larkspur.plans.registry import query
+from larkspur.session import checkpointed
 
 PREDICTORS = ["l_extendedprice", "l_discount", "l_tax", "l_quantity"]
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -116,24 +117,28 @@ def boosted_scores(t):
 DOC_FEATURES = ["chars", "words", "lines", "digits", "mean_word"]
 
 
-def document_features(t):
-    """Features of whole texts next to their labels; the long texts are read once, the small label table is joined."""
+def document_features(docs):
+    """Numeric features of whole texts."""
     text = F.col("text")
     words = F.size(F.split(F.trim(text), r"\s+"))
-    docs = t.documents.select(
-        "doc_id", "lang",
+    return docs.select(
+        *[c for c in docs.columns if c != "text"],
         F.length(text).cast("double").alias("chars"),
         words.cast("double").alias("words"),
-        (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("double").alias("lines"),
-        F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("digits"),
+        (F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("double").alias("lines"),
+        (F.length(text) - F.length(F.translate(text, "0123456789", ""))).cast("double").alias("digits"),
         (F.length(text) / F.greatest(words, F.lit(1))).alias("mean_word"),
     )
-    return docs.join(t.labels, "doc_id", "left")
+
+
+def labelled_features(t):
+    """Features of the labelled documents; the join comes first, so only their texts are read word by word."""
+    return document_features(t.documents.select("doc_id", "lang", "text").join(t.labels, "doc_id"))
 
 
 @query("L4", "E13", "M6")
 def quality_logit_fit(t):
-    known = document_features(t).where("quality IS NOT NULL").select("quality", *[F.log1p(c).alias(c) for c in DOC_FEATURES[:3]])
+    known = labelled_features(t).select("quality", *[F.log1p(c).alias(c) for c in DOC_FEATURES[:3]])
     ready = fe.formula("quality ~ .").fit(known).transform(known).select("features", "label").persist()
     model = rg.logistic_glm().fit(ready)
     summary = model.summary
@@ -146,10 +151,10 @@ def quality_logit_fit(t):
 
 @query("L7", "L19", "L20", "A13")
 def quality_prospects(t):
-    features = document_features(t)
-    known = fe.assemble(features.where("quality IS NOT NULL"), DOC_FEATURES)
-    model = cl.forest_classifier(trees=20, depth=5, labelCol="quality").fit(known.select("features", "quality"))
-    fresh = fe.assemble(features.where("quality IS NULL"), DOC_FEATURES)
+    known = fe.assemble(labelled_features(t), DOC_FEATURES, invalid="error")
+    model = cl.forest_classifier(trees=20, depth=5, labelCol="quality").fit(checkpointed(known.select("features", "quality")))
+    unlabelled = t.documents.select("doc_id", "lang", "text").join(t.labels, "doc_id", "left_anti")
+    fresh = fe.assemble(document_features(unlabelled), DOC_FEATURES, invalid="error")
     scored = model.transform(fresh).select("doc_id", "lang", cl.class_probability().alias("p"))
     chosen = cl.likely(cl.best_prospects(scored, "p", ["doc_id"], 1000), "p", 0.65)
     return chosen.select("doc_id", "lang", F.round("p", 6).alias("p"), cl.cut(F.col("p")).alias("said"))
@@ -157,7 +162,7 @@ def quality_prospects(t):
 
 @query("L21")
 def quality_shuffle_importance(t):
-    known = document_features(t).where("quality IS NOT NULL")
+    known = checkpointed(labelled_features(t))
     ready = fe.assemble(known, DOC_FEATURES)
     model = cl.forest_classifier(trees=20, depth=5, labelCol="quality").fit(ready.select("features", "quality"))
     return cl.shuffle_importance(known, model, DOC_FEATURES, "quality", ["doc_id"])

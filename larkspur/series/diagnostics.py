@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.distributions import normal_cdf_value
-from larkspur.functions.linalg import grouped_ols, solve_normal_equations
+from larkspur.functions.linalg import ols_of_terms, solve_normal_equations
 from larkspur.operators.chartdata import histogram
 from larkspur.series.prep import ordered
 
@@ -153,7 +153,7 @@ def unit_root_test(
     if lag is None:
         terms = [F.lit(1.0), F.col("_level"), *[F.col(n) for n in names]]
         k = len(terms)
-        sums = lagged.dropna(subset=["_d", "_level", *names]).groupBy(*by).agg(
+        sums = lagged.where(F.col("_place") > most + 1).groupBy(*by).agg(
             F.array(*[F.sum(terms[i] * terms[j]) for i in range(k) for j in range(i, k)]).alias("_gram"),
             F.array(*[F.sum(t * F.col("_d")) for t in terms]).alias("_moment"),
             F.sum(F.col("_d") * F.col("_d")).alias("_yy"), F.count(F.lit(1)).alias("_n"),
@@ -166,10 +166,9 @@ def unit_root_test(
     else:
         rows = lagged.withColumn("lags", chosen.select("lags").scalar())
     # Refit on all rows the chosen lag allows; unused lags are zero columns.
-    usable = rows.where((F.col("_place") > F.col("lags") + 1) & F.col("_d").isNotNull()).select(
-        *by, "lags", "_d", "_level", *[F.when(F.lit(k) <= F.col("lags"), F.col(n)).otherwise(0.0).alias(n) for k, n in enumerate(names, 1)]
-    )
-    fit = grouped_ols(usable, "_d", ["_level", *names], [*by, "lags"])
+    masked = [F.when(F.lit(k) <= F.col("lags"), F.col(n)).otherwise(0.0) for k, n in enumerate(names, 1)]
+    usable = rows.where(F.col("_place") > F.col("lags") + 1)
+    fit = ols_of_terms(usable, F.col("_d"), [F.col("_level"), *masked], [*by, "lags"])
     statistic = F.col("coef")[1] / F.col("stderr")[1]
     out = fit.select(*by, statistic.alias("statistic"), "lags", F.col("n").alias("n_obs"))
     critical = [
