@@ -97,7 +97,7 @@ def cross_table(df: DataFrame, rows: str, columns: str, levels: Sequence) -> Dat
     ])
 
 
-def levels_of(df: DataFrame, column: str, limit: int = 1000) -> list:
+def levels_of(df: DataFrame, column: str, limit: int = 10_000) -> list:
     """Sorted distinct values for use as output columns; refuses an open-ended column."""
     found = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()]
     if len(found) > limit:

@@ -122,16 +122,12 @@ def density(df: DataFrame, column: str, points: int = 100) -> DataFrame:
         n.alias("n"), lo.alias("lo"), (hi - lo).alias("span"),
         (F.stddev_samp(column) * F.pow(n, F.lit(-0.2))).alias("h"),
     )).scalar()
-    step = 2 * shape["span"] / (points - 1)
-
-    def grid(k) -> Column:
-        return shape["lo"] - 0.5 * shape["span"] + k * step
-
-    spread = counted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
-    z = (F.col("x") - grid(F.col("k"))) / shape["h"]
-    sums = spread.groupBy("k").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
-    scale = shape["n"] * shape["h"] * F.sqrt(F.lit(2.0) * F.pi())
-    return sums.select("k", grid(F.col("k")).alias("x"), (F.col("s") / scale).alias("density"))
+    spread = counted.select("x", "w", shape.alias("s"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
+    at = F.col("s.lo") - 0.5 * F.col("s.span") + F.col("k") * (2 * F.col("s.span") / (points - 1))
+    z = (F.col("x") - F.col("at")) / F.col("s.h")
+    scale = F.col("s.n") * F.col("s.h") * F.sqrt(F.lit(2.0) * F.pi())
+    parts = spread.withColumn("at", at).select("k", "at", (F.col("w") * F.exp(-0.5 * z * z) / scale).alias("part"))
+    return parts.groupBy("k").agg(F.first("at").alias("x"), F.sum("part").alias("density"))
 
 
 def value_per_region(df: DataFrame, region: str, value: str) -> DataFrame:

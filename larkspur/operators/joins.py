@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 100_000
+
 
 def lookup_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: Sequence[str]
@@ -54,7 +56,8 @@ def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None
 def semi_join_top(df: DataFrame, key: str, score, n: int) -> DataFrame:
     """Rows whose key is among the n highest-scoring keys; ``score`` is an aggregate column.
 
-    The n keys are the only thing broadcast.
+    The n keys are broadcast while n keeps them small.
     """
     best = df.groupBy(key).agg(score.alias("_score")).orderBy(F.col("_score").desc(), F.col(key).asc()).limit(n)
-    return df.join(F.broadcast(best.select(key)), key, "left_semi")
+    keys = best.select(key)
+    return df.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, key, "left_semi")

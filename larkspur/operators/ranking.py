@@ -63,17 +63,19 @@ def top_n(df: DataFrame, column: str, n: int, tie_break: Sequence[str], largest:
 
 
 def first_rows_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int, spread: Sequence[str], salts: int = 64
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int, spread: Sequence[str], salts: int = 256
 ) -> DataFrame:
-    """The first n rows of each group.
+    """The first n rows of each group, as a tournament, so that no task sorts a whole hot group.
 
-    Each group is first cut into ``salts`` slices on a hash of ``spread``; a row
-    that is not among the first n of its slice cannot be among the first n of
-    its group, so at most ``n * salts`` rows per group reach the second step.
+    A row outside the first n of any part of its group is outside the first n
+    of the group. The parts are the input partitions, then ``salts`` slices on a
+    hash of ``spread``, then the group. Up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark also prunes before
+    each shuffle.
     """
     slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts))
-    sliced = df.withColumn("_slice", slice_of)
-    near = W.partitionBy(*by, "_slice").orderBy(*order)
-    kept = sliced.withColumn("_rn", F.row_number().over(near)).where(F.col("_rn") <= n)
-    full = W.partitionBy(*by).orderBy(*order)
-    return kept.withColumn("_rn", F.row_number().over(full)).where(F.col("_rn") <= n).drop("_rn", "_slice")
+    kept = df.withColumns({"_part": F.spark_partition_id(), "_slice": slice_of})
+    for part in (["_part"], ["_slice"], []):
+        within = W.partitionBy(*by, *part).orderBy(*order)
+        kept = kept.withColumn("_rn", F.row_number().over(within)).where(F.col("_rn") <= n).drop("_rn")
+    return kept.drop("_part", "_slice")

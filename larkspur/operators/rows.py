@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.quantiles import quantile_table
+from larkspur.operators.ranking import number_rows
+
+# Up to here one task may hold the first rows of an order.
+TOP_ROWS = 1_000_000
 
 
 def keep_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -60,18 +64,29 @@ def any_null(columns: Sequence[str]) -> Column:
 
 
 def slice_rows(df: DataFrame, order: Sequence[Column | str], start: int, stop: int) -> DataFrame:
-    """Rows ``start`` (inclusive, 0-based) to ``stop`` of the ordered table; costs a top-``stop``."""
-    return df.orderBy(*order).offset(start).limit(stop - start)
+    """Rows ``start`` (inclusive, 0-based) to ``stop`` of the ordered table.
+
+    Near the front a top-``stop`` finds them; further in, the rows are numbered.
+    """
+    if stop <= TOP_ROWS:
+        return df.orderBy(*order).offset(start).limit(stop - start)
+    return number_rows(df, order, name="_place").where(F.col("_place").between(start + 1, stop)).drop("_place")
 
 
 def drop_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """All but the first n rows in a unique order: a top-n finds the boundary, the rest is a filter."""
+    if n > TOP_ROWS:
+        return number_rows(df, order, name="_place").where(F.col("_place") > n).drop("_place")
     place = F.struct(*[F.col(c) for c in order])
     boundary = df.select(*order).orderBy(*order).limit(n).agg(F.max(place)).scalar()
     return df.where(boundary.isNull() | (place > boundary))
 
 
 def drop_last(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """All but the last n rows in a unique order."""
+    if n > TOP_ROWS:
+        rows = df.count()
+        return number_rows(df, order, name="_place").where(F.col("_place") <= rows - n).drop("_place")
     place = F.struct(*[F.col(c) for c in order])
     tail = df.select(*order).orderBy(*[F.col(c).desc() for c in order]).limit(n)
     boundary = tail.agg(F.min(place)).scalar()

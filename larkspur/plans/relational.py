@@ -16,16 +16,15 @@ from larkspur.plans.registry import query
 # ---------------------------------------------------------------- grouping
 
 
-def customer_orders(t):
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-
-
 def sales(t):
     """Line items with part, order date and region of the customer."""
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     placed = lines.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return placed.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return placed.join(nation_regions(t), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def nation_regions(t):
+    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 @query("A1", "O3", "C5", "C10", sql="""
@@ -33,10 +32,10 @@ def sales(t):
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name ORDER BY amount DESC, n_name LIMIT 5""")
 def top_nations_by_amount(t):
-    # Sum per nation key before the nation names are joined: 25 rows meet the dimension, not the orders.
-    totals = ag.group_sum(
-        customer_orders(t).select("c_nationkey", "o_totalprice"), ["c_nationkey"], ["o_totalprice"]
-    )
+    # Sums travel up the keys: one row per customer meets the customers, one row per nation key the nations.
+    per_customer = ag.group_sum(t.orders.select("o_custkey", "o_totalprice"), ["o_custkey"])
+    placed = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    totals = ag.group_sum(placed, ["c_nationkey"], ["o_totalprice"])
     named = totals.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     amounts = named.select("n_name", F.round("o_totalprice", 2).alias("amount"))
     return top_n(amounts, "amount", 5, ["n_name"])
@@ -168,7 +167,15 @@ def measures_per_ship_day(t):
 def quarter_region_subtotals(t):
     from larkspur.functions.dates import quarter_label
 
-    keyed = sales(t).select(quarter_label(F.col("o_orderdate")).alias("quarter"), "r_name", "l_extendedprice")
+    # Pre-aggregated before each join, so a hot order or customer arrives there as a few rows.
+    per_order = ag.group_sum(t.lineitem.select("l_orderkey", "l_extendedprice"), ["l_orderkey"], ["l_extendedprice"])
+    dated = per_order.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_custkey", quarter_label(F.col("o_orderdate")).alias("quarter"), "l_extendedprice"
+    )
+    per_customer = ag.group_sum(dated, ["o_custkey", "quarter"], ["l_extendedprice"])
+    placed = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    per_nation = ag.group_sum(placed, ["c_nationkey", "quarter"], ["l_extendedprice"])
+    keyed = per_nation.join(nation_regions(t), F.col("c_nationkey") == F.col("n_nationkey"))
     return co.round_columns(ag.subtotals(keyed, "quarter", "r_name", sales=F.col("l_extendedprice")), 2)
 
 
