@@ -9,7 +9,10 @@ from larkspur.operators import calendar as ca
 from larkspur.plans.registry import query
 
 SUNDAY = "CAST(o_orderdate AS DATE) + CAST(7 - isodow(o_orderdate) AS INTEGER)"
-WEEKLY_SQL = f"""(SELECT {SUNDAY} AS ds, round(sum(o_totalprice), 2) AS y FROM orders GROUP BY 1)"""
+# Weekly order amounts on a dense calendar: a week without orders counts as 0.
+WEEKLY_SQL = f"""(WITH g AS (SELECT {SUNDAY} AS ds, round(sum(o_totalprice), 2) AS y FROM orders GROUP BY 1),
+    w AS (SELECT CAST(unnest(generate_series(min(ds), max(ds), INTERVAL 7 DAY)) AS DATE) AS ds FROM g)
+    SELECT ds, coalesce(y, 0) AS y FROM w LEFT JOIN g USING (ds))"""
 
 
 @query("D11", sql=f"""

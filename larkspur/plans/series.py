@@ -85,8 +85,10 @@ def weekly_walk_watson(t):
     return co.round_columns(dg.durbin_watson(ar.seasonal_walk(weekly_orders(t), 52)), 6)
 
 
-PAIRED_SQL = f"""(SELECT ds, y, x FROM {WEEKLY_SQL} LEFT JOIN
-    (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) - 1 AS ds, round(sum(l_extendedprice), 2) AS x FROM lineitem GROUP BY 1) USING (ds))"""
+PAIRED_SQL = f"""(WITH g AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) - 1 AS ds, round(sum(l_extendedprice), 2) AS x
+      FROM lineitem GROUP BY 1),
+    w AS (SELECT CAST(unnest(generate_series(min(ds), max(ds), INTERVAL 7 DAY)) AS DATE) AS ds FROM g)
+    SELECT o.ds, o.y, s.x FROM {WEEKLY_SQL} o LEFT JOIN (SELECT ds, coalesce(x, 0) AS x FROM w LEFT JOIN g USING (ds)) s ON o.ds = s.ds)"""
 
 
 def paired_weeks(t):
