@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import month_end, month_start, week_ending_sunday, week_starting_monday
 
-_STEPS = {"week_sunday": "interval 7 days", "week_monday": "interval 7 days", "day": "interval 1 day"}
+_STEP_DAYS = {"week_sunday": 7, "week_monday": 7, "day": 1}
 _LABELS = {
     "week_sunday": week_ending_sunday,
     "week_monday": week_starting_monday,
@@ -26,15 +27,24 @@ def period_label(col: Column, period: str) -> Column:
     return _LABELS[period](col)
 
 
-def dense_periods(binned: DataFrame, label: str, period: str, by: Sequence[str] = ()) -> DataFrame:
-    """Every period between each key's first and last one."""
-    span = binned.groupBy(*by).agg(F.min(label).alias("_first"), F.max(label).alias("_last"))
+def dense(grouped: DataFrame, label: str, period: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add the missing periods between each key's first and last one, with nulls in the other columns.
+
+    ``grouped`` has one row per key and period. Every row fills the gap up to
+    its successor, so the source is read once and nothing is joined.
+    """
+    after = F.lead(label).over(W.partitionBy(*by).orderBy(label))
     if period == "month":
-        months = F.sequence(month_start(F.col("_first")), month_start(F.col("_last")), F.expr("interval 1 month"))
-        every = F.transform(months, lambda m: F.last_day(m))
+        until = F.add_months(month_start(F.col("_next")), -1)
+        gap = F.transform(F.sequence(month_start(F.col(label)), until, F.expr("interval 1 month")), lambda m: F.last_day(m))
     else:
-        every = F.sequence("_first", "_last", F.expr(_STEPS[period]))
-    return span.where(F.col("_first").isNotNull()).select(*by, F.explode(every).alias(label))
+        step = _STEP_DAYS[period]
+        gap = F.sequence(F.col(label), F.date_sub("_next", step), F.expr(f"interval {step} days"))
+    slots = F.when(F.col("_next").isNull(), F.array(label)).otherwise(gap)
+    spread = grouped.withColumn("_next", after).withColumn("_slot", F.explode(slots))
+    real = F.col("_slot") == F.col(label)
+    others = [c for c in grouped.columns if c not in (*by, label)]
+    return spread.select(*by, F.col("_slot").alias(label), *[F.when(real, F.col(c)).alias(c) for c in others])
 
 
 def resample(
@@ -51,8 +61,7 @@ def resample(
     grouped = binned.groupBy(*by, label).agg(
         *[F.sum(c).alias(f"sum_{c}") for c in sums], *[F.avg(c).alias(f"mean_{c}") for c in means]
     )
-    dense = dense_periods(grouped.select(*by, label), label, period, by)
-    return dense.join(grouped, [*by, label], "left").select(
+    return dense(grouped, label, period, by).select(
         *by,
         label,
         *[F.coalesce(F.col(f"sum_{c}"), F.lit(0)).alias(f"sum_{c}") for c in sums],
@@ -61,8 +70,15 @@ def resample(
 
 
 def extend(df: DataFrame, ds: str, n: int, step_days: int = 1, by: Sequence[str] = ()) -> DataFrame:
-    """Append n future dates per key; the other columns are null there."""
-    last = df.groupBy(*by).agg(F.max(ds).alias("_last"))
-    steps = F.sequence(F.lit(1), F.lit(n))
-    future = last.select(*by, F.explode(F.transform(steps, lambda k: F.date_add(F.col("_last"), (k * step_days).cast("int")))).alias(ds))
-    return df.unionByName(future, allowMissingColumns=True)
+    """Append n future dates per key; the other columns are null there.
+
+    The last row of a series spawns the future ones, so the source is read once.
+    """
+    is_last = F.lead(ds).over(W.partitionBy(*by).orderBy(ds)).isNull()
+    ahead = F.when(F.col("_last"), F.sequence(F.lit(0), F.lit(n))).otherwise(F.array(F.lit(0)))
+    spread = df.withColumn("_last", is_last).withColumn("_ahead", F.explode(ahead))
+    moved = F.date_add(ds, (F.col("_ahead") * step_days).cast("int"))
+    return spread.select(*[
+        F.col(c) if c in by else moved.alias(c) if c == ds else F.when(F.col("_ahead") == 0, F.col(c)).alias(c)
+        for c in df.columns
+    ])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.dates import drop_zone, to_day
 from larkspur.operators.calendar import resample
+from larkspur.session import checkpointed
 
 
 def prepare(df: DataFrame, date: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -19,10 +20,13 @@ def prepare(df: DataFrame, date: str, value: str, by: Sequence[str] = ()) -> Dat
 
 
 def regular(df: DataFrame, date: str, value: str, period: str, by: Sequence[str] = (), how: str = "sum") -> DataFrame:
-    """(key..., ds, y) on a dense calendar."""
+    """(key..., ds, y) on a dense calendar.
+
+    Checkpointed: the models read a series several times, the raw rows should be read once.
+    """
     args = {"sums": [value]} if how == "sum" else {"means": [value]}
     out = resample(df, date, period, by=by, label="ds", **args)
-    return out.select(*by, "ds", F.col(f"{how}_{value}").cast("double").alias("y"))
+    return checkpointed(out.select(*by, "ds", F.col(f"{how}_{value}").cast("double").alias("y")))
 
 
 def ordered(by: Sequence[str] = (), ds: str = "ds"):
