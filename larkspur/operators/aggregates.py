@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from larkspur.operators.columns import numeric_names
 from larkspur.operators.quantiles import exact_quantiles, quantile_table
 
+PAIRWISE_COLUMNS = 12
+
 
 def _with_keys(df: DataFrame, keys: Sequence[str], drop_null_keys: bool) -> DataFrame:
     """Without null keys if asked; written as IS NOT NULL, which reaches the file scan."""
@@ -117,19 +119,28 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
-    """Long matrix ``(i, j, var1, var2, corr)`` over complete rows, from one pass over vectors.
+    """Long matrix ``(i, j, var1, var2, corr)`` over complete rows, from one pass.
 
-    Only the k x k matrix comes to the driver.
+    A few columns are one aggregate of pairwise correlations and stay lazy; many
+    go through one pass over vectors, of which only the k x k matrix comes to
+    the driver.
     """
     names = list(columns or numeric_names(df))
     complete = df.select(*[F.col(n).cast("double").alias(n) for n in names]).dropna()
-    vectors = VectorAssembler(inputCols=names, outputCol="_vector").transform(complete).select("_vector")
-    matrix = Correlation.corr(vectors, "_vector").first()[0].toArray()
-    cells = [
-        (i, j, a, b, round(float(matrix[i, j]), digits) if digits is not None else float(matrix[i, j]))
-        for i, a in enumerate(names) for j, b in enumerate(names)
-    ]
-    return df.sparkSession.createDataFrame(cells, "i int, j int, var1 string, var2 string, corr double")
+    if len(names) <= PAIRWISE_COLUMNS:
+        cells = [
+            F.struct(
+                F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("var1"), F.lit(b).alias("var2"),
+                (F.lit(1.0) if i == j else F.corr(names[min(i, j)], names[max(i, j)])).alias("corr"),
+            ) for i, a in enumerate(names) for j, b in enumerate(names)
+        ]
+        matrix = complete.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
+    else:
+        vectors = VectorAssembler(inputCols=names, outputCol="_vector").transform(complete).select("_vector")
+        found = Correlation.corr(vectors, "_vector").first()[0].toArray()
+        rows = [(i, j, a, b, float(found[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+        matrix = df.sparkSession.createDataFrame(rows, "i int, j int, var1 string, var2 string, corr double")
+    return matrix if digits is None else matrix.withColumn("corr", F.round("corr", digits))
 
 
 def triangle(matrix: DataFrame, upper: bool = True, diagonal: bool = True) -> DataFrame:

@@ -266,12 +266,15 @@ def test_subtotals_tell_null_regions_apart(spark):
     ]
 
 
-def test_correlation_matrix_skips_incomplete_rows(spark):
+@pytest.mark.parametrize("pairwise", [12, 0])
+def test_correlation_matrix_skips_incomplete_rows(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(aggregates, "PAIRWISE_COLUMNS", pairwise)
     data = [(float(i), float(2 * i), float(-i % 3)) for i in range(10)] + [(None, 1.0, 1.0)]
     df = spark.createDataFrame(data, "a double, b double, c double")
     matrix = aggregates.correlation_matrix(df, digits=6)
     pairs = [tuple(r) for r in aggregates.strongest_pairs(matrix, 1).collect()]
     assert pairs == [("a", "b", 1.0)]
+    assert matrix.count() == 9 and {r.corr for r in matrix.where("i = j").collect()} == {1.0}
 
 
 def test_histogram_maximum_and_flat_column(spark):
