@@ -14,6 +14,11 @@ WEEKLY_SQL = f"""(WITH g AS (SELECT {SUNDAY} AS ds, round(sum(o_totalprice), 2)
     w AS (SELECT CAST(unnest(generate_series(min(ds), max(ds), INTERVAL 7 DAY)) AS DATE) AS ds FROM g)
     SELECT ds, coalesce(y, 0) AS y FROM w LEFT JOIN g USING (ds))"""
 
+# The same per priority.
+WEEKLY_BY_SQL = f"""(WITH g AS (SELECT o_orderpriority, {SUNDAY} AS ds, round(sum(o_totalprice), 2) AS y FROM orders GROUP BY 1, 2),
+    w AS (SELECT o_orderpriority, CAST(unnest(generate_series(min(ds), max(ds), INTERVAL 7 DAY)) AS DATE) AS ds FROM g GROUP BY 1)
+    SELECT o_orderpriority, ds, coalesce(y, 0) AS y FROM w LEFT JOIN g USING (o_orderpriority, ds))"""
+
 
 @query("D11", sql=f"""
     WITH b AS (SELECT {SUNDAY} AS week, o_totalprice FROM orders WHERE o_totalprice > 495000),

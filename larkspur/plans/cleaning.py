@@ -177,6 +177,22 @@ def gaps_from_regressions(t):
     return co.round_columns(filled, 4, ["l_quantity", "l_extendedprice"])
 
 
+@query("N6", sql="""
+    WITH g AS (SELECT l_orderkey, l_linenumber, l_quantity AS x1, l_discount AS x2, CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice END AS y
+               FROM lineitem),
+    m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, covar_pop(x1, x1) AS s11, covar_pop(x1, x2) AS s12, covar_pop(x2, x2) AS s22,
+      covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y FROM g WHERE y IS NOT NULL),
+    b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m)
+    SELECT l_orderkey, l_linenumber, round(coalesce(y, my + b1 * (x1 - m1) + b2 * (x2 - m2)), 3) AS l_extendedprice FROM g, b""")
+def prices_from_two_predictors(t):
+    gaps = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_extendedprice")).alias("l_extendedprice"),
+    )
+    filled = rp.fill_by_regression(gaps, ["l_extendedprice"], ["l_quantity", "l_discount"])
+    return co.round_columns(filled.drop("l_quantity", "l_discount"), 3, ["l_extendedprice"])
+
+
 @query("N7", sql="""
     WITH g AS (SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice END AS y FROM lineitem),
     f AS (SELECT regr_slope(y, l_quantity) AS b, regr_intercept(y, l_quantity) AS a FROM g)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.dates import iso_text
 from larkspur.operators import calendar as ca
 from larkspur.operators import columns as co
+from larkspur.plans.calendar import WEEKLY_BY_SQL
 from larkspur.plans.registry import query
 from larkspur.plans.series import paired_weeks, weekly_by_priority, weekly_orders
 from larkspur.series import arima as ar
@@ -41,7 +42,24 @@ def seasonal_arima_forecast(t):
     return _dated(co.round_columns(ar.forecast(ar.fit(weekly_by_priority(t), order, BY), 53, 7), 2))
 
 
-@query("Y7", "Y10")
+@query("Y5", "Y19", sql=f"""
+    WITH d AS (SELECT o_orderpriority, ds, y - lag(y) OVER (PARTITION BY o_orderpriority ORDER BY ds) AS w FROM {WEEKLY_BY_SQL}),
+    l AS (SELECT o_orderpriority, w, lag(w) OVER (PARTITION BY o_orderpriority ORDER BY ds) AS x FROM d),
+    f AS (SELECT o_orderpriority, sum(w * x) / sum(x * x) AS b, sum(x * x) AS xx, sum(w * w) AS ww, sum(w * x) AS wx, count(*) AS n
+          FROM l WHERE w IS NOT NULL AND x IS NOT NULL GROUP BY 1)
+    SELECT o_orderpriority, 'ar_1' AS term, round(b, 6) AS estimate, round(sqrt((ww - b * wx) / (n - 1) / xx), 6) AS stderr FROM f""")
+def first_order_coefficients(t):
+    model = ar.fit(weekly_by_priority(t), ar.Order(1, 1, 0), BY)
+    return co.round_columns(model.interval_table().select(*BY, "term", "estimate", "stderr"), 6)
+
+
+@query("Y7", "Y10", sql=f"""
+    WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY ds DESC) - 1 AS back FROM {WEEKLY_BY_SQL}),
+    e AS (SELECT o_orderpriority, max(ds) AS last, max(y) FILTER (back = 0) AS y0, max(y) FILTER (back = 51) AS y51,
+            max(y) FILTER (back = 52) AS y52 FROM n GROUP BY 1)
+    SELECT o_orderpriority, (last + CAST(7 * (52 - back) AS INTEGER))::VARCHAR AS ds, round(y + y0 - y52, 2) AS yhat
+    FROM n JOIN e USING (o_orderpriority) WHERE back BETWEEN 0 AND 51
+    UNION ALL SELECT o_orderpriority, (last + 371)::VARCHAR, round(y51 + 2 * (y0 - y52), 2) FROM e""")
 def seasonal_walk_outlook(t):
     return _dated(co.round_columns(ar.seasonal_walk_forecast(weekly_by_priority(t), 52, 53, 7, BY), 2))
 
