@@ -394,7 +394,7 @@ def nations_by_balance_size(t):
 
 
 @query("J1", sql="""
-    SELECT c_custkey, c_name, n_name, n_regionkey FROM customer
+    SELECT c_custkey, c_name, n_name, CAST(n_regionkey AS DOUBLE) AS n_regionkey FROM customer
     LEFT JOIN (SELECT * FROM nation WHERE n_nationkey > 3) ON c_nationkey = n_nationkey""")
 def customers_with_nation(t):
     known = t.nation.where("n_nationkey > 3")
