@@ -1,65 +1,78 @@
 """Operator 6, quality rules: divergence from what a language usually looks like.
 
-A document is described by two histograms: its characters by class and its most
-common short words. Each is compared with the reference of the document's
+A document is described by two histograms: its characters by class and its counts
+of the common words of its language. Each is compared with the reference of that
 language by Jensen-Shannon distance (square root of the divergence in bits, 0 to
-1). References are the sums over all documents of a language, so they are a few
-numbers per language however large the corpus is. Only DataFrame functions.
+1). A reference is the sum over all documents of the language that pass the base
+rule, so it is a few numbers however large the corpus is. Only DataFrame functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import GAP, cut, let, llm_query, table, words_of
 
 #: The character classes, each as what is removed from the text in this order; the rest is the last class.
 CLASSES = ["\\p{Ll}+", GAP + "+", "\\p{Lu}+", "[0-9]+", "[.,;:!?'\"()-]+"]
-#: Characters counted as symbols.
+#: Characters counted as symbols; none belongs to one of the first four classes.
 SYMBOLS = "#*$%&|<>"
+#: Common words by language.
+COMMON_WORDS: Mapping[str, str] = {
+    "en": "the of and to in a is that for it was on with as be at by this are from or an",
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es",
+    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne",
+    "es": "de la que el en y a los se del las un por con no una su para es al lo como",
+}
+#: The row of references that stands for every language without one of its own.
+POOLED = "*"
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Thresholds; a test abstains below its minimum length."""
+    """Thresholds; a distance test abstains below its minimum length."""
 
     min_words: int = 10
     max_repeat_percent: int = 20
     min_class_chars: int = 200
-    max_class_distance: float = 0.25
-    min_common_words: int = 60
-    max_word_distance: float = 0.55
-    top_words: int = 16
-    max_letters: int = 5
+    max_class_distance: float = 0.33
+    min_common_words: int = 100
+    max_word_distance: float = 0.315
     min_reference_words: int = 2000
-    broadcast_rows: int = 1000
 
 
 LIMITS = Limits()
-POOLED = "*"
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _classes and _words.
 
     ``docs`` needs ``text``; null and empty texts count nothing. Columns of these
     names that are already there are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    symbols = F.regexp_replace(text, "[^" + SYMBOLS + "]+", "")
-    return docs.withColumns({
-        "n_symbols": F.length(symbols).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, GAP + "+", "")).cast("long"),
+    df = docs.withColumns({
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "_words": words_of(F.col("text")),
-    }).withColumns({
+        "_t0": F.length(text), "_r": text,
+    })
+    for k, pattern in enumerate(CLASSES, 1):
+        if k == len(CLASSES):
+            df = df.withColumn("n_symbols", (F.length("_r") - F.length(F.translate("_r", SYMBOLS, ""))).cast("long"))
+        df = df.withColumn("_r", F.regexp_replace("_r", pattern, "")).withColumn(f"_t{k}", F.length("_r"))
+    n = [F.col(f"_t{k}") for k in range(len(CLASSES) + 1)]
+    counts = [(a - b).cast("double") for a, b in zip(n, n[1:])] + [n[-1].cast("double")]
+    return df.withColumns({
+        "_classes": F.array(*counts),
+        "word_chars": (n[0] - (n[1] - n[2])).cast("long"),
         "n_words": F.size("_words").cast("long"),
-        "n_repeat_words": let(_windows(F.col("_words")), _covered).cast("long"),
-    }).drop("_words")
+        "n_repeat_words": let(_windows(F.col("_words")), lambda w: _covered(w)).cast("long"),
+    }).drop("_r", *[f"_t{k}" for k in range(len(CLASSES) + 1)])
 
 
 def _windows(words: Column, width: int = 5) -> Column:
@@ -89,56 +102,47 @@ def _covered(windows: Column, width: int = 5) -> Column:
     return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(let(placed, repeated), union_length)).otherwise(0)
 
 
-def _plain(text: Column) -> Column:
-    """Lower-case words of letters with one blank between them."""
-    return F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}]+", " "))
+def profiles(docs: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits: Limits = LIMITS) -> DataFrame:
+    """``base_counts`` with base_failed, _lang (the language, or ``*``) and _hits: how often
+    each common word of the language occurs, then all other words. One pass over the texts."""
+    dictionary = {lang: words.split() for lang, words in common.items()}
+    known = sorted({w for words in dictionary.values() for w in words})
+    df = base_counts(docs).withColumn("_found", F.filter("_words", lambda w: w.isin(known))).drop("_words")
+    found = F.col("_found")
+    hits = F.array().cast("array<double>")
+    for lang, words in dictionary.items():
+        each = let(found, lambda f, words=words: F.transform(
+            F.array(*[F.lit(w) for w in words]), lambda w: F.size(F.filter(f, lambda x: x == w)).cast("double")))
+        hits = F.when(F.col("lang") == lang, each).otherwise(hits)
+    return df.withColumns({
+        "_lang": F.when(F.col("lang").isin(list(dictionary)), F.col("lang")).otherwise(POOLED),
+        "_hits": let(hits, lambda h: F.concat(h, F.array(F.col("n_words") - F.aggregate(h, F.lit(0.0), lambda a, x: a + x)))),
+        "base_failed": (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")),
+    }).drop("_found")
 
 
-def histograms(docs: DataFrame) -> DataFrame:
-    """Add _classes (counts by character class), _plain and _n_plain."""
-    df = docs.withColumn("_t0", F.coalesce(F.col("text"), F.lit("")))
-    for k, pattern in enumerate(CLASSES, 1):
-        df = df.withColumn(f"_t{k}", F.regexp_replace(f"_t{k - 1}", pattern, ""))
-    n = [F.length(f"_t{k}") for k in range(len(CLASSES) + 1)]
-    counts = [(n[k] - n[k + 1]).cast("double") for k in range(len(CLASSES))] + [n[-1].cast("double")]
-    df = df.withColumns({"_classes": F.array(*counts), "_plain": _plain(F.col("_t0"))})
-    df = df.withColumn("_n_plain", F.when(F.col("_plain") == "", 0).otherwise(
-        F.length("_plain") - F.length(F.replace("_plain", F.lit(" "), F.lit(""))) + 1).cast("double"))
-    return df.drop(*[f"_t{k}" for k in range(len(CLASSES) + 1)])
-
-
-def references(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """A row per language (null lang: none) and one pooled row ``*``.
-
-    Columns: lang, class_ref array<double>, words array<string>, word_ref
-    array<double> (shares of ``words``, then of all other words). Sums over all
-    documents; languages with fewer than ``min_reference_words`` words are left to
-    the pooled row.
+def references(profiled: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits: Limits = LIMITS) -> DataFrame:
+    """Shares by language (_ref) from ``profiles``: class_ref and word_ref, array<double>.
+
+    Summed over all documents that pass the base rule; the row ``*`` pools all
+    languages and has no words. Languages with fewer than ``min_reference_words``
+    words have no row. At most one row per language of ``common``, and one.
     """
-    df = histograms(docs.select("text", "lang")).withColumn("lang", F.coalesce("lang", F.lit("")))
-    k = len(CLASSES) + 1
-    sums = df.groupBy("lang").agg(F.sum("_n_plain").alias("n"), *[F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(k)])
-    pooled = sums.agg(*[F.sum(c).alias(c) for c in sums.columns[1:]]).select(F.lit(POOLED).alias("lang"), *sums.columns[1:])
-    sums = sums.where((F.col("lang") != "") & (F.col("lang") != POOLED)).unionByName(pooled)
+    k, m = len(CLASSES) + 1, max((len(w.split()) for w in common.values()), default=0) + 1
+    sums = profiled.where("NOT base_failed").groupBy("_lang").agg(
+        F.sum("n_words").alias("n"), *[F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(k)],
+        *[F.sum(F.coalesce(F.get("_hits", F.lit(i)), F.lit(0.0))).alias(f"w{i}") for i in range(m)])
+    names = sums.columns[1:]
+    pooled = sums.agg(*[F.sum(c).alias(c) for c in names]).select(F.lit(POOLED).alias("_lang"), *names)
+    both = sums.where(F.col("_lang") != POOLED).where(F.col("n") >= limits.min_reference_words).unionByName(pooled)
     total = sum((F.col(f"c{i}") for i in range(1, k)), F.col("c0"))
-    sums = sums.select("lang", "n", F.array(*[F.try_divide(F.col(f"c{i}"), total) for i in range(k)]).alias("class_ref"))
-    short = df.select("lang", F.explode(F.filter(F.split("_plain", " "), lambda w: F.length(w).between(1, limits.max_letters))).alias("w"))
-    counts = short.groupBy("lang", "w").count()
-    counts = counts.where((F.col("lang") != "") & (F.col("lang") != POOLED)).unionByName(
-        counts.groupBy("w").agg(F.sum("count").alias("count")).select(F.lit(POOLED).alias("lang"), "w", "count"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "w"))
-    top = counts.withColumn("place", place).where(F.col("place") <= limits.top_words).groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("place", "w", "count"))).alias("top"))
-    none = F.array().cast("array<struct<place:int,w:string,count:bigint>>")
-    both = sums.join(top, "lang", "left").withColumn("top", F.coalesce("top", none))
-    both = both.where((F.col("lang") == POOLED) | (F.col("n") >= limits.min_reference_words))
-    shares = F.transform("top", lambda t: F.try_divide(t["count"].cast("double"), F.col("n")))
-    rest = F.lit(1.0) - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
-    return both.select("lang", "class_ref", F.transform("top", lambda t: t["w"]).alias("words"), F.concat(shares, F.array(rest)).alias("word_ref"))
+    return both.select(
+        F.col("_lang").alias("_ref"), F.array(*[F.try_divide(F.col(f"c{i}"), total) for i in range(k)]).alias("class_ref"),
+        F.array(*[F.try_divide(F.col(f"w{i}"), F.col("n")) for i in range(m)]).alias("word_ref"))
 
 
 def distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of a histogram of counts from shares."""
+    """Jensen-Shannon distance of a histogram of counts from shares of the same length."""
 
     def term(p: Column, m: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
@@ -150,84 +154,82 @@ def distance(counts: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
 
 
-def quality_rules(docs: DataFrame, refs: DataFrame | None = None, limits: Limits = LIMITS) -> DataFrame:
-    """Judge every document: base counts, both distances, base_failed and kept.
+def quality_rules(docs: DataFrame, key: str = "doc_id", common: Mapping[str, str] = COMMON_WORDS, limits: Limits = LIMITS) -> DataFrame:
+    """Judge every document: key, base counts, base_failed, both distances and kept.
 
-    ``docs`` needs text and lang; other columns are kept (columns with the names
-    added here are replaced). ``refs``: see ``references``; learned from ``docs``
-    if not given. A document whose language has no reference is held against the
-    pooled one. Null and empty texts fail the base rule, as they have no words.
-    Repeated rows are judged alike. With an empty table the result is empty.
+    ``docs`` needs ``key``, text and lang; other columns are not read. A document
+    whose language has no reference (null, unlisted or too rare) is held against
+    the pooled characters only. Null and empty texts fail the base rule, as they
+    have no words. Repeated rows are judged alike, one row for each. An empty
+    table gives an empty result.
+
+    The texts are read once: what is kept of each is a row of numbers, written to
+    the shared folder, from which references and distances are made.
     """
-    refs = cut(references(docs, limits) if refs is None else refs)
-    renamed = refs.select(F.col("lang").alias("_lang"), F.col("class_ref").alias("_class_ref"), F.col("words").alias("_dict"), F.col("word_ref").alias("_word_ref"))
-    langs = [r["_lang"] for r in renamed.select("_lang").limit(limits.broadcast_rows + 1).collect()]
-    small = len(langs) <= limits.broadcast_rows
-    known = renamed.select("_lang").withColumnRenamed("_lang", "_known")
-    df = histograms(base_counts(docs))
-    if small:
-        key = F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(POOLED)
-        df = df.withColumn("_lang", key).join(F.broadcast(renamed), "_lang", "left")
-    else:
-        df = df.join(known, F.col("lang") == F.col("_known"), "left").withColumn("_lang", F.coalesce("_known", F.lit(POOLED))).drop("_known")
-        df = df.join(renamed, "_lang", "left")
-    spaced = F.concat(F.lit(" "), F.replace("_plain", F.lit(" "), F.lit("  ")), F.lit(" "))
-    hits = let(spaced, lambda s: F.transform("_dict", lambda w: let(F.concat(F.lit(" "), w, F.lit(" ")), lambda x: (
-        F.length(s) - F.length(F.replace(s, x, F.lit("")))).cast("double") / F.length(x))))
-    words = let(hits, lambda h: F.concat(h, F.array(F.col("_n_plain") - F.aggregate(h, F.lit(0.0), lambda a, x: a + x))))
-    chars = F.length(F.coalesce(F.col("text"), F.lit("")))
-    df = df.withColumns({
-        "class_distance": F.when(chars >= limits.min_class_chars, distance(F.col("_classes"), F.col("_class_ref"))),
-        "word_distance": F.when(F.col("_n_plain") >= limits.min_common_words, distance(words, F.col("_word_ref"))),
-        "base_failed": (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")),
+    rows = cut(profiles(docs.select(key, "text", "lang"), common, limits).drop("text", "lang"))
+    refs = references(rows, common, limits).collect()  # at most len(common) + 1 rows
+    shape = [(r["_ref"], [x or 0.0 for x in r["class_ref"]], [x or 0.0 for x in r["word_ref"]]) for r in refs]
+    class_ref = word_ref = F.lit(None).cast("array<double>")
+    for lang, classes, words in shape:
+        if lang == POOLED:
+            class_ref = F.when(F.lit(True), F.array(*map(F.lit, classes)))
+    for lang, classes, words in shape:
+        if lang != POOLED:
+            size = len(common[lang].split())
+            class_ref = F.when(F.col("_lang") == lang, F.array(*map(F.lit, classes))).otherwise(class_ref)
+            word_ref = F.when(F.col("_lang") == lang, F.array(*map(F.lit, words[:size + 1]))).otherwise(word_ref)
+    chars = F.aggregate("_classes", F.lit(0.0), lambda a, x: a + x)
+    judged = rows.withColumns({
+        "class_distance": F.when(chars >= limits.min_class_chars, distance(F.col("_classes"), class_ref)),
+        "word_distance": F.when(F.col("n_words") >= limits.min_common_words, distance(F.col("_hits"), word_ref)),
     })
-    far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > limits.max_class_distance) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > limits.max_word_distance)
-    return df.withColumn("kept", ~F.col("base_failed") & ~far).drop("_classes", "_plain", "_n_plain", "_lang", "_class_ref", "_dict", "_word_ref")
+    near = (F.coalesce("class_distance", F.lit(0.0)) <= limits.max_class_distance) & (
+        F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance)
+    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("_classes", "_hits", "_lang")
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's first stage: rejected documents go."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    """The pipeline's first stage: rejected documents go. Rows with the same doc_id go together."""
+    good = quality_rules(docs).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("_kept")
+    return docs.join(good.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
 
 
+_JS = "sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)))"
 _SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang FROM documents),
+WITH dict(lang, i, w) AS (SELECT l, unnest(range(1, len(ws) + 1)), unnest(ws) FROM (SELECT l, string_split(x, ' ') AS ws
+    FROM (VALUES {", ".join(f"('{lang}', '{words}')" for lang, words in COMMON_WORDS.items())}) AS v(l, x))),
+d AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN (SELECT lang FROM dict) THEN lang ELSE '*' END AS lang FROM documents),
 w AS (SELECT doc_id, t, lang, list_filter(string_split_regex(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls FROM d),
 win AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
-grams AS (SELECT doc_id, i, list_aggregate(ws[i:i+4], 'string_agg', chr(32)) AS g FROM win),
+grams AS (SELECT doc_id, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] || ' ' || ws[i+3] || ' ' || ws[i+4] AS g FROM win),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
 cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 5)) AS k) GROUP BY 1),
-base AS (SELECT w.doc_id, t, lang, len(ws) AS n_words, length(regexp_replace(t, '[ \\t-\\r]+', '', 'g')) AS word_chars,
+base AS (SELECT w.doc_id, t, lang, ws, len(ws) AS n_words, length(regexp_replace(t, '[ \\t-\\r]+', '', 'g')) AS word_chars,
     length(regexp_replace(t, '[^{SYMBOLS}]+', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
     coalesce(cover.n, 0) AS n_repeat_words FROM w LEFT JOIN cover USING (doc_id)),
-t1 AS (SELECT *, regexp_replace(t, '\\p{{Ll}}+', '', 'g') AS a, trim(regexp_replace(lower(t), '[^\\p{{L}}]+', ' ', 'g')) AS plain FROM base),
-t2 AS (SELECT *, regexp_replace(a, '[ \\t-\\r]+', '', 'g') AS b FROM t1),
-t3 AS (SELECT *, regexp_replace(b, '\\p{{Lu}}+', '', 'g') AS c FROM t2),
-t4 AS (SELECT *, regexp_replace(c, '[0-9]+', '', 'g') AS e FROM t3),
-t5 AS (SELECT *, regexp_replace(e, '[.,;:!?''"()-]+', '', 'g') AS f FROM t4),
-h AS (SELECT *, [length(t) - length(a), length(a) - length(b), length(b) - length(c), length(c) - length(e),
-    length(e) - length(f), length(f)] AS cl, CASE WHEN plain = '' THEN [] ELSE string_split(plain, ' ') END AS pw FROM t5),
-langs AS (SELECT lang FROM h WHERE lang NOT IN ('', '*') GROUP BY 1 HAVING sum(len(pw)) >= {LIMITS.min_reference_words} UNION ALL SELECT '*'),
-member AS (SELECT l.lang AS ref, h.* FROM h JOIN langs l ON l.lang = '*' OR l.lang = h.lang),
-cref AS (SELECT ref, k, sum(cl[k]) AS n, sum(sum(cl[k])) OVER (PARTITION BY ref) AS total FROM member, (SELECT unnest(range(1, 7)) AS k) GROUP BY 1, 2),
-total AS (SELECT ref, sum(len(pw)) AS n FROM member GROUP BY 1),
-wcount AS (SELECT ref, x, count(*) AS n FROM (SELECT ref, unnest(pw) AS x FROM member) WHERE length(x) BETWEEN 1 AND {LIMITS.max_letters} GROUP BY 1, 2),
-wtop AS (SELECT ref, x, n, row_number() OVER (PARTITION BY ref ORDER BY n DESC, x) AS place FROM wcount QUALIFY place <= {LIMITS.top_words}),
-wref AS (SELECT ref, x, w.n / t.n AS q FROM wtop w JOIN total t USING (ref)
-    UNION ALL SELECT t.ref, NULL, 1 - coalesce(sum(w.n / t.n), 0) FROM total t LEFT JOIN wtop w USING (ref) GROUP BY 1),
-doc AS (SELECT doc_id, cl, pw, length(t) AS chars, CASE WHEN lang IN (SELECT lang FROM langs) AND lang <> '' THEN lang ELSE '*' END AS ref FROM h),
-cdist AS (SELECT doc_id, sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) AS x
-    FROM (SELECT doc_id, cl[k] / chars AS p, n / total AS q FROM doc JOIN cref USING (ref) WHERE chars >= {LIMITS.min_class_chars}) GROUP BY 1),
-used AS (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, ref, unnest(pw) AS y FROM doc) JOIN wtop ON wtop.ref = ref_ AND wtop.x = y GROUP BY 1, 2),
-wp AS (SELECT doc_id, wref.x, q, coalesce(u.n, 0) / len(pw) AS p FROM doc JOIN wref USING (ref) LEFT JOIN used u USING (doc_id, x) WHERE wref.x IS NOT NULL AND len(pw) >= {LIMITS.min_common_words}),
-wall AS (SELECT doc_id, q, p FROM wp UNION ALL SELECT doc_id, wref.q, 1 - s FROM (SELECT doc_id, sum(p) AS s FROM wp GROUP BY 1) JOIN doc USING (doc_id) JOIN wref USING (ref) WHERE wref.x IS NULL),
-wdist AS (SELECT doc_id, sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) AS x FROM wall GROUP BY 1)
+b AS (SELECT *, n_words < {LIMITS.min_words} OR 100 * n_repeat_words > {LIMITS.max_repeat_percent} * n_words AS base_failed,
+    regexp_replace(t, '\\p{{Ll}}+', '', 'g') AS r FROM base),
+c AS (SELECT *, regexp_replace(r, '[ \\t-\\r]+', '', 'g') AS r2 FROM b),
+e AS (SELECT *, regexp_replace(r2, '\\p{{Lu}}+', '', 'g') AS r3 FROM c),
+f AS (SELECT *, regexp_replace(r3, '[0-9]+', '', 'g') AS r4 FROM e),
+g AS (SELECT *, regexp_replace(r4, '[.,;:!?''"()-]+', '', 'g') AS r5 FROM f),
+h AS (SELECT *, [length(t) - length(r), length(r) - length(r2), length(r2) - length(r3), length(r3) - length(r4), length(r4) - length(r5), length(r5)] AS cl FROM g),
+cls AS (SELECT doc_id, lang, k, cl[k] AS n, length(t) AS chars, base_failed FROM h, (SELECT unnest(range(1, 7)) AS k)),
+size AS (SELECT lang, sum(n_words) AS n FROM h WHERE NOT base_failed GROUP BY 1),
+csum AS (SELECT lang, k, sum(n) AS n FROM cls WHERE NOT base_failed AND (lang IN (SELECT lang FROM size WHERE n >= {LIMITS.min_reference_words}) AND lang <> '*') GROUP BY 1, 2
+    UNION ALL SELECT '*', k, sum(n) FROM cls WHERE NOT base_failed GROUP BY 2),
+cref AS (SELECT lang, k, n / sum(n) OVER (PARTITION BY lang) AS q FROM csum),
+cdist AS (SELECT doc_id, {_JS} AS x FROM (SELECT doc_id, n / chars AS p, q FROM cls JOIN cref ON cref.k = cls.k
+    AND cref.lang = CASE WHEN cls.lang IN (SELECT lang FROM cref) THEN cls.lang ELSE '*' END WHERE chars >= {LIMITS.min_class_chars}) GROUP BY 1),
+uses AS (SELECT doc_id, lang, y AS w, count(*) AS n FROM (SELECT doc_id, lang, unnest(ws) AS y FROM h) GROUP BY 1, 2, 3),
+hit AS (SELECT h.doc_id, h.lang, dict.i, h.n_words, h.base_failed, coalesce(u.n, 0) AS n FROM h JOIN dict USING (lang) LEFT JOIN uses u ON u.doc_id = h.doc_id AND u.w = dict.w),
+hall AS (SELECT * FROM hit UNION ALL SELECT doc_id, lang, 0, n_words, base_failed, n_words - sum(n) FROM hit GROUP BY doc_id, lang, n_words, base_failed),
+wref AS (SELECT lang, i, sum(hall.n) / size.n AS q FROM hall JOIN size USING (lang) WHERE NOT base_failed AND size.n >= {LIMITS.min_reference_words} GROUP BY lang, i, size.n),
+wdist AS (SELECT doc_id, {_JS} AS x FROM (SELECT doc_id, n / n_words AS p, q FROM hall JOIN wref USING (lang, i) WHERE n_words >= {LIMITS.min_common_words}) GROUP BY 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND coalesce(cdist.x, 0) <= {LIMITS.max_class_distance} AND coalesce(wdist.x, 0) <= {LIMITS.max_word_distance} AS kept
-FROM (SELECT *, n_words < {LIMITS.min_words} OR 100 * n_repeat_words > {LIMITS.max_repeat_percent} * n_words AS base_failed FROM base)
-LEFT JOIN cdist USING (doc_id) LEFT JOIN wdist USING (doc_id)""".replace("SELECT doc_id, ref, unnest(pw) AS y FROM doc", "SELECT doc_id, ref AS ref_, unnest(pw) AS y FROM doc")
+FROM b LEFT JOIN cdist USING (doc_id) LEFT JOIN wdist USING (doc_id)"""
 
 
 @llm_query("op6_quality_rules", _SQL)
