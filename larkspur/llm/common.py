@@ -77,3 +77,28 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _state(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) from bucket members (bucket, id): each member with the least of its bucket.
+
+    Linear in the members. What such pairs leave open is for ``open_pairs``.
+    """
+    pivots = rows.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("last > b").select("bucket", "b")
+    return rows.join(pivots, "bucket").where("id > b").select(F.col("id").alias("a"), "b").distinct()
+
+
+def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a bucket, lie in different components and were not tested.
+
+    ``roots``: (node, root) of the components found so far. A bucket whose members
+    are all in one component is closed and leaves the work, which is what becomes
+    of the large groups of copies; so pairs are only made where a bucket joins
+    texts that are not linked, and no link between components can be missed.
+    """
+    placed = rows.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    still = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    left = cut(placed.join(still, "bucket", "left_semi").select("bucket", "id", "root"))
+    right = left.select("bucket", F.col("id").alias("id2"), F.col("root").alias("root2"))
+    pairs = left.join(right, "bucket").where("root < root2").select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
