@@ -102,3 +102,28 @@ def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFram
     right = left.select("bucket", F.col("id").alias("id2"), F.col("root").alias("root2"))
     pairs = left.join(right, "bucket").where("root < root2").select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+
+
+#: Bits of a bitmap: 2**25 bits are 4 MB, whatever the number of keys.
+BITS = 25
+
+
+def bitmap_of(keys: DataFrame, bits: int = BITS) -> Column:
+    """A scalar with one bit set for each hash of the only column of ``keys`` (null keys have none).
+
+    For ``maybe_in``: it keeps rows that cannot find a partner out of a shuffle.
+    Its size is fixed, so it may go to every task; the more keys, the less it
+    keeps out, and what it lets through is still joined.
+    """
+    spot = F.pmod(F.xxhash64(keys.columns[0]), F.lit(1 << bits))
+    words = keys.where(F.col(keys.columns[0]).isNotNull()).select(spot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b"))
+    dense = keys.sparkSession.range(1 << (bits - 6), numPartitions=1).select(F.col("id").cast("int").alias("w")).join(words, "w", "left")
+    return cut(dense.agg(F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("bigint")).alias("b")))).alias("l")).select(
+        F.transform("l", lambda x: x["b"]).alias("bitmap"))).scalar()
+
+
+def maybe_in(bitmap: Column, key: Column, bits: int = BITS) -> Column:
+    """Whether ``key`` may be among the keys of ``bitmap``; never false for one that is."""
+    spot = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    return key.isNotNull() & (F.bit_get(F.get(bitmap, F.shiftright(spot, 6).cast("int")), F.pmod(spot, F.lit(64)).cast("int")) == 1)
