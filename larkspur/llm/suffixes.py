@@ -36,7 +36,7 @@ class Settings:
     ``shard``: bytes of one suffix array."""
 
     length: int = 400
-    blocks: tuple[int, ...] = (64, 16, 4, 1)
+    blocks: tuple[int, ...] = (32, 8, 1)
     group: int = 2000
     shard: int = 1_500_000
 
@@ -85,7 +85,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         key = (key << 9) | padded[k : k + n]
     done = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank = np.empty(n, np.int64)
         ahead = key[order]
         rank[order] = np.cumsum(np.r_[True, ahead[1:] != ahead[:-1]])
@@ -99,46 +99,58 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
 def repeated_prefixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffix order, and where it parts: whether each suffix differs from the one before within ``length`` symbols.
 
-    Interval expansion: the borders between intervals of one common-prefix length
-    are extended backwards by every symbol at once; where that meets a border not
-    yet known, its common prefix is longer by one. Every border is extended once.
+    Interval expansion: when a border is found at common-prefix length k, the
+    interval that begins there is extended backwards by every symbol that the
+    transform has in it. The first suffix of each extended interval parts from the
+    one before at length k + 1, unless it was found to part earlier. Intervals are
+    taken breadth first, so lengths only grow, and the search ends at ``length``.
     """
     n = len(symbols)
     order = suffix_order(symbols, length + 1)
-    used, codes = np.unique(symbols, return_inverse=True)
-    before = codes[order - 1]  # the transform: the symbol before each suffix
-    first = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(used)))])
-    words = n // 64 + 1
-    bits = np.zeros((words, len(used)), np.uint64)
-    for c in range(len(used)):
-        packed = np.zeros(words * 8, np.uint8)
-        marks = np.packbits(before == c, bitorder="little")
-        packed[: len(marks)] = marks
-        bits[:, c] = packed.view(np.uint64)
-    counts = np.zeros((words, len(used)), np.int32)
-    np.cumsum(np.bitwise_count(bits[:-1]), axis=0, dtype=np.int32, out=counts[1:])
+    before = symbols[order - 1]  # the transform: the symbol before each suffix
+    sources = np.argsort(before, kind="stable")
+    extended = np.empty(n, np.int64)  # the place of each suffix with its symbol put before it
+    extended[sources] = np.arange(n)
+    earlier = np.full(n, -1, np.int64)  # the last place before with the same symbol in the transform
+    same = before[sources[1:]] == before[sources[:-1]]
+    earlier[sources[1:][same]] = sources[:-1][same]
     known = np.zeros(n + 1, dtype=bool)
-    low, high = first[:-1], first[1:]
-    new = np.unique(low)
-    known[new] = True
     known[n] = True
-    step = max(1, 4_000_000 // len(used))
+    used = symbols[order]
+    new = np.flatnonzero(np.r_[True, used[1:] != used[:-1]])
+    known[new] = True
     for _ in range(length - 1):
         found = []
-        for at in range(0, len(new), step):
-            p = new[at : at + step]
-            mask = (np.uint64(1) << (p & 63).astype(np.uint64)) - np.uint64(1)
-            q = low + counts[p >> 6] + np.bitwise_count(bits[p >> 6] & mask[:, None])
-            q = q[(q > low) & (q < high)]
-            q = np.unique(q[~known[q]])
-            known[q] = True
-            found.append(q)
-        new = np.concatenate(found)
+        sizes = _interval_ends(known, new) - new
+        cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), 4_000_000), side="right")
+        for at, stop in zip(cuts, np.r_[cuts[1:], len(new)]):
+            p, size = new[at:stop], sizes[at:stop]
+            start = np.repeat(p, size)
+            inside = start + np.arange(len(start)) - np.repeat(np.cumsum(size) - size, size)
+            last = earlier[inside]
+            found.append(extended[inside[(last < start) & (last >= 0)]])
+        q = np.concatenate(found)
+        new = np.unique(q[~known[q]])
         if not len(new):
             break
+        known[new] = True
     return order, known[:n]
 
 
+def _interval_ends(known: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The next border after each of ``starts``."""
+    if len(starts) * 64 < len(known):
+        ends = starts + 1
+        far = np.flatnonzero(~known[ends])
+        for _ in range(64):
+            if not len(far):
+                return ends
+            ends[far] += 1
+            far = far[~known[ends[far]]]
+    borders = np.flatnonzero(known)
+    return borders[np.searchsorted(borders, starts, side="right")]
+
+
 def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string the places where a string of ``length`` bytes begins that also begins elsewhere in ``strings``."""
     sizes = np.array([len(s) for s in strings], np.int64)
