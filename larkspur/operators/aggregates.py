@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isnan
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
@@ -113,9 +114,17 @@ def quantiles(df: DataFrame, column: str, names: dict[str, float], by: Sequence[
     return quantile_table(df, column, names, by)
 
 
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Correlation over rows where both are present; null where one does not vary."""
+    x, y = (F.col(c).cast("double") if isinstance(c, str) else c.cast("double") for c in (a, b))
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, x))) * F.sqrt(F.var_pop(F.when(both, y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Correlation over rows where both columns are present."""
-    return df.agg(F.corr(a, b).alias("corr"))
+    """Correlation over rows where both columns are present; null where one does not vary."""
+    return df.agg(correlation(a, b).alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
@@ -123,7 +132,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digi
 
     A few columns are one aggregate of pairwise correlations and stay lazy; many
     go through one pass over vectors, of which only the k x k matrix comes to
-    the driver.
+    the driver. Either way a column without spread has null correlations, with itself too.
     """
     names = list(columns or numeric_names(df))
     complete = df.select(*[F.col(n).cast("double").alias(n) for n in names]).dropna()
@@ -131,14 +140,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digi
         cells = [
             F.struct(
                 F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                (F.lit(1.0) if i == j else F.corr(names[min(i, j)], names[max(i, j)])).alias("corr"),
+                correlation(names[min(i, j)], names[max(i, j)]).alias("corr"),
             ) for i, a in enumerate(names) for j, b in enumerate(names)
         ]
         matrix = complete.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
     else:
         vectors = VectorAssembler(inputCols=names, outputCol="_vector").transform(complete).select("_vector")
         found = Correlation.corr(vectors, "_vector").first()[0].toArray()
-        rows = [(i, j, a, b, float(found[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+        rows = [(i, j, a, b, None if isnan(found[i, j]) else float(found[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
         matrix = df.sparkSession.createDataFrame(rows, "i int, j int, var1 string, var2 string, corr double")
     return matrix if digits is None else matrix.withColumn("corr", F.round("corr", digits))
 
@@ -156,7 +165,7 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "
 
 def strongest_pairs(matrix: DataFrame, n: int) -> DataFrame:
     """The n most correlated pairs by absolute value, each pair once."""
-    pairs = triangle(matrix, diagonal=False).where(F.col("corr").isNotNull())
+    pairs = triangle(matrix, diagonal=False).where(F.col("corr").isNotNull() & ~F.isnan("corr"))
     return pairs.orderBy(F.abs("corr").desc(), "var1", "var2").limit(n).select("var1", "var2", "corr")
 
 

@@ -110,24 +110,21 @@ def straight_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Data
 def density(df: DataFrame, column: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density on a grid half a range wider than the data on each side.
 
-    Bandwidth by Scott's rule. Equal values are merged first; each distinct
-    value then adds to ``points`` running sums, merged map-side.
+    Bandwidth by Scott's rule; a column without spread has null densities. Every
+    value adds to one running sum per point of the grid, merged map-side, so no
+    value is shuffled.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).agg(
-        F.count(F.lit(1)).alias("w")
-    )
     n = F.count(F.col(column)).cast("double")
     lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
     shape = df.select(F.struct(
-        n.alias("n"), lo.alias("lo"), (hi - lo).alias("span"),
-        (F.stddev_samp(column) * F.pow(n, F.lit(-0.2))).alias("h"),
+        lo.alias("lo"), (hi - lo).alias("span"), (F.stddev_samp(column) * F.pow(F.when(n > 0, n), F.lit(-0.2))).alias("h"),
     )).scalar()
-    spread = counted.select("x", "w", shape.alias("s"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
-    at = F.col("s.lo") - 0.5 * F.col("s.span") + F.col("k") * (2 * F.col("s.span") / (points - 1))
-    z = (F.col("x") - F.col("at")) / F.col("s.h")
-    scale = F.col("s.n") * F.col("s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    parts = spread.withColumn("at", at).select("k", "at", (F.col("w") * F.exp(-0.5 * z * z) / scale).alias("part"))
-    return parts.groupBy("k").agg(F.first("at").alias("x"), F.sum("part").alias("density"))
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"), shape.alias("s"))
+    at = [F.col("s.lo") - 0.5 * F.col("s.span") + k * (2 * F.col("s.span") / (points - 1)) for k in range(points)]
+    bump = [F.exp(-0.5 * F.pow(F.try_divide(F.col("x") - a, F.col("s.h")), F.lit(2.0))) for a in at]
+    scale = F.count(F.lit(1)) * F.first("s.h") * F.sqrt(F.lit(2.0) * F.pi())
+    cells = [F.struct(F.lit(k).alias("k"), F.first(a).alias("x"), F.try_divide(F.sum(b), scale).alias("density")) for k, (a, b) in enumerate(zip(at, bump))]
+    return values.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def value_per_region(df: DataFrame, region: str, value: str) -> DataFrame:

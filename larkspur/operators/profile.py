@@ -71,12 +71,18 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
         packed = df.agg(_entries(names, lambda n: F.approx_count_distinct(F.col(f"`{n}`")).alias("distinct")).alias("e"))
         return packed.select(F.explode("e").alias("e")).select("e.*")
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").cast("string").alias("value")) for n in names
+        F.struct(F.lit(n).alias("column"), _as_text(df, n).alias("value")) for n in names
     ])).alias("p")).select("p.*")
     found = pairs.groupBy("column", "value").agg(F.lit(1).alias("_one"))
     return found.groupBy("column").agg(F.count("value").alias("distinct"))
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A column as text, with one zero: −0.0 is 0.0."""
+    value = F.col(f"`{name}`")
+    return (value + F.lit(0.0).cast(kind) if (kind := dict(df.dtypes)[name]) in ("float", "double") else value).cast("string")
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row."""
     groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))

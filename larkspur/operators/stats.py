@@ -39,27 +39,30 @@ def linear_formula(intercept: float, weights: Mapping[str, float]) -> Column:
 
 
 def share_below(df: DataFrame, column: str, value: float | Column) -> DataFrame:
-    """Normal approximation of the share of rows below ``value``."""
+    """Normal approximation of the share of rows below ``value``; null where the column does not vary."""
     row = df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
     value = value if isinstance(value, Column) else F.lit(float(value))
-    z = (value - F.col("mean")) / F.col("std")
+    z = F.try_divide(value - F.col("mean"), F.col("std"))
     return row.select("mean", "std", z.alias("z")).withColumn("share", normal_cdf("z"))
 
 
 def welch_test(df: DataFrame, group: str, column: str, first, second, level: float = 0.95) -> DataFrame:
-    """Two-sample t-test with unequal variances: t, df, p-value and interval of the mean difference."""
+    """Two-sample t-test with unequal variances: t, df, p-value and interval of the mean difference.
+
+    Where neither group varies, or one has fewer than two values, the test is null.
+    """
     x = F.col(column).cast("double")
     one, two = F.when(F.col(group) == F.lit(first), x), F.when(F.col(group) == F.lit(second), x)
     row = df.agg(
         F.avg(one).alias("mean_first"), F.avg(two).alias("mean_second"),
-        (F.var_samp(one) / F.count(one)).alias("_a"), (F.var_samp(two) / F.count(two)).alias("_b"),
+        F.try_divide(F.var_samp(one), F.count(one)).alias("_a"), F.try_divide(F.var_samp(two), F.count(two)).alias("_b"),
         F.count(one).alias("_n"), F.count(two).alias("_m"),
     )
     a, b = F.col("_a"), F.col("_b")
     error = F.sqrt(a + b)
-    freedom = (a + b) * (a + b) / (a * a / (F.col("_n") - 1) + b * b / (F.col("_m") - 1))
+    freedom = F.try_divide((a + b) * (a + b), F.try_divide(a * a, F.col("_n") - 1) + F.try_divide(b * b, F.col("_m") - 1))
     gap = F.col("mean_first") - F.col("mean_second")
-    tested = row.select("mean_first", "mean_second", gap.alias("_gap"), error.alias("_error"), (gap / error).alias("t"), freedom.alias("df"))
+    tested = row.select("mean_first", "mean_second", gap.alias("_gap"), error.alias("_error"), F.try_divide(gap, error).alias("t"), freedom.alias("df"))
     half = t_quantile(F.lit(float(level)), F.col("df")) * F.col("_error")
     return tested.withColumn("p_value", t_p_value("t", "df")).withColumn("_half", half).select(
         "mean_first", "mean_second", "t", "df", "p_value",

@@ -49,7 +49,7 @@ def daily_amounts_below_preamble(t):
     )
     titles = t.spark.range(1).select(F.explode(F.array(F.lit("Category: all"), F.lit("Week"))).alias("week"), F.lit("Orders: (all)").alias("amount"))
     path = sk.write_csv(titles.unionByName(daily), scratch_path(t.spark, "daily"), header=False)
-    back = de.read_after_preamble(t.spark, path, "week", ["amount"])
+    back = de.read_after_preamble(t.spark, path, "week", ["amount"], preamble=["Category: all", "Week"])
     return back.withColumn("week", iso_text(F.col("week")))
 
 

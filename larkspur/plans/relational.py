@@ -54,15 +54,16 @@ def group_sum_all_measures(t):
     return co.round_columns(ag.group_sum(keyed, ["l_shipmode_key"]), 2)
 
 
-BAND_EDGES = [0, 50_000, 150_000, 350_000, 1_000_000, 2_000_000]
-BAND_LABELS = ["to 50K", "50-150K", "150-350K", "350K-1M", "1-2M"]
+BAND_EDGES = [0, 80_000, 160_000, 240_000, 320_000, 640_000, 900_000]
+BAND_LABELS = ["tiny", "small", "middling", "large", "huge", "unheard of"]
 
 
 @query("A2", "T10", sql="""
-    WITH bands(rank, band) AS (VALUES (0, 'to 50K'), (1, '50-150K'), (2, '150-350K'), (3, '350K-1M'), (4, '1-2M')),
-    banded AS (SELECT CASE WHEN o_totalprice <= 0 THEN NULL WHEN o_totalprice <= 50000 THEN 'to 50K'
-                 WHEN o_totalprice <= 150000 THEN '50-150K' WHEN o_totalprice <= 350000 THEN '150-350K'
-                 WHEN o_totalprice <= 1000000 THEN '350K-1M' WHEN o_totalprice <= 2000000 THEN '1-2M' END AS band,
+    WITH bands(rank, band) AS (VALUES (0, 'tiny'), (1, 'small'), (2, 'middling'), (3, 'large'), (4, 'huge'), (5, 'unheard of')),
+    banded AS (SELECT CASE WHEN o_totalprice <= 0 THEN NULL WHEN o_totalprice <= 80000 THEN 'tiny'
+                 WHEN o_totalprice <= 160000 THEN 'small' WHEN o_totalprice <= 240000 THEN 'middling'
+                 WHEN o_totalprice <= 320000 THEN 'large' WHEN o_totalprice <= 640000 THEN 'huge'
+                 WHEN o_totalprice <= 900000 THEN 'unheard of' END AS band,
                  o_totalprice FROM orders)
     SELECT rank, b.band, round(coalesce(sum(o_totalprice), 0), 2) AS amount
     FROM bands b LEFT JOIN banded USING (band) GROUP BY rank, b.band""")
@@ -91,10 +92,11 @@ def quantity_discount_pairs(t):
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey
     GROUP BY 1, 2 ORDER BY r_name, sales DESC""")
 def sales_by_region_and_type(t):
-    joined = sales(t).join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "r_name", "p_type", F.col("l_extendedprice").alias("sales"), F.col("l_quantity").alias("quantity")
-    )
-    grouped = co.round_columns(ag.group_sum(joined, ["r_name", "p_type"]), 2)
+    # Summed by region and part first, so that a part sold everywhere meets its type once per region.
+    sold = sales(t).select("r_name", "l_partkey", F.col("l_extendedprice").alias("sales"), F.col("l_quantity").alias("quantity"))
+    by_part = sold.groupBy("r_name", "l_partkey").agg(F.sum("sales").alias("sales"), F.sum("quantity").alias("quantity"))
+    typed = by_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("r_name", "p_type", "sales", "quantity")
+    grouped = co.round_columns(ag.group_sum(typed, ["r_name", "p_type"]), 2)
     return ro.sort_by(grouped, ("r_name", True), ("sales", False))
 
 
@@ -131,12 +133,16 @@ def flag_status_medians(t):
     return co.round_columns(medians, 6)
 
 
-@query("A9", sql="""
-    SELECT label, round(avg(embedding[1]), 4) AS e0, round(avg(embedding[2]), 4) AS e1, round(avg(embedding[3]), 4) AS e2,
-           count(*) AS count FROM embeddings GROUP BY 1""")
+EMBEDDING_WIDTH = 64
+
+
+@query("A9", sql=f"""
+    SELECT label, {", ".join(f"round(avg(embedding[{i + 1}]), 4) AS e{i}" for i in range(EMBEDDING_WIDTH))}, count(*) AS count
+    FROM embeddings GROUP BY 1""")
 def label_profile(t):
-    wide = t.embeddings.select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
-    return ag.segment_profile(wide, "label", ["e0", "e1", "e2"])
+    names = [f"e{i}" for i in range(EMBEDDING_WIDTH)]
+    wide = t.embeddings.select("label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    return ag.segment_profile(wide, "label", names)
 
 
 @query("A10", sql="""
@@ -411,16 +417,17 @@ def suppliers_with_market_size(t):
 
 
 @query("J3", sql="""
-    SELECT o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) / count(*) AS mean, max(o_totalprice) AS largest
-    FROM orders GROUP BY 1""")
+    SELECT c_custkey, orders, mean, largest, c_acctbal, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN (SELECT o_custkey AS c_custkey, count(*) AS orders, round(sum(o_totalprice), 2) / count(*) AS mean,
+          max(o_totalprice) AS largest FROM orders GROUP BY 1) USING (c_custkey)""")
 def chained_customer_aggregates(t):
-    base = t.orders.select("o_custkey", "o_totalprice")
-    counts = ag.group_count(base, ["o_custkey"], "orders")
-    means = base.groupBy("o_custkey").agg(
-        (F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).alias("mean")
+    # One aggregate for all three measures; the chain joins tables that differ.
+    measures = ag.group_named(
+        t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_totalprice"), ["c_custkey"],
+        orders=F.count(F.lit(1)), mean=F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)), largest=F.max("o_totalprice"),
     )
-    largest = base.groupBy("o_custkey").agg(F.max("o_totalprice").alias("largest"))
-    return jo.inner_chain([counts, means, largest], "o_custkey")
+    nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    return jo.inner_chain([measures, t.customer.select("c_custkey", "c_acctbal"), nations], "c_custkey")
 
 
 @query("J6", sql="""

@@ -18,7 +18,7 @@ from larkspur.series.prep import ordered
 
 
 def autocorrelation(df: DataFrame, lags: int, column: str = "y", by: Sequence[str] = ()) -> DataFrame:
-    """(key..., lag, acf) for lags 0 … ``lags``; one sort serves every lag."""
+    """(key..., lag, acf) for lags 0 … ``lags``; one sort serves every lag. A flat series has no rows."""
     w = ordered(by)
     values = df.where(F.col(column).isNotNull())
     means = values.groupBy(*by).agg(F.avg(column).alias("_mean"), F.count(F.lit(1)).alias("_n"))
@@ -31,7 +31,7 @@ def autocorrelation(df: DataFrame, lags: int, column: str = "y", by: Sequence[st
     total = F.sum(F.col("_e") * F.col("_e"))
     sums = shifted.groupBy(*by).agg(
         F.first("_n").alias("_n"),
-        F.array(total / total, *[F.sum(F.col("_e") * F.col(f"_l{k}")) / total for k in range(1, lags + 1)]).alias("_acf"),
+        F.array(F.try_divide(total, total), *[F.try_divide(F.sum(F.col("_e") * F.col(f"_l{k}")), total) for k in range(1, lags + 1)]).alias("_acf"),
     )
     return sums.select(*by, F.posexplode("_acf").alias("lag", "acf")).where(F.col("acf").isNotNull())
 
@@ -62,10 +62,11 @@ def partial_autocorrelation(df: DataFrame, lags: int, column: str = "y", by: Seq
 
 
 def durbin_watson(df: DataFrame, column: str = "resid", by: Sequence[str] = ()) -> DataFrame:
+    """One number per key; null where all residuals are zero."""
     e = F.col(column)
     steps = df.where(e.isNotNull()).select(*by, e.alias("_e"), (e - F.lag(e).over(ordered(by))).alias("_d"))
     return steps.groupBy(*by).agg(
-        (F.sum(F.col("_d") * F.col("_d")) / F.sum(F.col("_e") * F.col("_e"))).alias("durbin_watson")
+        F.try_divide(F.sum(F.col("_d") * F.col("_d")), F.sum(F.col("_e") * F.col("_e"))).alias("durbin_watson")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from larkspur.operators.aggregates import correlation
 from larkspur.functions.dates import drop_zone, to_day
 from larkspur.operators.calendar import resample
 from larkspur.session import checkpointed
@@ -59,9 +60,9 @@ def neighbours(df: DataFrame, column: str = "y", by: Sequence[str] = ()) -> Data
 
 
 def paired_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Correlation of two aligned series: of their levels and of their first differences."""
+    """Correlation of two aligned series: of their levels and of their first differences; null without spread."""
     w = ordered()
     steps = df.select(a, b, (F.col(a) - F.lag(a).over(w)).alias("_da"), (F.col(b) - F.lag(b).over(w)).alias("_db"))
-    return steps.agg(F.corr(a, b).alias("levels"), F.corr("_da", "_db").alias("differences"))
+    return steps.agg(correlation(a, b).alias("levels"), correlation("_da", "_db").alias("differences"))
 
 

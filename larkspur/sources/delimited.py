@@ -41,13 +41,18 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_after_preamble(
-    spark: SparkSession, path: str, date: str, values: Sequence[str], formats: Sequence[str] = ("yyyy-MM-dd",)
+    spark: SparkSession, path: str, date: str, values: Sequence[str], preamble: Sequence[str], formats: Sequence[str] = ("yyyy-MM-dd",)
 ) -> DataFrame:
-    """A dated CSV below title lines and a header: rows whose first field is a date are the data."""
+    """A dated CSV below title lines and a header.
+
+    ``preamble`` lists the first fields of the lines that are no data. Every other
+    row is kept; a date that no format reads, or an unreadable number, is null.
+    """
     names = [date, *values]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = spark.read.option("header", False).schema(schema).csv(path)
-    dated = raw.withColumn(date, parse_date(F.col(date), list(formats))).where(F.col(date).isNotNull())
+    data = raw.where(~F.coalesce(F.col(f"`{date}`"), F.lit("")).isin(list(preamble)))
+    dated = data.withColumn(date, parse_date(F.col(f"`{date}`"), list(formats)))
     return dated.select(date, *[F.col(f"`{v}`").try_cast("double").alias(v) for v in values])
 
 
