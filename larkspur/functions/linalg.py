@@ -38,19 +38,36 @@ def solve_normal_equations(gram: np.ndarray, moment: np.ndarray, yy: float, n: f
 
 
 @F.pandas_udf(FIT_SCHEMA)
-def _solve(gram: pd.Series, moment: pd.Series, yy: pd.Series, n: pd.Series) -> pd.DataFrame:
+def _solve(gram: pd.Series, moment: pd.Series, yy: pd.Series, n: pd.Series, means: pd.Series, mean_y: pd.Series) -> pd.DataFrame:
+    """Solve one system per row. With ``means`` the products are centred and an intercept is put in front."""
     rows = []
-    for g, m, y2, count in zip(gram, moment, yy, n):
+    for g, m, y2, count, centre, level in zip(gram, moment, yy, n, means, mean_y):
         m = np.asarray(m, dtype=float)
         k = len(m)
         full = np.zeros((k, k))
         full[np.triu_indices(k)] = np.asarray(g, dtype=float)
         full = full + np.triu(full, 1).T
-        coef, stderr, sse, rank = solve_normal_equations(full, m, y2, count)
+        if centre is None:
+            coef, stderr, sse, rank = solve_normal_equations(full, m, y2, count)
+        else:
+            coef, stderr, sse, rank = _with_intercept(full, m, y2, count, np.asarray(centre, dtype=float), level)
         rows.append((coef.tolist(), [None if np.isnan(s) else float(s) for s in stderr], float(sse), rank))
     return pd.DataFrame(rows, columns=["coef", "stderr", "sse", "rank"])
 
 
+def _with_intercept(gram: np.ndarray, moment: np.ndarray, yy: float, n: float, centre: np.ndarray, level: float):
+    """``solve_normal_equations`` on centred products, with the intercept and its error from the means."""
+    k = len(moment)
+    scale = np.sqrt(np.clip(np.diag(gram), 1e-300, None))
+    inverse = np.linalg.pinv(gram / np.outer(scale, scale), rcond=1e-12, hermitian=True) / np.outer(scale, scale) if k else gram
+    slopes = inverse @ moment
+    sse = max(yy - slopes @ moment, 0.0)
+    rank = 1 + (int(np.linalg.matrix_rank(gram / np.outer(scale, scale), tol=1e-10, hermitian=True)) if k else 0)
+    variance = sse / (n - rank) if n > rank else float("nan")
+    spread = np.concatenate([[1 / n + centre @ inverse @ centre], np.diag(inverse)])
+    return np.concatenate([[level - slopes @ centre], slopes]), np.sqrt(np.clip(variance * spread, 0, None)), sse, rank
+
+
 def grouped_ols(
     df: DataFrame,
     target: str,
@@ -76,17 +93,26 @@ def ols_of_terms(
     filter, many of them make the optimizer's search for constraints slow.
     """
     y = target.cast("double")
-    terms: list[Column] = ([F.lit(1.0)] if intercept else []) + [f.cast("double") for f in features]
+    terms: list[Column] = [f.cast("double") for f in features]
     pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
-    sums = df.groupBy(*by).agg(
-        F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_gram"),
-        F.array(*[F.sum(t * y) for t in terms]).alias("_moment"),
-        F.sum(y * y).alias("_yy"),
-        F.sum(y).alias("_y"),
-        F.count(F.lit(1)).alias("n"),
-    ).where("n > 0")
-    fitted = sums.withColumn("_fit", _solve("_gram", "_moment", "_yy", F.col("n").cast("double")))
-    total = F.col("_yy") - (F.col("_y") * F.col("_y") / F.col("n") if intercept else F.lit(0.0))
+    n = F.count(F.lit(1))
+    if intercept:
+        # Products around the means, merged map-side: a large mean costs no digits.
+        sums = [
+            F.array(*[F.covar_pop(terms[i], terms[j]) * n for i, j in pairs]).cast("array<double>").alias("_gram"),
+            F.array(*[F.covar_pop(t, y) * n for t in terms]).cast("array<double>").alias("_moment"),
+            (F.var_pop(y) * n).alias("_yy"),
+            F.array(*[F.avg(t) for t in terms]).cast("array<double>").alias("_means"), F.avg(y).alias("_level"),
+        ]
+    else:
+        sums = [
+            F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_gram"),
+            F.array(*[F.sum(t * y) for t in terms]).alias("_moment"), F.sum(y * y).alias("_yy"),
+            F.lit(None).cast("array<double>").alias("_means"), F.lit(0.0).alias("_level"),
+        ]
+    sums = df.groupBy(*by).agg(*sums, n.alias("n")).where("n > 0")
+    fitted = sums.withColumn("_fit", _solve("_gram", "_moment", "_yy", F.col("n").cast("double"), "_means", "_level"))
+    total = F.col("_yy")
     k = F.col("_fit.rank")
     return fitted.select(
         *by,

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.aggregates import group_count
+from larkspur.operators.ranking import small_side
+from larkspur.session import checkpointed
 from larkspur.operators.quantiles import quantile_table
 
 
@@ -65,7 +67,7 @@ def _fenced(df: DataFrame, column: str, by: Sequence[str], factor: float) -> Dat
     quartiles = quantile_table(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     values = df.where(F.col(column).isNotNull())
     if by:
-        joined = values.join(quartiles, list(by))
+        joined = values.join(small_side(checkpointed(quartiles)), list(by))
     else:
         row = quartiles.select(F.struct("q1", "median", "q3")).scalar()
         joined = values.withColumn("_q", row).select("*", "_q.*").drop("_q")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larkspur.operators.ranking import running_weight
+from larkspur.operators.ranking import running_weight, small_side
 from larkspur.session import checkpointed
 
 ACCURACY = 10_000
@@ -105,7 +105,7 @@ def _brackets(slim: DataFrame, width: int, probs: Sequence[float], keys: list[st
         return slim, cuts, F.array(*[F.lit(n) for n in row["_n"]]), max(row["_n"])
     sketch = checkpointed(sketch)
     largest = sketch.agg(F.max(F.array_max("_n"))).first()[0] or 0
-    right = sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_cut")
+    right = small_side(sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_cut"))
     rows = slim.join(right, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]).drop(
         *[f"_k{i}" for i in range(len(keys))]
     )

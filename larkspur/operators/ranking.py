@@ -16,6 +16,20 @@ def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
+#: Tables of at most so many rows, counted after they are written, go to every task.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` for a broadcast join if it was counted to be small, else as it is, for a shuffle join.
+
+    Spark guesses the size of an aggregate from its input, so it would shuffle a
+    large table on a few keys for the sake of a table of a few rows. ``df`` should
+    be checkpointed; both ways give the same rows.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def number_rows(
     df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "row_number"
 ) -> DataFrame:
@@ -34,6 +48,7 @@ def number_rows(
     sizes = placed.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_rows"), F.min("_mid").alias("_first"))
     before = W.partitionBy(*by).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    offsets = small_side(checkpointed(offsets))
     joined = placed.alias("p").join(offsets.alias("o"), _null_safe("p", "o", ["_pid", *by]), "left")
     position = F.col("o._before") + F.col("p._mid") - F.col("o._first") + 1
     return joined.select(*[F.col(f"p.`{c}`") for c in df.columns], position.alias(name))
@@ -48,6 +63,7 @@ def running_weight(df: DataFrame, order: Sequence[str], weight: str, by: Sequenc
     sizes = placed.groupBy("_pid", *by).agg(F.sum(weight).alias("_sum"))
     before = W.partitionBy(*by).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    offsets = small_side(checkpointed(offsets))
     inside = W.partitionBy("_pid", *by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = placed.withColumn("_inside", F.sum(weight).over(inside))
     joined = local.alias("p").join(offsets.alias("o"), _null_safe("p", "o", ["_pid", *by]), "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,7 +138,8 @@ def unit_root_test(
     """Augmented Dickey-Fuller test with a constant, per key.
 
     The number of lagged differences is chosen by AIC up to ``max_lag`` (default
-    ``ceil(12 (n/100)^(1/4))`` of the longest series) unless ``lag`` fixes it.
+    ``ceil(12 (n/100)^(1/4))`` of the longest series) unless ``lag`` fixes it. A
+    keyed series too short for the test has a row with its length and nulls.
     """
     w = ordered(by)
     values = df.where(F.col(column).isNotNull())
@@ -146,6 +147,9 @@ def unit_root_test(
         longest = values.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         max_lag = math.ceil(12 * (longest / 100) ** 0.25)
     most = lag if lag is not None else max_lag
+    # A constant is in the test, so the level may be taken around the series' mean.
+    around = F.avg(column).over(Window.partitionBy(*by)) if by else values.agg(F.avg(column)).scalar()
+    values = values.withColumn(column, F.col(column) - around)
     level = F.lag(column).over(w)
     steps = values.select(*by, "ds", (F.col(column) - level).alias("_d"), level.alias("_level"))
     names = [f"_d{k}" for k in range(1, most + 1)]
@@ -176,4 +180,10 @@ def unit_root_test(
         sum((F.lit(c) / F.pow("n_obs", F.lit(i)) for i, c in enumerate(cs[1:], 1)), F.lit(cs[0])).alias(name)
         for name, cs in CRITICAL.items()
     ]
-    return out.select(*by, "statistic", _p_value("statistic").alias("p_value"), "lags", "n_obs", *critical)
+    tested = out.select(*by, "statistic", _p_value("statistic").alias("p_value"), "lags", "n_obs", *critical)
+    if not by:
+        return tested
+    every = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    rest = [c for c in tested.columns if c not in by and c != "n_obs"]
+    whole = every.join(tested, list(by), "left")
+    return whole.select(*by, "statistic", "p_value", "lags", F.coalesce("n_obs", "_n").alias("n_obs"), *rest[3:])

@@ -79,23 +79,56 @@ def _fit_series(shapes: Sequence[Shape]):
     """Ridge weights of one series for each shape; the shapes share their columns and differ in penalties."""
 
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-    def run(y: pd.Series, x: pd.Series) -> list:
+    def run(y: pd.Series, x: pd.Series, raw: pd.Series, scale: pd.Series) -> list:
         rows = np.stack([np.asarray(v, dtype=float) for v in x])
         target = y.to_numpy(dtype=float)
         gram, moment = rows.T @ rows, rows.T @ target
         line = np.polyfit(rows[:, 1], target, 1) if len(target) > 2 else [0.0, target.mean()]
         noise = max(float(np.var(target - np.polyval(line, rows[:, 1]))), 1e-12)
-        return [
-            solve_normal_equations(gram, moment, float(target @ target), len(target), shape.penalties(noise))[0].tolist()
-            for shape in shapes
-        ]
+        out = []
+        for shape in shapes:
+            penalty = shape.penalties(noise)
+            coef = solve_normal_equations(gram, moment, float(target @ target), len(target), penalty)[0]
+            if shape.capacity is not None:
+                coef = _saturating(rows, raw.to_numpy(dtype=float), coef, penalty, shape.capacity, float(scale.iloc[0]))
+            out.append(coef.tolist())
+        return out
 
     return run
 
 
+def _saturating(x: np.ndarray, y: np.ndarray, coef: np.ndarray, penalty: np.ndarray, capacity: float, scale: float, steps: int = 12) -> np.ndarray:
+    """Penalised least squares of ``y`` on ``capacity / (1 + exp(-scale x coef))``, by damped Gauss-Newton steps.
+
+    Values of zero, at and above the capacity are fitted as they are.
+    """
+
+    def curve(c: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(scale * (x @ c), -40, 40)))
+
+    def cost(c: np.ndarray) -> float:
+        return float(np.sum((y / capacity - curve(c)) ** 2) + c @ (penalty * c) / len(y))
+
+    best = cost(coef)
+    for _ in range(steps):
+        share = curve(coef)
+        slope = (scale * share * (1 - share))[:, None] * x
+        system = slope.T @ slope + np.diag(penalty / len(y) + 1e-9)
+        step = np.linalg.solve(system, slope.T @ (y / capacity - share) - penalty * coef / len(y))
+        size = 1.0
+        while size > 1e-3 and cost(coef + size * step) > best:
+            size /= 2
+        if size <= 1e-3:
+            break
+        coef = coef + size * step
+        best = cost(coef)
+    return coef
+
+
 def _link(y: Column, shape: Shape) -> Column:
     if shape.capacity is None:
         return y
+    # Only where the fit starts from; the fit itself is on y.
     inside = F.least(F.greatest(y, F.lit(shape.capacity * 1e-3)), F.lit(shape.capacity * (1 - 1e-3)))
     return F.log(inside / (shape.capacity - inside))
 
@@ -130,8 +163,8 @@ def _fit_many(df: DataFrame, shapes: Sequence[Shape], keys: Sequence[str]) -> Da
     shape = shapes[0]
     spans = _spans(history, keys, shape)
     ready = with_design(_with_rows(history, spans, keys, ["start", "span", "scale"]), shape)
-    scaled = ready.select(*keys, "x", (_link(F.col("y"), shape) / F.col("scale")).alias("z"))
-    coefs = scaled.groupBy(*keys).agg(_fit_series(shapes)("z", "x").alias("coefs"))
+    scaled = ready.select(*keys, "x", "y", "scale", (_link(F.col("y"), shape) / F.col("scale")).alias("z"))
+    coefs = scaled.groupBy(*keys).agg(_fit_series(shapes)("z", "x", F.col("y").cast("double"), "scale").alias("coefs"))
     return _with_rows(coefs, spans, keys, ["start", "span", "scale"])
 
 

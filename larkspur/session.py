@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,7 +35,8 @@ def build_session(master: str | None = None, app: str = "larkspur", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a fresh folder of its own machine.
+    Only a local session may go without; it gets a folder of its own, says so, and
+    removes it when the program ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         configured = tempfile.mkdtemp(prefix="larkspur-")
+        warnings.warn(f"spark.checkpoint.dir is not set: intermediate tables go to {configured}", stacklevel=2)
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
