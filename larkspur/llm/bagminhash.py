@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import components, cut, llm_query, open_pairs, star_pairs, table
+from larkspur.llm.common import bitmap_of, components, cut, llm_query, maybe_in, open_pairs, star_pairs, table, without
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 WORDS = 400_000
@@ -135,53 +135,73 @@ def _portions(texts: list[str]) -> Iterator[slice]:
         at = stop
 
 
-def band_hashes(texts: list[str], s: Settings) -> list[list[int] | None]:
-    """The hashes of each text's bands; None for a text without words."""
+def band_hashes(texts: list[str], s: Settings) -> tuple[list[list[int] | None], list[int]]:
+    """The hashes of each text's bands (None for a text without words), and the sizes of the multisets."""
     out: list[list[int] | None] = []
+    sizes: list[int] = []
     for part in _portions(texts):
         some = texts[part]
-        signature = signatures(*bags(some, s.width), len(some), s.size)
+        owner, element, weight = bags(some, s.width)
+        signature = signatures(owner, element, weight, len(some), s.size)
         bits = signature.view(np.uint64).reshape(len(some), s.bands, s.rows)
         h = np.broadcast_to(np.arange(1, s.bands + 1, dtype=np.uint64), bits.shape[:2]).copy()
         for k in range(s.rows):
             h = mix(h * GOLDEN + bits[:, :, k])
         full = np.isfinite(signature).all(axis=1)
         out += [row if ok else None for row, ok in zip(h.view(np.int64).tolist(), full)]
-    return out
+        sizes += np.bincount(owner, weight, minlength=len(some)).astype(np.int64).tolist()
+    return out, sizes
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two bags (sorted hashes, counts)."""
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """Size of the intersection of two bags (sorted hashes, counts)."""
     if len(a[0]) > len(b[0]):
         a, b = b, a
     if not len(a[0]):
-        return 0.0
+        return 0
     at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
     same = b[0][at] == a[0]
-    shared = int(np.minimum(a[1][same], b[1][at[same]]).sum())
-    return shared / (int(a[1].sum()) + int(b[1].sum()) - shared)
+    return int(np.minimum(a[1][same], b[1][at[same]]).sum())
 
 
-def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose multisets overlap by ``similarity`` or more; ``texts``: (id, text)."""
+def compared(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """``pairs`` (a, b) with the overlap of their multisets, and whether they are similar; ``texts``: (id, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = np.zeros(len(batch), dtype=bool)
             left, right = batch["text_a"].tolist(), batch["text_b"].tolist()
+            shared, both = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             for part in _portions(left):
                 codes, unique = pd.factorize(np.array(left[part] + right[part], dtype=object))
                 owner, h, n = bags(list(unique), s.width)
+                size = np.bincount(owner, n, minlength=len(unique)).astype(np.int64)
                 cuts = np.searchsorted(owner, np.arange(len(unique) + 1))
                 bag = [(h[x:y], n[x:y]) for x, y in zip(cuts, cuts[1:])]
-                half = len(codes) // 2
-                good[part] = [overlap(bag[x], bag[y]) >= s.similarity for x, y in zip(codes[:half], codes[half:])]
-            yield batch.loc[good, ["a", "b"]]
+                x, y = codes[: len(codes) // 2], codes[len(codes) // 2 :]
+                shared[part] = [overlap(bag[i], bag[j]) for i, j in zip(x, y)]
+                both[part] = size[x] + size[y]
+            similar = (shared > 0) & (shared >= s.similarity * (both - shared))
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "overlap": shared, "similar": similar})
 
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    held = lambda side: texts.where(maybe_in(bitmap_of(pairs.select(side)), F.col("id"))).select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, f"a {kind}, b {kind}")
+    return pairs.join(held("a"), "a").join(held("b"), "b").select("a", "b", "text_a", "text_b").mapInPandas(
+        run, f"a {kind}, b {kind}, overlap long, similar boolean")
+
+
+def own_material(texts: DataFrame, s: Settings) -> DataFrame:
+    """(id, own): how much of each multiset of ``texts`` (id, text) no other of them has; those without any are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            whole, ids = batch["text"].tolist(), batch["id"].to_numpy()
+            for part in _portions(whole):
+                owner, h, n = bags(whole[part], s.width)
+                yield pd.DataFrame({"id": ids[part][owner], "h": h.view(np.int64), "n": n})
+
+    kind = texts.schema["id"].dataType.simpleString()
+    shingles = texts.mapInPandas(run, f"id {kind}, h long, n long").groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id"), F.min("n").alias("n"))
+    return shingles.where("c = 1").groupBy("id").agg(F.sum("n").alias("own"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS) -> DataFrame:
@@ -199,19 +219,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "digest": batch["digest"], "bands": band_hashes(batch["text"].tolist(), s)})
+            bands, sizes = band_hashes(batch["text"].tolist(), s)
+            yield pd.DataFrame({"id": batch["id"], "digest": batch["digest"], "bands": bands, "size": sizes})
 
     rows = docs.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("id"), "text")
-    signed = rows.select("id", "text", F.sha2("text", 256).alias("digest")).mapInPandas(sign, f"id {kind}, digest string, bands array<bigint>")
-    signed = cut(signed.select("id", F.unhex("digest").alias("digest"), "bands"))
-    classes = cut(signed.groupBy("digest").agg(F.min(F.struct("id", "bands")).alias("c")).select("digest", "c.*"))
+    signed = rows.select("id", "text", F.sha2("text", 256).alias("digest")).mapInPandas(sign, f"id {kind}, digest string, bands array<bigint>, size long")
+    signed = cut(signed.select("id", F.unhex("digest").alias("digest"), "bands", "size"))
+    classes = cut(signed.groupBy("digest").agg(F.min(F.struct("id", "bands", "size")).alias("c")).select("digest", "c.*"))
     members = classes.where("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "id")
-    pairs = cut(star_pairs(members))
-    edges = cut(verified(pairs, rows, s))
+    tested = cut(compared(cut(star_pairs(members)), rows, s).groupBy("a", "b").agg(F.max("overlap").alias("overlap"), F.max("similar").alias("similar")))
+    edges = tested.where("similar").select("a", "b")
     roots = cut(components(edges))
-    more = cut(open_pairs(members, roots, pairs))
-    if not more.isEmpty():
-        edges = edges.unionByName(verified(more, rows, s))
+    # What the stars leave open: exact, and linear but for texts that differ and can still be similar.
+
+    def sizes_of(ids: DataFrame) -> DataFrame:
+        texts = rows.where(maybe_in(bitmap_of(ids), F.col("id"))).join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
+        own = own_material(texts, s)
+        sizes = classes.groupBy("id").agg(F.min("size").alias("size"))
+        return cut(ids.join(sizes, "id").join(own, "id", "left").select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared")))
+
+    more = open_pairs(members, roots, tested, s.similarity, sizes_of, lambda pairs: compared(pairs, rows, s))
+    if more is not None and not more.isEmpty():
+        edges = edges.unionByName(compared(more, rows, s).where("similar").select("a", "b"))
         roots = cut(components(edges))
     placed = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("root", "id").alias("group_id"))
     grouped = signed.select("id", "digest").join(placed, "digest").groupBy("id").agg(F.min("group_id").alias("group_id"))
@@ -225,8 +254,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's third stage: one document of each group stays."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, near_duplicates(docs).where("NOT kept").select("doc_id"), "doc_id")
 
 
 @llm_query("op10_minhash_near_dedup")

@@ -88,35 +88,86 @@ def star_pairs(rows: DataFrame) -> DataFrame:
     return rows.join(pivots, "bucket").where("id > b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a bucket, lie in different components and were not tested.
+def open_members(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members (bucket, id, root) of buckets whose members are not all in one component.
 
-    ``roots``: (node, root) of the components found so far. A bucket whose members
-    are all in one component is closed and leaves the work, which is what becomes
-    of the large groups of copies; so pairs are only made where a bucket joins
-    texts that are not linked, and no link between components can be missed.
+    ``roots``: (node, root) of the components found so far. Buckets of one
+    component are closed and leave the work, which is what becomes of the large
+    groups of copies.
     """
     placed = rows.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     still = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-    left = cut(placed.join(still, "bucket", "left_semi").select("bucket", "id", "root"))
-    right = left.select("bucket", F.col("id").alias("id2"), F.col("root").alias("root2"))
-    pairs = left.join(right, "bucket").where("root < root2").select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
-    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-#: Bits of a bitmap: 2**25 bits are 4 MB, whatever the number of keys.
-BITS = 25
+    return placed.join(still, "bucket", "left_semi").select("bucket", "id", "root")
+
+
+def open_pairs(
+    rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float,
+    sizes_of: Callable[[DataFrame], DataFrame], compare: Callable[[DataFrame], DataFrame],
+) -> DataFrame | None:
+    """Pairs (a, b) that share a bucket, lie in different components, were not tested and can be similar; None if all buckets are closed.
+
+    ``tested``: (a, b, overlap) of the pairs of ``star_pairs``. ``sizes_of`` takes
+    ids and gives (id, size, shared): the size of each set, and how much of it any
+    other of these ids has at all. ``compare`` takes pairs (a, b) and adds overlap.
+
+    Of sets with sizes m and n, a similarity of t takes an overlap of
+    t (m + n) / (1 + t). What two members share lies inside a third set or outside
+    it; either part is bounded by what each of them has there. The third set is
+    the least member of the bucket, with which both were compared, and a hub that
+    most of a group have in common, with which every open member is compared here. So members that have too much of their own for every partner leave
+    before pairs are made, pairs that cannot be similar are not made, and no pair
+    that is similar is left out. All but the pairs made is linear in the members.
+    """
+    t = similarity
+    members = cut(open_members(rows, roots))
+    if members.isEmpty():
+        return None
+    ids = members.select("id").distinct()
+    # The hub of a member: the least set that it was compared with, or the least that this one was.
+    step = tested.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
+    hubs = ids.join(step, "id", "left").select("id", F.coalesce("b", "id").alias("one"))
+    hubs = hubs.join(step.select(F.col("id").alias("one"), F.col("b").alias("two")), "one", "left")
+    hubs = cut(hubs.select("id", F.coalesce("two", "one").alias("hub")))
+    sized = sizes_of(cut(ids.union(hubs.select("hub")).distinct()))
+    to_hub = hubs.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    known = to_hub.join(tested.select("a", "b", "overlap"), ["a", "b"], "left")
+    asked = cut(compare(cut(known.where("overlap IS NULL").select("a", "b"))).select("a", "b", "overlap"))
+    to_hub = known.where("overlap IS NOT NULL").unionByName(asked).select(F.col("a").alias("id"), F.col("overlap").alias("in_hub"))
+    least = members.groupBy("bucket").agg(F.min("id").alias("least"))
+    to_least = tested.select(F.col("a").alias("id"), F.col("b").alias("least"), F.col("overlap").alias("in_least"))
+    members = members.join(least, "bucket").join(to_least, ["id", "least"], "left").join(sized, "id")
+    members = members.join(hubs, "id").join(to_hub, "id", "left")
+    members = cut(members.select("bucket", "id", "root", "hub", "size", "shared", F.coalesce("in_least", "size").alias("in_least"), F.coalesce("in_hub", "size").alias("in_hub")))
+    small = members.groupBy("bucket").agg(F.min("size").alias("small"))
+    able = members.join(small, "bucket").where((F.col("shared") >= t * F.col("size")) & ((1 + t) * F.col("shared") >= t * (F.col("size") + F.col("small"))))
+    able = cut(able.drop("small"))
+    still = able.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    left = able.join(still, "bucket", "left_semi")
+    right = left.select("bucket", *[F.col(c).alias(c + "2") for c in ("id", "root", "hub", "size", "shared", "in_least", "in_hub")])
+
+    def enough(inside: str) -> Column:
+        outside = F.least(F.col("shared") - F.col(inside), F.col("shared2") - F.col(inside + "2"))
+        return (1 + t) * (F.least(inside, inside + "2") + F.greatest(F.lit(0), outside)) >= t * (F.col("size") + F.col("size2"))
+
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("root") < F.col("root2")) & enough("in_least") & (
+        (F.col("hub") != F.col("hub2")) | enough("in_hub")))
+    pairs = pairs.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
+    return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+
+
+#: Bits of a bitmap: 2**24 bits are 2 MB, whatever the number of keys.
+BITS = 24
 
 
 def bitmap_of(keys: DataFrame, bits: int = BITS) -> Column:
-    """A scalar with one bit set for each hash of the only column of ``keys`` (null keys have none).
+    """A scalar with one bit set for each hash of the only column of ``keys``; null is a key as any other.
 
     For ``maybe_in``: it keeps rows that cannot find a partner out of a shuffle.
     Its size is fixed, so it may go to every task; the more keys, the less it
     keeps out, and what it lets through is still joined.
     """
     spot = F.pmod(F.xxhash64(keys.columns[0]), F.lit(1 << bits))
-    words = keys.where(F.col(keys.columns[0]).isNotNull()).select(spot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(
+    words = keys.select(spot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b"))
     dense = keys.sparkSession.range(1 << (bits - 6), numPartitions=1).select(F.col("id").cast("int").alias("w")).join(words, "w", "left")
     return cut(dense.agg(F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("bigint")).alias("b")))).alias("l")).select(
@@ -126,4 +177,15 @@ def bitmap_of(keys: DataFrame, bits: int = BITS) -> Column:
 def maybe_in(bitmap: Column, key: Column, bits: int = BITS) -> Column:
     """Whether ``key`` may be among the keys of ``bitmap``; never false for one that is."""
     spot = F.pmod(F.xxhash64(key), F.lit(1 << bits))
-    return key.isNotNull() & (F.bit_get(F.get(bitmap, F.shiftright(spot, 6).cast("int")), F.pmod(spot, F.lit(64)).cast("int")) == 1)
+    return F.bit_get(F.get(bitmap, F.shiftright(spot, 6).cast("int")), F.pmod(spot, F.lit(64)).cast("int")) == 1
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is not in ``gone`` (its only column; null is a key as any other).
+
+    Rows that are surely not in it stay where they are; only the rest is joined.
+    """
+    gone = cut(gone.distinct().withColumnRenamed(gone.columns[0], "_gone"))
+    maybe = maybe_in(bitmap_of(gone), F.col(key))
+    some = docs.where(maybe).join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.where(~maybe).unionByName(some)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.bagminhash import GOLDEN, _portions, mix
-from larkspur.llm.common import llm_query, table
+from larkspur.llm.common import llm_query, table, without
 
 
 @dataclass(frozen=True)
@@ -280,8 +280,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's fourth stage: documents that hold a test item go."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, leaks(docs, table(spark, sf_dir, "benchmark")).where("doc_id IS NOT NULL").select("doc_id"), "doc_id")
 
 
 @llm_query("op8_benchmark_decontamination")

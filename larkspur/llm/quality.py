@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import GAP, cut, let, llm_query, table, words_of
+from larkspur.llm.common import GAP, cut, let, llm_query, table, without, words_of
 
 #: The character classes, each as what is removed from the text in this order; the rest is the last class.
 CLASSES = ["\\p{Ll}+", GAP + "+", "\\p{Lu}+", "[0-9]+", "[.,;:!?'\"()-]+"]
@@ -189,9 +189,8 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", common: Mapping[str, str
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's first stage: rejected documents go. Rows with the same doc_id go together."""
-    good = quality_rules(docs).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("_kept")
-    return docs.join(good.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    """The pipeline's first stage: rejected documents go. Rows that share a doc_id go together."""
+    return without(docs, quality_rules(docs).where("NOT kept").select("doc_id"), "doc_id")
 
 
 _JS = "sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)))"

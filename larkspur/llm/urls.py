@@ -112,25 +112,27 @@ def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: Dat
     nodes of linked components and of spellings with a decision take part, so
     pages without any rule or link are never shuffled by a hot key alone.
     """
-    judged = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    judged = pages.select(F.struct("*").alias("_all"), F.col("url"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("html"))
     judged = judged.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     blocked = F.col("rule").isin([r.text for r in rules if r.verdict == "block"])
     own = F.when(F.col("rule").isNull(), None).when(blocked, "block").otherwise("allow")
-    judged = judged.withColumns({"_own": own, "_node": node_of(F.col("url"))})
-    links = judged.select(F.col("_node").alias("a"), F.explode(links_of(F.col("url"), F.col("html"))).alias("t"))
+    judged = judged.withColumns({"own": own, "node": node_of(F.col("url"))})
+    links = judged.select(F.col("node").alias("a"), F.explode(links_of(F.col("url"), F.col("html"))).alias("t"))
     edges = links.select("a", node_of(F.col("t")).alias("b"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select(node_of(F.col("from_url")).alias("a"), node_of(F.col("to_url")).alias("b")))
-    roots = cut(components(edges.where("a IS NOT NULL AND b IS NOT NULL")).withColumnRenamed("node", "_node"))
-    decided = judged.where("_own IS NOT NULL AND _node IS NOT NULL").groupBy("_node").agg(
-        F.max(F.col("_own") == "allow").alias("allowed"), F.max(F.col("_own") == "block").alias("blocked"))
-    by_root = decided.join(roots, "_node", "left").groupBy(F.coalesce("root", "_node").alias("root")).agg(
+    roots = cut(components(edges.where("a IS NOT NULL AND b IS NOT NULL")))
+    decided = judged.where("own IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
+        F.max(F.col("own") == "allow").alias("allowed"), F.max(F.col("own") == "block").alias("blocked"))
+    by_root = decided.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
         F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked")).where("blocked AND NOT allowed").select("root")
-    bad = by_root.join(roots, "root", "left").select(F.coalesce("_node", "root").alias("_node"))
-    bad = bad.distinct().withColumn("_bad", F.lit(True))
-    passed = judged.join(bad, "_node", "left")
-    verdict = F.coalesce("_own", F.when(F.col("_bad"), "block"), F.lit("allow"))
-    return passed.withColumn("verdict", verdict).drop("_node", "_own", "_bad")
+    bad = by_root.join(roots, "root", "left").select(F.coalesce("node", "root").alias("node"))
+    bad = bad.distinct().withColumn("bad", F.lit(True))
+    verdict = F.coalesce("own", F.when(F.col("bad"), "block"), F.lit("allow"))
+    new = {"host": F.col("host"), "path": F.col("path"), "rule": F.col("rule"), "verdict": verdict}
+    names = pages.columns + [c for c in new if c not in pages.columns]
+    passed = judged.drop("url", "html").join(bad, "node", "left")
+    return passed.select(*[new[c].alias(c) if c in new else F.col("_all")[c].alias(c) for c in names])
 
 
 def _sql_node(url: str) -> str:
