@@ -63,13 +63,13 @@ def _letters() -> np.ndarray:
 
 def subwords(text: str, sizes: tuple[int, ...], buckets: int, pieces: int = PIECE) -> Iterator[np.ndarray]:
     """Bucket numbers of all subwords of a text, in pieces of bounded size that overlap by what an n-gram needs."""
-    longest = max(sizes)
+    longest, text = max(sizes), text.lower()
     for start in range(0, len(text), pieces):
-        part = text[max(0, start - 1) : start + pieces + longest].lower().encode("utf-32-le", "replace")
+        part = text[max(0, start - 1) : start + pieces + longest].encode("utf-32-le", "replace")
         codes = np.frombuffer(part, dtype=np.uint32)
         codes = np.where(_letters()[np.minimum(codes, 0x10FFFF)], codes, 0)
         codes = np.concatenate([np.zeros(int(start == 0), np.uint32), codes, np.zeros(int(start + pieces >= len(text)), np.uint32)])
-        last = min(len(codes), pieces + 1 if start + pieces < len(text) else len(codes))
+        last = pieces if start + pieces < len(text) else len(codes)
         letter = codes != 0
         for n in sizes:
             count = min(len(codes) - n + 1, last)
@@ -81,7 +81,7 @@ def subwords(text: str, sizes: tuple[int, ...], buckets: int, pieces: int = PIEC
                 mixed = mixed * np.uint32(0x01000193) ^ (codes[k : k + count] * np.uint32(0x9E3779B1))
                 if k < n - 1:
                     inside &= letter[k : k + count]
-            inside &= letter[:count] | letter[n - 1 : n - 1 + count] if n > 2 else letter[:count] | letter[1 : 1 + count]
+            inside &= letter[:count] | letter[n - 1 : n - 1 + count]
             mixed = mixed[inside]
             mixed ^= mixed >> np.uint32(15)
             mixed *= np.uint32(0x85EBCA6B)
@@ -161,7 +161,7 @@ def train(found: pd.DataFrame, s: Settings = SETTINGS) -> Model:
             # The mean spreads a gradient over thousands of buckets: scale it back by the embedding's size.
             embed[flat[place][first]] -= rate * s.dim * np.add.reduceat(step[place], first, axis=0)
     test = np.flatnonzero(held) if held.any() else rows
-    z = _mean([ids[i] for i in test], [weights[i] for i in test], embed) @ layer + bias
+    z = np.concatenate([_mean([ids[i] for i in part], [weights[i] for i in part], embed) for part in np.array_split(test, -(-len(test) // s.batch))]) @ layer + bias
     truth = label[test]
     loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(test)), truth] + 1e-12).mean()
     temperature = min(np.geomspace(0.1, 10, 41), key=loss)

@@ -25,8 +25,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 PIECES, PIECE_TEXT, PIECE_SCORE, PIECE_TYPE = 1, 1, 2, 3
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 SPACE = "▁"
-#: Stands for a literal U+2581 of the text, which must not become a blank; no valid text holds a lone surrogate.
-LITERAL = "\udc81"
+#: Stands for a literal U+2581 of the text, which must not become a blank. Where a text holds this code point itself, it is the unit "".
+LITERAL = "\U0010fffe"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN_PENALTY = 10.0
 CHARS = 2_000_000
@@ -209,8 +209,19 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.solved, self.first, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known: dict[str, int] = {"": 0}
+        self.solved = self.v.byte_ids[list(LITERAL.encode())]
+        self.first, self.length = np.zeros(1, np.int64), np.full(1, len(self.solved))
+
+    def _units(self, text: str) -> list[str]:
+        if LITERAL in text:
+            head, *rest = text.split(LITERAL)
+            return self._units(head) + [u for part in rest for u in ["", *self.unit.findall(self._marked(part))]]
+        return self.unit.findall(self._marked(" " + text if text else ""))
+
+    @staticmethod
+    def _marked(text: str) -> str:
+        return text.replace(SPACE, LITERAL).replace(" ", SPACE)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -227,8 +238,7 @@ class Encoder:
     def _some(self, texts: list[str]) -> list[np.ndarray]:
         found, counts = [], []
         for text in texts:
-            marked = (" " + text if text else "").replace(SPACE, LITERAL).replace(" ", SPACE)
-            units = self.unit.findall(marked)
+            units = self._units(text)
             found += units
             counts.append(len(units))
         if len(self.known) > CACHED:

@@ -194,7 +194,7 @@ def _anchor_rows(rows: DataFrame, s: Settings) -> DataFrame:
                 "doc": np.repeat(batch["doc"].to_numpy(), times), "row": np.repeat(batch["row"].to_numpy(), times),
                 **dict(zip(("first", "last", "place", "anchor", "digest"), columns))})
 
-    return rows.mapInPandas(run, f"doc {kind}, row long, first long, last long, place long, anchor long, digest long")
+    return rows.mapInPandas(run, f"doc {kind}, row long, first int, last int, place int, anchor long, digest long")
 
 
 def _with_texts(rows: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
@@ -208,7 +208,7 @@ def _blocks(rows: DataFrame, wanted: DataFrame, size: int, s: Settings) -> DataF
     """Part runs of windows into blocks of ``size`` places relative to the anchor.
 
     All windows of a block hold its core, so only blocks with one core can have a
-    window in common. Columns doc, row, place, anchor, first, last, core, content.
+    window in common. Columns doc, row, place, first, last, core and core2 (128 bits), content.
     """
     kind = rows.schema["doc"].dataType.simpleString()
 
@@ -223,12 +223,12 @@ def _blocks(rows: DataFrame, wanted: DataFrame, size: int, s: Settings) -> DataF
                         low = place + b * size
                         a, z = max(first, low), min(last, low + size - 1)
                         core = xxhash.xxh3_128_intdigest(view[low + size - 1 : low + s.length], b & 0xFFFF)
-                        out.append((doc, row, place, r["anchor"], a, z, _signed(core >> 64), _signed(core ^ r["anchor"]),
+                        out.append((doc, row, place, a, z, _signed(core >> 64), _signed(core ^ r["anchor"]),
                                     _signed(xxhash.xxh3_64_intdigest(view[a : z + s.length], a - low))))
-            yield pd.DataFrame(out, columns=["doc", "row", "place", "anchor", "first", "last", "core", "core2", "content"])
+            yield pd.DataFrame(out, columns=["doc", "row", "place", "first", "last", "core", "core2", "content"])
 
     parted = _with_texts(rows, wanted, ["first", "last", "place", "anchor"])
-    return parted.mapInPandas(run, f"doc {kind}, row long, place long, anchor long, first long, last long, core long, core2 long, content long")
+    return parted.mapInPandas(run, f"doc {kind}, row long, place int, first int, last int, core long, core2 long, content long")
 
 
 def _signed(x: int) -> int:
@@ -272,10 +272,10 @@ def _sharded(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
         if held:
             yield solve(held)
 
-    total = wanted.agg(F.coalesce(F.sum(F.col("last") - F.col("first") + s.length), F.lit(0))).first()[0]
+    total = wanted.agg(F.coalesce(F.sum((F.col("last") - F.col("first") + s.length).cast("long")), F.lit(0))).first()[0]
     parts = max(1, -(-total // s.shard))
     texts = _with_texts(rows, wanted, ["first", "last", "core", "core2"])
-    named = texts.mapInPandas(strings, f"doc {kind}, row long, first long, core long, core2 long, data binary")
+    named = texts.mapInPandas(strings, f"doc {kind}, row long, first int, core long, core2 long, data binary")
     return named.repartition(parts, "core", "core2").sortWithinPartitions("core", "core2").mapInPandas(
         shards, f"doc {kind}, row long, start long, stop long")
 
@@ -301,8 +301,8 @@ def repeated_spans(docs: DataFrame, key: str, s: Settings = SETTINGS) -> DataFra
     same = cut(same.select("anchor", "digest", "n", "mixed", "one.*"))
     many = same.where("n > 1").select("anchor", "digest")
     at = around.where(maybe_in(bitmap_of(many.select("digest")), F.col("digest"))).join(many, ["anchor", "digest"])
-    stop = (F.col("last") + s.length).alias("stop")
-    spans = [at.select("doc", "row", F.col("first").alias("start"), stop)]
+    start, stop = F.col("first").cast("long").alias("start"), (F.col("last") + s.length).cast("long").alias("stop")
+    spans = [at.select("doc", "row", start, stop)]
 
     left = same.where("mixed").select("doc", "row", "first", "last", "place", "anchor")
     for size in s.blocks:
@@ -310,15 +310,15 @@ def repeated_spans(docs: DataFrame, key: str, s: Settings = SETTINGS) -> DataFra
         _blocks(rows, left, size, s).write.parquet(parted)
         blocks = spark.read.parquet(parted)
         contents = blocks.groupBy("core", "core2", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("doc", "row", "first", "last", "place", "anchor")).alias("one"))
+            F.count("*").alias("n"), F.min(F.struct("doc", "row", "first", "last", "place")).alias("one"))
         cores = contents.groupBy("core", "core2").agg(F.count("*").alias("strings"))
         contents = cut(contents.join(cores, ["core", "core2"]).where("n > 1 OR strings > 1"))
         full = contents.where("n > 1").select("core", "core2", "content")
         settled = blocks.where(maybe_in(bitmap_of(full.select("content")), F.col("content"))).join(full, ["core", "core2", "content"])
-        spans.append(settled.select("doc", "row", F.col("first").alias("start"), stop))
+        spans.append(settled.select("doc", "row", start, stop))
         open_ = contents.where("strings > 1").select("strings", "core", "core2", "one.*")
         spans.append(_sharded(rows, open_.where(F.col("strings") <= s.group), s))
-        left = open_.where(F.col("strings") > s.group).select("doc", "row", "first", "last", "place", "anchor")
+        left = open_.where(F.col("strings") > s.group).select("doc", "row", "first", "last", "place", F.col("core2").alias("anchor"))
         if left.isEmpty():
             break
     found = spans[0]
