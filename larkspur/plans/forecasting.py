@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import iso_text
@@ -38,7 +40,7 @@ def arima_forecast(t):
 
 @query("Y6", "Y10")
 def seasonal_arima_forecast(t):
-    order = ar.Order(2, 1, 1, 1, 1, 0, 52, trend=True)
+    order = ar.Order(3, 1, 3, 1, 1, 1, 52, trend=True)
     return _dated(co.round_columns(ar.forecast(ar.fit(weekly_by_priority(t), order, BY), 53, 7), 2))
 
 
@@ -67,16 +69,13 @@ def seasonal_walk_outlook(t):
 @query("Y8", "J5", "Y19")
 def arima_with_shipments(t):
     both = paired_weeks(t).dropna()
-    model = ar.fit(both, ar.Order(3, 1, 1, 1, 1, 0, 52, trend=True), exog=["x"])
+    model = ar.fit(both, ar.Order(3, 1, 3, 1, 1, 1, 52, trend=True), exog=["x"])
     return co.round_columns(model.interval_table(), 6)
 
 
 @query("Y16")
 def arima_grid(t):
-    orders = [
-        ar.Order(p, d, q, sp_, sd, 0, 52)
-        for p in (0, 1, 2) for d in (0, 1) for q in (0, 1) for sp_ in (0, 1) for sd in (0, 1)
-    ]
+    orders = [ar.Order(*o) for o in product((0, 1, 2), (0, 1), (0, 1, 2), (0, 1, 2), (0, 1), (0, 1, 2), (12, 52))]
     grid = ar.grid_aic(weekly_by_priority(t), orders, BY)
     return co.round_columns(ar.best_orders(grid, BY), 4)
 

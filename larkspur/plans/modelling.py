@@ -89,7 +89,7 @@ def model_comparison(t):
         "forest": rg.random_forest(trees=10, depth=6),
         "randomised trees": rg.randomised_trees(trees=10, depth=6),
         "bagged trees": rg.bagged_trees(trees=10, depth=6),
-        "boosted trees": rg.boosted_trees(max_iter=5, depth=4),
+        "boosted trees": rg.boosted_trees(max_iter=10, depth=4),
         "reweighted trees": lambda table: rg.boost_by_reweighting(table, rounds=4),
         "huber": rg.huber(),
     })
@@ -106,7 +106,7 @@ def forest_importances(t):
 @query("L8", "L18", "M8")
 def boosted_scores(t):
     train, test = charge_sides(t)
-    model = rg.boosted_trees(max_iter=5, depth=4).fit(train)
+    model = rg.boosted_trees(max_iter=10, depth=4).fit(train)
     scored = rg.score_both(model, train, test)
     return scored.groupBy("side").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -138,28 +138,75 @@ def labelled_features(t):
 
 @query("L4", "E13", "M6")
 def quality_logit_fit(t):
-    known = labelled_features(t).select("quality", *[F.log1p(c).alias(c) for c in DOC_FEATURES[:3]])
+    known = labelled_features(t).select("quality", "lang", *[F.log1p(c).alias(c) for c in DOC_FEATURES])
     ready = fe.formula("quality ~ .").fit(known).transform(known).select("features", "label").persist()
     model = rg.logistic_glm().fit(ready)
     summary = model.summary
     measures = st.logit_fit_measures(model.transform(ready), "label", "prediction", rank=summary.rank)
-    out = measures.withColumn("deviance", F.lit(float(summary.deviance))).withColumn(
-        "null_deviance", F.lit(float(summary.nullDeviance))
-    )
-    return co.round_columns(out, 6)
+    out = measures.withColumns({
+        "deviance": F.lit(float(summary.deviance)), "null_deviance": F.lit(float(summary.nullDeviance))})
+    fitted = checkpointed(co.round_columns(out, 6))
+    ready.unpersist()
+    return fitted
 
 
-@query("L7", "L19", "L20", "A13")
-def quality_prospects(t):
+@query("L4", "L6")
+def quality_logit_coefficients(t):
+    """Estimate, standard error, z and p of every term; a row per coefficient."""
+    known = labelled_features(t).select("quality", *[F.log1p(c).alias(c) for c in DOC_FEATURES])
+    ready = fe.formula("quality ~ .").fit(known).transform(known).select("features", "label").persist()
+    model = rg.logistic_glm().fit(ready)
+    summary = model.summary
+    names = [*DOC_FEATURES, "(intercept)"]
+    estimates = [*model.coefficients.toArray().tolist(), model.intercept]
+    rows = list(zip(names, estimates, summary.coefficientStandardErrors, summary.tValues, summary.pValues))
+    ready.unpersist()
+    table = t.spark.createDataFrame([(n, *map(float, v)) for n, *v in rows], "term string, estimate double, std_error double, z double, p_value double")
+    return co.round_columns(table, 6)
+
+
+def scored_prospects(t):
+    """Unlabelled documents with the probability that they are good."""
     known = fe.assemble(labelled_features(t), DOC_FEATURES, invalid="error")
     model = cl.forest_classifier(trees=20, depth=5, labelCol="quality").fit(checkpointed(known.select("features", "quality")))
     unlabelled = t.documents.select("doc_id", "lang", "text").join(t.labels, "doc_id", "left_anti")
     fresh = fe.assemble(document_features(unlabelled), DOC_FEATURES, invalid="error")
-    scored = model.transform(fresh).select("doc_id", "lang", cl.class_probability().alias("p"))
-    chosen = cl.likely(cl.best_prospects(scored, "p", ["doc_id"], 1000), "p", 0.65)
+    return model.transform(fresh).select("doc_id", "lang", cl.class_probability().alias("p"))
+
+
+@query("L7", "L19", "L20", "A13")
+def quality_prospects(t):
+    # Everything above the threshold, however much that is.
+    chosen = cl.likely(scored_prospects(t), "p", 0.65)
     return chosen.select("doc_id", "lang", F.round("p", 6).alias("p"), cl.cut(F.col("p")).alias("said"))
 
 
+@query("L19", "L20")
+def best_quality_prospects(t):
+    # The thousand best, however likely they are.
+    return cl.best_prospects(scored_prospects(t), "p", ["doc_id"], 1000).select("doc_id", "lang", F.round("p", 6).alias("p"))
+
+
+#: A fixed score, so that both selections can be compared with SQL.
+FIXED_P = "1 / (1 + exp(-(ln(1 + length(text)) - 6.5)))"
+UNLABELLED = f"SELECT doc_id, round({FIXED_P}, 9) AS p FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+
+
+def fixed_prospects(t):
+    fresh = t.documents.join(t.labels, "doc_id", "left_anti")
+    return fresh.select("doc_id", F.expr(f"round({FIXED_P}, 9)").alias("p"))
+
+
+@query("L20", "O3", sql=f"SELECT * FROM ({UNLABELLED}) ORDER BY p DESC, doc_id LIMIT 1000")
+def best_thousand_prospects(t):
+    return cl.best_prospects(fixed_prospects(t), "p", ["doc_id"], 1000)
+
+
+@query("L20", "F3", sql=f"SELECT * FROM ({UNLABELLED}) WHERE p > 0.65")
+def likely_prospects(t):
+    return cl.likely(fixed_prospects(t), "p", 0.65)
+
+
 @query("L21")
 def quality_shuffle_importance(t):
     known = checkpointed(labelled_features(t))

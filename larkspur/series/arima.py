@@ -243,9 +243,9 @@ def _future_regressors(model: Fit, future: DataFrame, h: int) -> DataFrame:
 def grid_aic(df: DataFrame, orders: Sequence[Order], by: Sequence[str] = ()) -> DataFrame:
     """(key..., params, n, sse, aic) for every order, all on the same stretch of each series.
 
-    Orders that difference alike share their shocks; every row then carries its
-    recent values and shocks as arrays, from which each order picks its lags.
-    The fits of one series are spread over tasks by (key, order).
+    Orders that differ alike share their shocks and one table of cross products:
+    every order is a corner of it, so a row is read once however many orders there
+    are. A keyed series too short for the stretch has its orders with nulls.
     """
     start = max(o.start for o in orders)
     parts = []
@@ -253,50 +253,54 @@ def grid_aic(df: DataFrame, orders: Sequence[Order], by: Sequence[str] = ()) ->
         mine = [o for o in orders if (o.d, o.seasonal_d, o.season if o.seasonal_d else 0) == lost]
         widest = max(mine, key=lambda o: (len(o.long_lags), max([0, *o.long_lags])))
         shocked = _shocks(_worked(df, widest, by, ()), widest, by)
-        reach = max([1, *[k for o in mine for k in (*o.ar_lags, *o.ma_lags)]])
-        recent = ordered(by).rowsBetween(-reach, -1)
-        carried = shocked.withColumns({
-            "_ws": F.collect_list(F.coalesce("w", F.lit(0.0))).over(recent),
-            "_es": F.collect_list(F.coalesce("e", F.lit(0.0))).over(recent),
-        }).where((F.col("place") > start) & F.col("w").isNotNull())
-        table = F.explode(F.array(*[
-            F.struct(
-                F.lit(o.label).alias("params"),
-                F.array(*[F.lit(k) for k in o.ar_lags]).cast("array<int>").alias("ar"),
-                F.array(*[F.lit(k) for k in o.ma_lags]).cast("array<int>").alias("ma"),
-                F.lit(o.constant).alias("constant"), F.lit(o.trend).alias("trend"),
-            ) for o in mine
-        ])).alias("o")
-        rows = carried.select(*by, "place", "w", "_ws", "_es", table)
-        x = F.concat(
-            F.when(F.col("o.constant"), F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")),
-            F.when(F.col("o.trend"), F.array(F.col("place").cast("double"))).otherwise(F.array().cast("array<double>")),
-            F.transform("o.ar", lambda k: F.element_at(F.col("_ws"), -k)),
-            F.transform("o.ma", lambda k: F.element_at(F.col("_es"), -k)),
+        lags = sorted({k for o in mine for k in o.ar_lags})
+        shocks = sorted({k for o in mine for k in o.ma_lags})
+        terms = ["constant", "trend", *[f"w{k}" for k in lags], *[f"e{k}" for k in shocks]]
+        subsets = [[
+            *[terms.index("constant")] * o.constant, *[terms.index("trend")] * o.trend,
+            *[terms.index(f"w{k}") for k in o.ar_lags], *[terms.index(f"e{k}") for k in o.ma_lags],
+        ] for o in mine]
+        w = ordered(by)
+        wide = F.array(
+            F.lit(1.0), F.col("place").cast("double"), *[F.coalesce(F.lag("w", k).over(w), F.lit(0.0)) for k in lags],
+            *[F.coalesce(F.lag("e", k).over(w), F.lit(0.0)) for k in shocks],
         )
-        parts.append(rows.select(*by, F.col("o.params").alias("params"), "w", x.alias("x")))
+        rows = shocked.withColumn("x", wide).where((F.col("place") > start) & F.col("w").isNotNull())
+        fitted = rows.groupBy(*by).agg(_fit_subsets(subsets)("w", "x").alias("f"))
+        if by:
+            fitted = df.select(*by).distinct().join(fitted, list(by), "left")
+        labels = F.array(*[F.lit(o.label) for o in mine])
+        pairs = F.transform(labels, lambda label, i: F.struct(label.alias("params"), F.get("f", i).alias("f")))
+        parts.append(fitted.select(*by, F.explode(pairs).alias("o")).select(*by, "o.*"))
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
-    keys = [*by, "params"]
-    fitted = stacked.groupBy(*keys).agg(_fit_arrays("w", "x").alias("f"))
     sse, n, rank = F.col("f")[0], F.col("f")[1], F.col("f")[2]
-    return fitted.select(*keys, n.cast("long").alias("n"), sse.alias("sse"), gaussian_aic(sse, n, rank + 1).alias("aic"))
+    return stacked.select(*by, "params", n.cast("long").alias("n"), sse.alias("sse"), gaussian_aic(sse, n, rank + 1).alias("aic"))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _fit_arrays(y: pd.Series, x: pd.Series) -> list:
-    """Least squares on feature arrays: sse, n and rank of one series under one order."""
-    target = y.to_numpy(dtype=float)
-    if len(x.iloc[0]) == 0:
-        return [float(target @ target), float(len(target)), 0.0]
-    rows = np.stack([np.asarray(v, dtype=float) for v in x])
-    _, _, sse, rank = solve_normal_equations(rows.T @ rows, rows.T @ target, float(target @ target), len(target))
-    return [float(sse), float(len(target)), float(rank)]
+def _fit_subsets(subsets: Sequence[Sequence[int]]):
+    """Least squares on chosen places of one feature array: sse, n and rank for each choice."""
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def run(y: pd.Series, x: pd.Series) -> list:
+        target = y.to_numpy(dtype=float)
+        rows = np.stack([np.asarray(v, dtype=float) for v in x])
+        gram, moment, total, n = rows.T @ rows, rows.T @ target, float(target @ target), len(target)
+        out = []
+        for chosen in subsets:
+            if not len(chosen):
+                out.append([total, float(n), 0.0])
+                continue
+            _, _, sse, rank = solve_normal_equations(gram[np.ix_(chosen, chosen)], moment[list(chosen)], total, n)
+            out.append([float(sse), float(n), float(rank)])
+        return out
+
+    return run
 
 
 def best_orders(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The order with the lowest AIC per key."""
+    """The order with the lowest AIC per key; null where no order could be fitted."""
     return grid.groupBy(*by).agg(F.min_by("params", "aic").alias("params"), F.min("aic").alias("aic"))
 
 

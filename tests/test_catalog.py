@@ -9,11 +9,7 @@ from larkspur.plans import load_all
 FOLDER = "/root/testdata/sf0.001"
 CATALOG = load_all()
 WITH_SQL = sorted(n for n, q in CATALOG.items() if q.sql)
-# Slow fits are covered by their own tests on small tables.
-ROWS_ONLY = sorted(set(CATALOG) - set(WITH_SQL) - {
-    "model_comparison", "embedding_elbow", "lasso_coefficients", "quality_shuffle_importance", "boosted_scores",
-    "forest_importances",
-})
+ROWS_ONLY = sorted(set(CATALOG) - set(WITH_SQL))
 
 
 @pytest.fixture(scope="module")
@@ -33,5 +29,5 @@ def test_gives_rows(spark, name):
 
 def test_contract(spark):
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
-    assert set(sql) <= set(queries)
+    assert set(sql) <= set(queries) and set(CATALOG) <= set(queries)
     assert entry_module.entry(spark).columns == ["n_name", "amount"]

@@ -40,7 +40,7 @@ def test_calendar_reads_its_source_once(spark):
 
 @pytest.mark.parametrize("name", [
     "top_nations_by_amount", "quarter_region_subtotals", "prices_inside_fence", "gaps_to_mean", "prices_from_quantity",
-    "parts_scaled", "amount_histogram", "event_value_density", "weekly_large_orders", "event_value_boxes",
+    "parts_scaled", "amount_histogram", "event_value_density", "weekly_orders", "event_value_boxes",
     "fixed_rows_per_class", "income_from_lookup", "trend_forecast", "arima_grid",
 ])
 def test_no_cross_joins(spark, name):

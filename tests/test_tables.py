@@ -22,9 +22,9 @@ def values(df, *names):
 
 
 def test_band_edges_are_right_closed(spark):
-    df = spark.createDataFrame([(0.0,), (1.0,), (350.0,), (350.01,), (1000.0,), (1000.5,), (None,)], "x double")
-    got = {r.x: r.b for r in df.select("x", text.band(F.col("x"), [0, 350, 1000], ["low", "high"]).alias("b")).collect()}
-    assert got == {0.0: None, 1.0: "low", 350.0: "low", 350.01: "high", 1000.0: "high", 1000.5: None, None: None}
+    df = spark.createDataFrame([(0.0,), (1.0,), (80.0,), (80.01,), (640.0,), (640.5,), (None,)], "x double")
+    got = {r.x: r.b for r in df.select("x", text.band(F.col("x"), [0, 80, 640], ["low", "high"]).alias("b")).collect()}
+    assert got == {0.0: None, 1.0: "low", 80.0: "low", 80.01: "high", 640.0: "high", 640.5: None, None: None}
 
 
 def test_text_repairs(spark):
