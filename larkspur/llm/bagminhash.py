@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS
         sizes = classes.groupBy("id").agg(F.min("size").alias("size"))
         return cut(ids.join(sizes, "id").join(own, "id", "left").select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared")))
 
-    more = open_pairs(members, roots, tested, s.similarity, sizes_of, lambda pairs: compared(pairs, rows, s))
+    more = open_pairs(members, roots, tested, s.similarity, sizes_of)
     if more is not None and not more.isEmpty():
         edges = edges.unionByName(compared(more, rows, s).where("similar").select("a", "b"))
         roots = cut(components(edges))

@@ -100,57 +100,39 @@ def open_members(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(still, "bucket", "left_semi").select("bucket", "id", "root")
 
 
-def open_pairs(
-    rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float,
-    sizes_of: Callable[[DataFrame], DataFrame], compare: Callable[[DataFrame], DataFrame],
-) -> DataFrame | None:
+def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float, sizes_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """Pairs (a, b) that share a bucket, lie in different components, were not tested and can be similar; None if all buckets are closed.
 
     ``tested``: (a, b, overlap) of the pairs of ``star_pairs``. ``sizes_of`` takes
     ids and gives (id, size, shared): the size of each set, and how much of it any
-    other of these ids has at all. ``compare`` takes pairs (a, b) and adds overlap.
+    other of these ids has at all.
 
     Of sets with sizes m and n, a similarity of t takes an overlap of
-    t (m + n) / (1 + t). What two members share lies inside a third set or outside
-    it; either part is bounded by what each of them has there. The third set is
-    the least member of the bucket, with which both were compared, and a hub that
-    most of a group have in common, with which every open member is compared here. So members that have too much of their own for every partner leave
-    before pairs are made, pairs that cannot be similar are not made, and no pair
-    that is similar is left out. All but the pairs made is linear in the members.
+    t (m + n) / (1 + t). What two members share lies inside the least member of
+    their bucket, with which both were compared, or outside it; either part is
+    bounded by what each of them has there. So members that have too much of their
+    own for every partner leave before pairs are made, pairs that cannot be similar
+    are not made, and no pair that is similar is left out.
     """
     t = similarity
     members = cut(open_members(rows, roots))
     if members.isEmpty():
         return None
-    ids = members.select("id").distinct()
-    # The hub of a member: the least set that it was compared with, or the least that this one was.
-    step = tested.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
-    hubs = ids.join(step, "id", "left").select("id", F.coalesce("b", "id").alias("one"))
-    hubs = hubs.join(step.select(F.col("id").alias("one"), F.col("b").alias("two")), "one", "left")
-    hubs = cut(hubs.select("id", F.coalesce("two", "one").alias("hub")))
-    sized = sizes_of(cut(ids.union(hubs.select("hub")).distinct()))
-    to_hub = hubs.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    known = to_hub.join(tested.select("a", "b", "overlap"), ["a", "b"], "left")
-    asked = cut(compare(cut(known.where("overlap IS NULL").select("a", "b"))).select("a", "b", "overlap"))
-    to_hub = known.where("overlap IS NOT NULL").unionByName(asked).select(F.col("a").alias("id"), F.col("overlap").alias("in_hub"))
+    sized = sizes_of(cut(members.select("id").distinct()))
     least = members.groupBy("bucket").agg(F.min("id").alias("least"))
-    to_least = tested.select(F.col("a").alias("id"), F.col("b").alias("least"), F.col("overlap").alias("in_least"))
-    members = members.join(least, "bucket").join(to_least, ["id", "least"], "left").join(sized, "id")
-    members = members.join(hubs, "id").join(to_hub, "id", "left")
-    members = cut(members.select("bucket", "id", "root", "hub", "size", "shared", F.coalesce("in_least", "size").alias("in_least"), F.coalesce("in_hub", "size").alias("in_hub")))
+    inside = tested.select(F.col("a").alias("id"), F.col("b").alias("least"), "overlap")
+    members = members.join(least, "bucket").join(inside, ["id", "least"], "left").join(sized, "id")
+    members = cut(members.select("bucket", "id", "root", "size", "shared", F.coalesce("overlap", "size").alias("inside")))
     small = members.groupBy("bucket").agg(F.min("size").alias("small"))
     able = members.join(small, "bucket").where((F.col("shared") >= t * F.col("size")) & ((1 + t) * F.col("shared") >= t * (F.col("size") + F.col("small"))))
     able = cut(able.drop("small"))
     still = able.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
     left = able.join(still, "bucket", "left_semi")
-    right = left.select("bucket", *[F.col(c).alias(c + "2") for c in ("id", "root", "hub", "size", "shared", "in_least", "in_hub")])
-
-    def enough(inside: str) -> Column:
-        outside = F.least(F.col("shared") - F.col(inside), F.col("shared2") - F.col(inside + "2"))
-        return (1 + t) * (F.least(inside, inside + "2") + F.greatest(F.lit(0), outside)) >= t * (F.col("size") + F.col("size2"))
-
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("root") < F.col("root2")) & enough("in_least") & (
-        (F.col("hub") != F.col("hub2")) | enough("in_hub")))
+    right = left.select("bucket", *[F.col(c).alias(c + "2") for c in ("id", "root", "size", "shared", "inside")])
+    outside = F.least(F.col("shared") - F.col("inside"), F.col("shared2") - F.col("inside2"))
+    common = F.least("inside", "inside2") + F.greatest(F.lit(0), outside)
+    enough = (1 + t) * common >= t * (F.col("size") + F.col("size2"))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("root") < F.col("root2")) & enough)
     pairs = pairs.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
     return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
