@@ -137,8 +137,8 @@ def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity:
     return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
 
-#: Bits of a bitmap: 2**24 bits are 2 MB, whatever the number of keys.
-BITS = 24
+#: Bits of a bitmap: 2**23 bits are 1 MB, whatever the number of keys.
+BITS = 23
 
 
 def bitmap_of(keys: DataFrame, bits: int = BITS) -> Column:
