@@ -1,9 +1,10 @@
 """Operator 8, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of test items that are rarest in the corpus are looked up in every
-document. Where one occurs, the item is aligned with that part of the document;
-the local alignment's score, as a share of the item's length, tells an exact,
-edited or paraphrased copy from a chance meeting.
+document, so many of an item that each copy which scores enough holds one. Where
+one occurs, the item is aligned with that part of the document; the local
+alignment's score, as a share of the item's length, tells an exact, edited or
+paraphrased copy from a chance meeting.
 """
 
 from __future__ import annotations
@@ -27,17 +28,25 @@ class Settings:
     An item is leaked if its best alignment scores ``min_share`` of its length and
     ``min_words`` at least (its whole length, if it is shorter). ``block_chars`` of
     benchmark text are held by a task at once; more go in several passes.
+
+    ``n`` is 2, as a copy can reach half the length with no three words in a row
+    (a word put in after every second one).
     """
 
-    n: int = 3
-    seed_share: float = 0.5
-    min_seeds: int = 16
+    n: int = 2
     min_share: float = 0.5
     min_words: int = 8
     block_chars: int = 8_000_000
 
 
 SETTINGS = Settings()
+
+
+def enough(length: np.ndarray, s: Settings) -> np.ndarray:
+    """The least alignment score at which an item of so many words is leaked."""
+    return np.maximum(np.ceil(s.min_share * length), np.minimum(s.min_words, length)).astype(np.int64)
+
+
 EDGES = "*#$%&|<>.,;:!?'\"()[]{}-_=+~^`/\\‘’“”–—…¡¿«»"
 
 
@@ -108,13 +117,18 @@ class Block:
         return cls(ids, words, first, length, sizes, keys, np.append(starts, len(key)), item[order], offset[order])
 
     def rarest(self, counts: np.ndarray, s: Settings) -> Block:
-        """Keep, for every item, the share of its n-grams that fewest documents hold (``counts`` by key)."""
+        """Keep, for every item, the n-grams that fewest documents hold (``counts`` by key), as many as no copy can do without.
+
+        An alignment in r runs of equal words has r - 1 edits at least, so with a score
+        of S it holds S - 1 of the item's pairs of words. Whichever they are, one is
+        among any (length - S + 1) of its pairs. Pairs that no document holds count.
+        """
         of_key = np.repeat(np.arange(len(self.keys)), np.diff(self.starts))
         order = np.lexsort((self.offset, counts[of_key], self.item))
         total = np.bincount(self.item, minlength=len(self.ids))
         place = np.arange(len(order)) - (np.cumsum(total) - total)[self.item[order]]
-        wanted = np.maximum(np.ceil(total * s.seed_share), s.min_seeds)
-        keep = np.sort(order[place < wanted[self.item[order]]])
+        wanted = self.length - enough(self.length, s) + 1 if s.n <= 2 else total
+        keep = np.sort(order[(place < wanted[self.item[order]]) & (counts[of_key][order] > 0)])
         keys, starts = np.unique(self.keys[of_key[keep]], return_index=True)
         return Block(self.ids, self.words, self.first, self.length, self.sizes, keys, np.append(starts, len(keep)), self.item[keep], self.offset[keep])
 
@@ -248,7 +262,7 @@ def _leaks_of_block(texts: DataFrame, block: Block, key: str, kind: str, item_ke
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = seeded.value
-        enough = np.maximum(s.min_share * b.length, np.minimum(s.min_words, b.length))
+        least = enough(b.length, s)
         for batch in batches:
             whole, keys = batch["text"].tolist(), batch[key].to_numpy()
             for part in _portions(whole):
@@ -256,7 +270,7 @@ def _leaks_of_block(texts: DataFrame, block: Block, key: str, kind: str, item_ke
                 parts = b.candidates(hashes, counts)
                 item = parts["item"].to_numpy()
                 scores = b.align(hashes, parts)
-                good = scores >= enough[item]
+                good = scores >= least[item]
                 yield pd.DataFrame({
                     key: keys[part][parts["doc"].to_numpy()[good]], item_key: [b.ids[i] for i in item[good]],
                     "score": scores[good] / b.length[item[good]]})

@@ -195,6 +195,31 @@ def test_edited_copies_are_found_and_others_left(spark):
     assert decontam.decontaminate(df, bench.limit(0)).where("contaminated").count() == 0 and decontam.decontaminate(df.limit(0), bench).count() == 0
 
 
+def test_dense_edits_against_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    items = [[word() for _ in range(n)] for n in (8, 12, 19, 30, 40, 60) for _ in range(4)]
+
+    def edited(item, step, how):
+        return [y for k, x in enumerate(item) for y in ((([word()] if how == "exchange" else [x, word()]) if k % step == step - 1 else [x]))]
+
+    docs = [[word() for _ in range(20)] + edited(x, step, how) + [word() for _ in range(20)]
+            for x in items for how, steps in (("exchange", (3, 4, 5, 6)), ("put in", (1, 2, 3))) for step in steps]
+    want = {}
+    for d, doc in enumerate(docs):
+        codes = decontam.word_hashes([" ".join(doc)])[0].tolist()
+        best = [_slow_align(decontam.word_hashes([" ".join(x)])[0].tolist(), codes) if set(x) & set(doc) else 0 for x in items]
+        want[d] = [i for i, x in enumerate(items) if best[i] >= max(0.5 * len(x), min(8, len(x)))]
+    df = spark.createDataFrame([(d, " ".join(x)) for d, x in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    assert sum(map(bool, want.values())) > 80
+    assert {r.doc_id: r["items"] for r in decontam.decontaminate(df, bench).collect()} == want
+    # Each pattern by itself, so that no other copy makes its broken pairs occur.
+    for k in range(7):
+        alone = {r.doc_id: r["items"] for r in decontam.decontaminate(df.where(f"doc_id % 7 = {k}"), bench).collect()}
+        assert alone == {d: want[d] for d in want if d % 7 == k}
+
+
 # Operator 10
 
 def test_signatures_estimate_weighted_similarity():
