@@ -208,6 +208,30 @@ def test_near_equal_lines_against_brute_force(spark):
         assert out[d].text == "\n".join(kept) and out[d].n_removed == sum(k == d for k, _ in gone) and out[d].n_lines == 6
 
 
+def test_recall_of_bands_by_length_and_without_blanks(spark):
+    rng = random.Random(13)
+    cut = lambda x: {x[i : i + 5] for i in range(len(x) - 4)}
+    plain = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = {"spaced": plain + "     ", "unspaced": plain + "0123456789/+", "han": "".join(chr(0x4E00 + i) for i in range(400))}
+    pairs = []
+    for kind, letters in alphabets.items():
+        some = lambda n: "x" + "".join(rng.choice(letters) for _ in range(n - 2)) + "x"
+        for length in (12, 30, 60, 150, 400, 900):
+            n = length - 4
+            for k in range(60):
+                a = some(length)
+                b = list(a)
+                for at in rng.sample(range(5, length - 5), n // 45):
+                    b[at] = rng.choice(letters)
+                b = "".join(b) if n >= 45 and k % 3 == 0 else a + some(2 + n // 5)[2:] if k % 3 == 1 or n < 9 else some(2 + n // 9)[2:] + a[n // 9 :]
+                if a != b and len(cut(a) & cut(b)) >= 0.8 * len(cut(a) | cut(b)):
+                    pairs.append((kind, length, a, b))
+    df = spark.createDataFrame(pairs, "kind string, length long, a string, b string")
+    met = F.arrays_overlap(fuzzylines.bands_of(F.col("a"), fuzzylines.SETTINGS), fuzzylines.bands_of(F.col("b"), fuzzylines.SETTINGS))
+    rows = df.groupBy("kind", "length").agg(F.avg(met.cast("double")).alias("recall")).collect()
+    assert len(rows) == 18 and all(r.recall >= 0.95 for r in rows) and sum(r.recall for r in rows) / 18 >= 0.99
+
+
 def test_lines_of_odd_rows(spark, odd_docs):
     out = fuzzylines.dedup_lines(odd_docs)
     assert out.columns == odd_docs.columns + ["n_lines", "n_removed"]
