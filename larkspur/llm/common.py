@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,9 +113,11 @@ def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity:
     their bucket, with which both were compared, or outside it; either part is
     bounded by what each of them has there. So members that have too much of their
     own for every partner leave before pairs are made, pairs that cannot be similar
-    are not made, and no pair that is similar is left out.
+    are not made, and no pair that is similar is left out. With t = p / q all of
+    this is in integers: rounding would lose pairs that are exactly similar.
     """
-    t = similarity
+    t = Fraction(str(similarity))
+    p, q = t.numerator, t.denominator
     members = cut(open_members(rows, roots))
     if members.isEmpty():
         return None
@@ -124,14 +127,14 @@ def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity:
     members = members.join(least, "bucket").join(inside, ["id", "least"], "left").join(sized, "id")
     members = cut(members.select("bucket", "id", "root", "size", "shared", F.coalesce("overlap", "size").alias("inside")))
     small = members.groupBy("bucket").agg(F.min("size").alias("small"))
-    able = members.join(small, "bucket").where((F.col("shared") >= t * F.col("size")) & ((1 + t) * F.col("shared") >= t * (F.col("size") + F.col("small"))))
+    able = members.join(small, "bucket").where((q * F.col("shared") >= p * F.col("size")) & ((p + q) * F.col("shared") >= p * (F.col("size") + F.col("small"))))
     able = cut(able.drop("small"))
     still = able.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
     left = able.join(still, "bucket", "left_semi")
     right = left.select("bucket", *[F.col(c).alias(c + "2") for c in ("id", "root", "size", "shared", "inside")])
     outside = F.least(F.col("shared") - F.col("inside"), F.col("shared2") - F.col("inside2"))
     common = F.least("inside", "inside2") + F.greatest(F.lit(0), outside)
-    enough = (1 + t) * common >= t * (F.col("size") + F.col("size2"))
+    enough = (p + q) * common >= p * (F.col("size") + F.col("size2"))
     pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("root") < F.col("root2")) & enough)
     pairs = pairs.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
     return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))

@@ -33,6 +33,17 @@ def test_without_treats_null_as_a_key(spark):
     assert left([(2,)]) == ["a", "c"] and left([(None,)]) == ["a", "b", "d"] and left([]) == ["a", "b", "c", "d"]
 
 
+def test_exact_ties_stay_open(spark):
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    for k in (7, 14, 23, 28, 33, 1000):
+        sizes = frame([(1, 9 * k, 0), (2, 4 * k, 4 * k), (3, 5 * k, 4 * k)], "id long, size long, shared long")
+        rows, tested = frame([(5, 1), (5, 2), (5, 3)], "bucket long, id long"), frame([(2, 1, 0), (3, 1, 0)], "a long, b long, overlap long")
+        got = common.open_pairs(rows, frame([], "node long, root long"), tested, 0.8, lambda ids: sizes)
+        assert [tuple(r) for r in got.collect()] == [(3, 2)]
+        less = sizes.withColumn("shared", F.when(F.col("id") == 3, 4 * k - 1).otherwise(F.col("shared")))
+        assert common.open_pairs(rows, frame([], "node long, root long"), tested, 0.8, lambda ids: less).count() == 0
+
+
 # Operator 6
 
 def test_base_counts_by_hand(spark):
