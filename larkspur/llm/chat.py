@@ -23,8 +23,10 @@ ESCAPED = "([<\\[])\\\\(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>|<SYS>)"
 
 @dataclass(frozen=True)
 class Budget:
-    """Tokens per window, and how many of them the system turn and history may take.
+    """Tokens per window, and how many of them are set aside for the system turn and history.
 
+    A system turn over ``system_tokens`` is repeated whole as any other; what it has
+    more is taken off the window's budget for new turns.
     ``history_turns`` turns before a window are repeated as long as they fit into
     ``history_tokens``. A single turn longer than what is left is not cut: it is a
     window by itself, marked ``over_budget``.
@@ -39,6 +41,11 @@ class Budget:
     def new_tokens(self) -> int:
         return self.window_tokens - self.system_tokens - self.history_tokens
 
+    def cell_tokens(self, system: Column) -> Column:
+        """``new_tokens``, less what a system turn of so many tokens has over ``system_tokens``; 1 at least."""
+        over = F.greatest(F.coalesce(system, F.lit(0)) - self.system_tokens, F.lit(0))
+        return F.greatest(F.lit(self.new_tokens) - over, F.lit(1)).cast("long")
+
 
 BUDGET = Budget()
 
@@ -73,29 +80,35 @@ def chat_windows(conversations: DataFrame, budget: Budget = BUDGET) -> DataFrame
 
     Prefix sums of tokens decide: the tokens before and after a turn fall into
     cells of ``new_tokens``; a turn inside a cell joins the others there, a turn
-    across a cell border is a window of its own. So no window exceeds the budget,
-    unless one turn does alone.
+    across a cell border is a window of its own. The whole system turn opens every
+    window, and the cells of a conversation are smaller where it is longer than
+    ``system_tokens``. So no window exceeds the budget, unless one new turn does
+    with what is repeated before it; such windows are ``over_budget``.
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = rows.withColumn("tokens", turn_tokens(F.concat("role", "text")))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"place": F.row_number().over(order), "after": F.sum("tokens").over(upto)})
-    cell = lambda c: F.floor(c / F.lit(budget.new_tokens))
-    first, last = cell(F.col("after") - F.col("tokens")), cell(F.col("after") - 1)
+    is_system = (F.col("place") == 1) & (F.col("role") == "system")
+    system = F.first(F.when(is_system, F.struct("role", "text", "tokens"))).over(upto)
+    rows = rows.withColumn("system", system)
+    cell = lambda c: F.floor(c / budget.cell_tokens(F.col("system.tokens")))
+    # A long system turn has its own part of the budget: it is not counted in the cells and goes with the turn after it.
+    rows = rows.withColumn("long", F.when(F.col("system.tokens") > budget.system_tokens, F.col("system.tokens")).otherwise(F.lit(0)))
+    upto_here = F.col("after") - F.col("long")
+    first, last = cell(upto_here - F.col("tokens")), cell(upto_here - 1)
     rows = rows.withColumn("span", F.when(first == last, 2 * first).otherwise(2 * first + 1))
-    system = F.first(F.when((F.col("place") == 1) & (F.col("role") == "system"), F.struct("role", "text", "tokens"))).over(upto)
+    rows = rows.withColumn("span", F.when(is_system & (F.col("long") > 0), F.coalesce(F.lead("span").over(order), F.lit(0))).otherwise(F.col("span")))
     rows = rows.withColumns({
         "starts": F.coalesce(F.lag("span").over(order) != F.col("span"), F.lit(True)),
         **{f"span{k}": F.lead("span", k).over(order) for k in range(1, budget.history_turns + 1)},
         **{f"tokens{k}": F.lead("tokens", k).over(order) for k in range(1, budget.history_turns)},
-    }).withColumn("system", F.when(F.col("starts") & (F.col("place") > 1), system))
-    kept_system = F.col("system").isNotNull() & (F.col("system.tokens") <= budget.system_tokens)
+    }).withColumn("system", F.when(F.col("starts") & (F.col("place") > 1), F.col("system")))
     # A row goes out as itself, as history of a window that starts soon after it, and the first of a window brings the system turn.
-    is_system = (F.col("place") == 1) & (F.col("role") == "system")
     copies = [
-        F.when(kept_system, F.struct(F.lit(-1).alias("place"), F.col("span"), F.lit(1).alias("again"), F.col("system.role").alias("role"),
-                                     F.col("system.text").alias("text"), F.col("system.tokens").alias("tokens"))),
+        F.when(F.col("system").isNotNull(), F.struct(F.lit(-1).alias("place"), F.col("span"), F.lit(1).alias("again"), F.col("system.role").alias("role"),
+                                                        F.col("system.text").alias("text"), F.col("system.tokens").alias("tokens"))),
         F.struct("place", "span", F.lit(0).alias("again"), "role", "text", "tokens"),
     ]
     before = F.col("span")

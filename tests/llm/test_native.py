@@ -144,6 +144,24 @@ def test_windows_keep_budget_order_and_mask(spark):
     assert chat.chat_windows(df.limit(0)).count() == 0
 
 
+def test_long_system_turn_opens_every_window(spark):
+    rows = []
+    for c, size in enumerate((100, 490, 1500, 3000, 6000)):
+        rows.append((c, 0, "system", "s" * size))
+        rows += [(c, t, "user" if t % 2 else "assistant", "w" * 300) for t in range(1, 30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.chat_windows(df).collect()
+    assert {w.conv_id for w in windows if w.window > 1} == set(range(5))
+    for w in windows:
+        system = "<|start|>system<|head|>" + rows[30 * w.conv_id][3] + "<|end|>"
+        assert w.formatted.startswith(system) and w.formatted.count("<|start|>system") == 1
+        assert w.n_tokens <= chat.BUDGET.window_tokens or w.over_budget and (w.conv_id == 4 or w.n_turns - w.n_repeated == 1)
+        assert w.n_turns > 1 and w.over_budget == (w.n_tokens > chat.BUDGET.window_tokens)
+    assert all(w.over_budget for w in windows if w.conv_id == 4) and not any(w.over_budget for w in windows if w.conv_id < 3)
+    got = chat.conversation_digests(chat.chat_windows(df)).collect()
+    assert all(r.n_turns == 30 and r.loss_chars == 14 * 300 for r in got)
+
+
 def test_escape_round_trip(spark):
     rng = random.Random(5)
     parts = ["<", "|", "\\", "s>", "/s>", "[", "INST]", "/INST]", "x", "<|start|>", "\n"]
