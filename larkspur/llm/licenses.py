@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import llm_query, table
+from larkspur.llm.license_list import DIGESTS, TEXTS
 
 #: The texts of short licences and of the notices that stand for long ones.
 MIT = (
@@ -94,12 +95,20 @@ def normal_unit(lines: Column) -> Column:
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession, licenses: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
-    """license, digest and n_chars of each known normalised text; texts that normalise alike keep the first name."""
+#: Characters of a normalised unit that are looked at first, and of the unit before respelling that decide them.
+HEAD, AHEAD = 20, 100
+
+
+def known_digests(spark: SparkSession, licenses: tuple[tuple[str, str], ...] = LICENSES + TEXTS, digests: tuple = DIGESTS) -> DataFrame:
+    """license, digest, n_chars and head of each known normalised text; texts that normalise alike keep the first name.
+
+    ``digests`` holds such rows of texts that are too long to be kept here.
+    """
     known = spark.createDataFrame(list(licenses), "license string, text string")
-    unit = known.withColumn("unit", normal_unit(normal_lines(F.col("text"))))
-    return unit.where("unit <> ''").groupBy(F.sha2("unit", 256).alias("digest")).agg(
-        F.min("license").alias("license"), F.max(F.length("unit")).alias("n_chars"))
+    unit = known.withColumn("unit", normal_unit(normal_lines(F.col("text")))).where("unit <> ''")
+    rows = unit.select("license", F.sha2("unit", 256).alias("digest"), F.length("unit").alias("n_chars"), F.substring("unit", 1, HEAD).alias("head"))
+    rows = rows.unionByName(spark.createDataFrame(list(digests), "license string, digest string, n_chars int, head string"))
+    return rows.groupBy("digest").agg(F.min("license").alias("license"), F.max("n_chars").alias("n_chars"), F.min("head").alias("head"))
 
 
 def license_scan(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -114,9 +123,10 @@ def license_scan(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> Data
     Texts and lines are hashed where they are read and meet the known digests in
     a hash join; per document only one row is shuffled. Units over twice as long
     as every known text are not hashed: respelling cannot halve a text, so they
-    match none.
+    match none. Nor are units that begin as no known text does.
     """
     limit, count = known.agg(F.coalesce(2 * F.max("n_chars"), F.lit(0)), F.count("*")).first()
+    heads = [r[0] for r in known.select("head").distinct().collect()] if count <= BROADCAST_ROWS else None
     known = known.select(F.col("digest").alias("_digest"), F.col("license").alias("_license"))
     known = F.broadcast(known) if count <= BROADCAST_ROWS else known
     lines = docs.select(key, normal_lines(F.col("text")).alias("_lines"))
@@ -127,8 +137,9 @@ def license_scan(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> Data
         F.array(F.struct(F.lit(True).alias("whole"), F.coalesce("_whole", F.lit("")).alias("unit"))),
         F.transform(F.filter("_parts", lambda x: short(F.trim(x)) & (F.trim(x) != "")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))),
     )).alias("u")).select(key, "u.*")
-    units = units.withColumn("unit", normal_unit(F.col("unit")))
-    units = units.withColumn("_digest", F.when(F.col("unit") != "", F.sha2("unit", 256))).drop("unit")
+    begin = F.substring(normal_unit(F.substring(F.trim(F.regexp_replace("unit", "[ \\n]+", " ")), 1, AHEAD)), 1, HEAD)
+    maybe = begin != "" if heads is None else begin.isin(heads)
+    units = units.withColumn("_digest", F.when(maybe, F.sha2(normal_unit(F.col("unit")), 256))).drop("unit")
     found = units.join(known, "_digest", "left")
     line = F.when(~F.col("whole"), F.col("_license"))
     return found.groupBy(key).agg(

@@ -1,6 +1,7 @@
 """Operators 2, 5, 6, 7 and 9."""
 
 import hashlib
+import pathlib
 import random
 import re
 
@@ -187,6 +188,48 @@ def test_licences_by_whole_text_and_line(spark):
     assert licenses.license_scan(df.limit(0), licenses.known_digests(spark)).count() == 0
 
 
+def test_long_licences_and_standard_headers(spark):
+    apache = "   Licensed under the Apache License, Version 2.0 (the \"License\");\n   you may not use this file except in compliance with the License.\n"
+    bsd = """BSD 2-Clause License
+
+Copyright (c) 2021, A. Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+    texts = {0: ("code\n" + apache + "code", None, ["Apache-2.0"]), 1: (bsd, "BSD-2-Clause", []), 2: ("\n" * 300 + bsd.lower(), "BSD-2-Clause", []),
+             3: ("# SPDX-License-Identifier: GPL-3.0-or-later\nx", None, ["GPL-3.0-or-later"]), 4: (bsd.replace("binary form", "any form"), None, [])}
+    for k, (name, file) in enumerate((
+            ("Apache-2.0", "Apache-2.0"), ("BSD-3-Clause", "BSD"), ("CC0-1.0", "CC0-1.0"), ("GPL-2.0-only", "GPL-2"), ("GPL-3.0-only", "GPL-3"),
+            ("LGPL-2.1-only", "LGPL-2.1"), ("LGPL-3.0-only", "LGPL-3"), ("MPL-2.0", "MPL-2.0"))):
+        path = pathlib.Path("/usr/share/common-licenses", file)
+        if path.exists():
+            texts[10 + k] = (path.read_text(), name, None)
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(df, licenses.known_digests(spark)).collect()}
+    assert {i: got[i].license for i in texts} == {i: name for i, (_, name, _) in texts.items()}
+    assert all(notices is None or got[i].notices == notices for i, (_, _, notices) in texts.items())
+
+
 # Operator 2
 
 def _brute_lines(docs, similarity, width):
