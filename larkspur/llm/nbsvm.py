@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import llm_query, table
+from larkspur.llm.common import bitmap_of, cut, llm_query, maybe_in, table
+from larkspur.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -168,13 +169,20 @@ def grams(text: str | None, buckets: int, piece: int = PIECE) -> np.ndarray:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """Rows (text, y) of documents with a label 0 or 1, once for each text and label: copies do not outweigh other texts.
+    """Rows (text, y, h) of documents with a label 0 or 1, once for each text and label: copies do not outweigh other texts.
 
-    A null key has no label; null texts are empty; a text under both labels counts for both.
+    A null key has no label; null texts are empty; a text under both labels counts
+    for both. Labels go to text hashes first, so that only labelled texts are
+    shuffled, copies merged before; the rows are written to the shared folder.
     """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(key).alias("_key"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text", F.lit("quality")))
     marks = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)").distinct()
-    rows = docs.select(F.col(key).alias("_key"), F.coalesce("text", F.lit("")).alias("text")).join(marks, "_key")
-    return rows.select("text", "y", F.xxhash64("text", F.lit("quality")).alias("h")).dropDuplicates(["h", "y"])
+    known = cut(texts.select("_key", "h").join(marks, "_key").select("h", "y").distinct())
+    once = texts.where(maybe_in(bitmap_of(known.select("h")), F.col("h"))).groupBy("h").agg(F.min("text").alias("text"))
+    path = scratch_path(spark, "labelled")
+    once.join(known, "h").select("text", "y", "h").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def log_count_ratio(rows: DataFrame, s: Settings = SETTINGS) -> np.ndarray:
