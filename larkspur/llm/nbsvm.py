@@ -29,7 +29,7 @@ class Settings:
     """``rows_per_class`` bounds the sample for the hinge-loss fit; log-count ratios use every labelled row."""
 
     buckets: int = 1 << 18
-    rows_per_class: int = 4000
+    rows_per_class: int = 2000
     smoothing: float = 1.0
     cost: float = 1.0
     epochs: int = 15
@@ -229,8 +229,8 @@ def sample(rows: DataFrame, s: Settings = SETTINGS) -> pd.DataFrame:
 
 def scaled(ids: np.ndarray, ratio: np.ndarray) -> np.ndarray:
     """The indicators' log-count ratios, to unit length so that long texts do not outvote short ones."""
-    x = ratio[ids].astype(np.float64)
-    size = np.sqrt((x * x).sum())
+    x = ratio[ids]
+    size = np.float32(np.sqrt((x * x).sum(dtype=np.float64)))
     return x / size if size else x
 
 
