@@ -50,12 +50,12 @@ def _solve(gram: pd.Series, moment: pd.Series, yy: pd.Series, n: pd.Series, mean
         if centre is None:
             coef, stderr, sse, rank = solve_normal_equations(full, m, y2, count)
         else:
-            coef, stderr, sse, rank = _with_intercept(full, m, y2, count, np.asarray(centre, dtype=float), level)
+            coef, stderr, sse, rank = with_intercept(full, m, y2, count, np.asarray(centre, dtype=float), level)
         rows.append((coef.tolist(), [None if np.isnan(s) else float(s) for s in stderr], float(sse), rank))
     return pd.DataFrame(rows, columns=["coef", "stderr", "sse", "rank"])
 
 
-def _with_intercept(gram: np.ndarray, moment: np.ndarray, yy: float, n: float, centre: np.ndarray, level: float):
+def with_intercept(gram: np.ndarray, moment: np.ndarray, yy: float, n: float, centre: np.ndarray, level: float):
     """``solve_normal_equations`` on centred products, with the intercept and its error from the means."""
     k = len(moment)
     scale = np.sqrt(np.clip(np.diag(gram), 1e-300, None))

@@ -18,6 +18,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.gram import cross_products, gather
 from larkspur.operators.aggregates import levels_of
 
 
@@ -148,23 +149,19 @@ def pca_stages(vector: str, k: int, output: str, centred: bool = True) -> list:
 def truncated_svd(df: DataFrame, columns: Sequence[str], k: int, output: str = "svd") -> DataFrame:
     """Project uncentred columns on the first k right singular vectors.
 
-    The cross products come from one aggregate; only a matrix as wide as the
-    column list is decomposed on the driver. Each vector's largest weight is
-    made positive.
+    The cross products are summed in blocks, whatever the number of columns; only a
+    matrix as wide as the column list is decomposed on the driver. Each vector's
+    largest weight is made positive.
     """
-    cols = [F.col(c).cast("double") for c in columns]
-    width = len(cols)
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    flat = df.dropna(subset=list(columns)).agg(F.array(*[F.sum(cols[i] * cols[j]) for i, j in pairs])).first()[0]
-    gram = np.zeros((width, width))
-    for (i, j), value in zip(pairs, flat):
-        gram[i, j] = gram[j, i] = value
+    products = gather(cross_products(df, columns))
+    gram = products[()].raw() if products else np.zeros((len(columns), len(columns)))
     _, vectors = np.linalg.eigh(gram)
+    values = F.array(*[F.col(c).cast("double") for c in columns])
     for place in range(k):
-        axis = vectors[:, width - 1 - place]
+        axis = vectors[:, len(columns) - 1 - place]
         axis = axis * np.sign(axis[np.argmax(np.abs(axis))])
-        score = sum((F.lit(float(w)) * c for w, c in zip(axis[1:], cols[1:])), F.lit(float(axis[0])) * cols[0])
-        df = df.withColumn(f"{output}_{place + 1}", score)
+        weighted = F.zip_with(values, F.array(*[F.lit(float(w)) for w in axis]), lambda x, w: x * w)
+        df = df.withColumn(f"{output}_{place + 1}", F.aggregate(weighted, F.lit(0.0), lambda a, v: a + v))
     return df
 
 

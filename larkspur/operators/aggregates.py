@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isnan
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.gram import correlation_cells
 from larkspur.operators.columns import numeric_names
 from larkspur.operators.quantiles import exact_quantiles, quantile_table
 
@@ -131,8 +129,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digi
     """Long matrix ``(i, j, var1, var2, corr)`` over complete rows, from one pass.
 
     A few columns are one aggregate of pairwise correlations and stay lazy; many
-    go through one pass over vectors, of which only the k x k matrix comes to
-    the driver. Either way a column without spread has null correlations, with itself too.
+    are one pass of cross products in blocks, and the cells are made from these in
+    tasks. Either way a column without spread has null correlations, with itself too.
     """
     names = list(columns or numeric_names(df))
     complete = df.select(*[F.col(n).cast("double").alias(n) for n in names]).dropna()
@@ -145,10 +143,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digi
         ]
         matrix = complete.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
     else:
-        vectors = VectorAssembler(inputCols=names, outputCol="_vector").transform(complete).select("_vector")
-        found = Correlation.corr(vectors, "_vector").first()[0].toArray()
-        rows = [(i, j, a, b, None if isnan(found[i, j]) else float(found[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
-        matrix = df.sparkSession.createDataFrame(rows, "i int, j int, var1 string, var2 string, corr double")
+        label = F.array(*[F.lit(n) for n in names])
+        cells = correlation_cells(complete, names)
+        matrix = cells.select("i", "j", F.get(label, F.col("i")).alias("var1"), F.get(label, F.col("j")).alias("var2"), "corr")
     return matrix if digits is None else matrix.withColumn("corr", F.round("corr", digits))
 
 

@@ -63,7 +63,7 @@ def welch_test(df: DataFrame, group: str, column: str, first, second, level: flo
     freedom = F.try_divide((a + b) * (a + b), F.try_divide(a * a, F.col("_n") - 1) + F.try_divide(b * b, F.col("_m") - 1))
     gap = F.col("mean_first") - F.col("mean_second")
     tested = row.select("mean_first", "mean_second", gap.alias("_gap"), error.alias("_error"), F.try_divide(gap, error).alias("t"), freedom.alias("df"))
-    half = t_quantile(F.lit(float(level)), F.col("df")) * F.col("_error")
+    half = t_quantile(float(level), F.col("df")) * F.col("_error")
     return tested.withColumn("p_value", t_p_value("t", "df")).withColumn("_half", half).select(
         "mean_first", "mean_second", "t", "df", "p_value",
         (F.col("_gap") - F.col("_half")).alias("ci_low"), (F.col("_gap") + F.col("_half")).alias("ci_high"),

@@ -7,6 +7,7 @@ from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import functions as F
 
 from larkspur.models import features as fe
+from larkspur.operators import aggregates as ag
 from larkspur.operators import columns as co
 from larkspur.plans.registry import query
 from larkspur.session import scratch_path
@@ -128,3 +129,39 @@ def formula_features(t):
     base = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", F.month("o_orderdate").alias("month"))
     out = fe.formula("o_totalprice ~ o_orderstatus + month").fit(base).transform(base)
     return fe.spread_vector(out.select("o_orderkey", "label", "features"), "features", ["p", "o", "month"])
+
+
+@query("E2", "A16", "A19", sql="""
+    WITH b AS (SELECT p_brand, count(*) AS nb FROM part GROUP BY 1), c AS (SELECT p_type, count(*) AS nc FROM part GROUP BY 1),
+    k AS (SELECT p_brand, p_type, count(*) AS nk FROM part GROUP BY 1, 2), n AS (SELECT count(*)::DOUBLE AS n FROM part)
+    SELECT 'p_brand_' || p_brand AS var1, 'p_type_' || p_type AS var2,
+      round((n * coalesce(nk, 0) - nb * nc) / sqrt(nb * (n - nb)) / sqrt(nc * (n - nc)), 6) AS corr
+    FROM b CROSS JOIN c CROSS JOIN n LEFT JOIN k USING (p_brand, p_type)""")
+def part_dummy_correlations(t):
+    """Brands against types, from the correlations of all dummy columns of parts in one pass."""
+    sized = t.part.select("p_brand", "p_type", F.col("p_size").cast("string").alias("p_size"))
+    cells = ag.correlation_matrix(fe.dummies(sized, ["p_brand", "p_type", "p_size"]), digits=6)
+    return cells.where(F.col("var1").startswith("p_brand_") & F.col("var2").startswith("p_type_")).select("var1", "var2", "corr")
+
+
+@query("E11", sql="""
+    WITH g AS (SELECT sum(p_size::DOUBLE * p_size) AS a, sum(p_size * p_retailprice / 100) AS b, sum(p_retailprice * p_retailprice / 10000) AS c FROM part),
+    e AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS top, (a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS low FROM g),
+    v AS (SELECT b / sqrt(b * b + pow(top - a, 2)) AS x1, (top - a) / sqrt(b * b + pow(top - a, 2)) AS y1,
+      b / sqrt(b * b + pow(low - a, 2)) AS x2, (low - a) / sqrt(b * b + pow(low - a, 2)) AS y2 FROM e),
+    w AS (SELECT *, CASE WHEN abs(x1) >= abs(y1) THEN sign(x1) ELSE sign(y1) END AS s1, CASE WHEN abs(x2) >= abs(y2) THEN sign(x2) ELSE sign(y2) END AS s2 FROM v)
+    SELECT p_partkey, round(s1 * (x1 * p_size + y1 * p_retailprice / 100), 6) AS svd_1, round(s2 * (x2 * p_size + y2 * p_retailprice / 100), 6) AS svd_2 FROM part, w""")
+def two_column_svd(t):
+    parts = t.part.select("p_partkey", F.col("p_size").cast("double").alias("size"), (F.col("p_retailprice") / 100).alias("price"))
+    return co.round_columns(fe.truncated_svd(parts, ["size", "price"], 2).select("p_partkey", "svd_1", "svd_2"), 6)
+
+
+@query("E10", sql="""
+    WITH g AS (SELECT avg(p_size) AS mx, avg(p_retailprice / 100) AS my, var_pop(p_size) AS a, covar_pop(p_size, p_retailprice / 100) AS b, var_pop(p_retailprice / 100) AS c FROM part),
+    e AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS top FROM g)
+    SELECT p_partkey, round(abs(b * (p_size - mx) + (top - a) * (p_retailprice / 100 - my)) / sqrt(b * b + pow(top - a, 2)), 6) AS distance FROM part, e""")
+def first_component_distance(t):
+    """How far a part lies along the first principal component, without the component's arbitrary sign."""
+    parts = fe.assemble(t.part.select("p_partkey", "p_size", (F.col("p_retailprice") / 100).alias("price")), ["p_size", "price"])
+    scored = fe.fit_chain(fe.pca_stages("features", 1, "pca"), parts).transform(parts)
+    return fe.spread_vector(scored.select("p_partkey", "pca"), "pca", ["c"]).select("p_partkey", F.round(F.abs("c"), 6).alias("distance"))

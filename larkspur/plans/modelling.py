@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from larkspur.functions import gram as gm
+from larkspur.functions.distributions import t_p_value_sql
 from larkspur.models import classification as cl
 from larkspur.models import features as fe
+from larkspur.models import penalised as pn
 from larkspur.models import regression as rg
 from larkspur.operators import aggregates as ag
 from larkspur.operators import columns as co
@@ -41,16 +44,30 @@ def elastic_net_errors(t):
       avg(l_quantity) AS mx FROM lineitem),
     e AS (SELECT *, syy * (1 - r2) / (n - 2) AS s2 FROM f)
     SELECT 0 AS position, '(intercept)' AS term, round(a, 3) AS estimate, round(sqrt(s2 * (1.0 / n + mx * mx / sxx)), 4) AS stderr,
-      round(a / sqrt(s2 * (1.0 / n + mx * mx / sxx)), 4) AS t, n, round(r2, 6) AS r2 FROM e
-    UNION ALL SELECT 1, 'l_quantity', round(b, 3), round(sqrt(s2 / sxx), 4), round(b / sqrt(s2 / sxx), 4), n, round(r2, 6) FROM e""")
+      round(a / sqrt(s2 * (1.0 / n + mx * mx / sxx)), 4) AS t, n, round(r2, 6) AS r2,
+      round(""" + t_p_value_sql("a / sqrt(s2 * (1.0 / n + mx * mx / sxx))", "n - 2") + """, 8) AS p_value FROM e
+    UNION ALL SELECT 1, 'l_quantity', round(b, 3), round(sqrt(s2 / sxx), 4), round(b / sqrt(s2 / sxx), 4), n, round(r2, 6),
+      round(""" + t_p_value_sql("b / sqrt(s2 / sxx)", "n - 2") + """, 8) FROM e""")
 def price_regression_table(t):
     table = rg.ols_table(t.lineitem, "l_extendedprice", ["l_quantity"])
     return table.select(
         "position", "term", F.round("estimate", 3).alias("estimate"), F.round("stderr", 4).alias("stderr"),
-        F.round("t", 4).alias("t"), "n", F.round("r2", 6).alias("r2"),
+        F.round("t", 4).alias("t"), "n", F.round("r2", 6).alias("r2"), F.round("p_value", 8).alias("p_value"),
     )
 
 
+@query("L2", sql="""
+    WITH f AS (SELECT count(*) AS n, regr_slope(l_discount, l_quantity) AS b, regr_intercept(l_discount, l_quantity) AS a,
+      regr_r2(l_discount, l_quantity) AS r2, regr_syy(l_discount, l_quantity) AS syy, regr_sxx(l_discount, l_quantity) AS sxx,
+      avg(l_quantity) AS mx FROM lineitem),
+    e AS (SELECT *, sqrt(syy * (1 - r2) / (n - 2) / sxx) AS se FROM f)
+    SELECT 'l_quantity' AS term, round(b, 9) AS estimate, round(b / se, 5) AS t, round(""" + t_p_value_sql("b / se", "n - 2") + """, 7) AS p_value FROM e""")
+def discount_regression_slope(t):
+    """A slope that is near zero, so that its p-value is not."""
+    table = rg.ols_table(t.lineitem, "l_discount", ["l_quantity"]).where("position = 1")
+    return table.select("term", F.round("estimate", 9).alias("estimate"), F.round("t", 5).alias("t"), F.round("p_value", 7).alias("p_value"))
+
+
 @query("L2", sql="""
     WITH m AS (SELECT l_returnflag, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my,
       covar_pop(l_quantity, l_quantity) AS s11, covar_pop(l_quantity, l_discount) AS s12, covar_pop(l_discount, l_discount) AS s22,
@@ -73,15 +90,86 @@ def price_gradient_descent(t):
     return ro.append_results(t.spark, [{"weight": round(fit.weights[0], 3)}], "weight double")
 
 
+def charged_lines(t):
+    """Predictors and the amount charged, with a fold per order."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return t.lineitem.select(*KEYS, *PREDICTORS, charge.alias("charge"))
+
+
+def order_fold():
+    return F.pmod(F.col("l_orderkey"), F.lit(10))
+
+
 @query("L5", "L6", "R4", "F6", "O3", "O4")
 def lasso_coefficients(t):
-    train, _ = charge_sides(t)
-    model = rg.lasso_by_folds(train, KEYS, [1.0, 100.0, 1000.0], folds=10)
-    table = ro.keep_non_zero(rg.coefficient_table(train, model, PREDICTORS), "coeff")
+    """Ten folds, a hundred penalties: the two largest coefficients and the smallest one that are left."""
+    model = pn.lasso_by_folds(charged_lines(t), "charge", PREDICTORS, order_fold())
+    table = ro.keep_non_zero(rg.coefficient_table(t.lineitem, model, PREDICTORS), "coeff")
     ends = top_n(table, "coeff", 2, ["label"]).withColumn("end", F.lit("top"))
     return ends.unionByName(top_n(table, "coeff", 1, ["label"], largest=False).withColumn("end", F.lit("bottom")))
 
 
+@query("L5", "R4", sql="""
+    WITH f AS (SELECT l_orderkey % 10 AS fold, l_extendedprice / 1000 AS c0, l_discount AS c1, l_tax AS c2, l_quantity AS c3 FROM lineitem)
+    SELECT fold, count(*)::DOUBLE AS n, i, j, round(CASE 10 * i + j WHEN 0 THEN covar_pop(c0, c0) WHEN 1 THEN covar_pop(c0, c1) WHEN 2 THEN covar_pop(c0, c2)
+      WHEN 3 THEN covar_pop(c0, c3) WHEN 11 THEN covar_pop(c1, c1) WHEN 12 THEN covar_pop(c1, c2) WHEN 13 THEN covar_pop(c1, c3)
+      WHEN 22 THEN covar_pop(c2, c2) WHEN 23 THEN covar_pop(c2, c3) ELSE covar_pop(c3, c3) END, 7) AS covariance
+    FROM f, (SELECT a.i, b.j FROM range(4) a(i), range(4) b(j) WHERE a.i <= b.j) GROUP BY fold, i, j""")
+def fold_covariances(t):
+    """What the folds of a penalised regression are trained from."""
+    lines = t.lineitem.select(order_fold().alias("fold"), (F.col("l_extendedprice") / 1000).alias("price"), "l_discount", "l_tax", "l_quantity")
+    blocks = gm.cross_products(lines, ["price", "l_discount", "l_tax", "l_quantity"], ["fold"])
+    return gm.product_cells(blocks, ["fold"]).withColumn("covariance", F.round("covariance", 7))
+
+
+PENALTIES = [0.05, 0.5, 2.0, 8.0, 16.0, 40.0]
+
+#: The closed form with one predictor: shrink the moment in units of the predictor's deviation.
+LASSO_SQL = """
+    WITH l AS (SELECT l_orderkey % 10 AS fold, l_extendedprice / 1000 AS u, l_extendedprice / 1000 * (1 - l_discount) AS v FROM lineitem),
+    s AS (SELECT fold, count(*) AS n, sum(u) AS x, sum(v) AS y, sum(u * u) AS xx, sum(u * v) AS xy, sum(v * v) AS yy FROM l GROUP BY 1),
+    a AS (SELECT sum(n) AS n, sum(x) AS x, sum(y) AS y, sum(xx) AS xx, sum(xy) AS xy, sum(yy) AS yy FROM s),
+    d AS (SELECT s.fold, a.n - s.n AS n, a.x - s.x AS x, a.y - s.y AS y, a.xx - s.xx AS xx, a.xy - s.xy AS xy,
+        s.n AS hn, s.x AS hx, s.y AS hy, s.xx AS hxx, s.xy AS hxy, s.yy AS hyy FROM s, a
+      UNION ALL SELECT -1, n, x, y, xx, xy, n, x, y, xx, xy, yy FROM a),
+    c AS (SELECT *, (xx - x * x / n) AS sxx, (xy - x * y / n) AS sxy FROM d),
+    p AS (SELECT c.*, v.penalty, sqrt(sxx / n) AS sd FROM c, (VALUES (0.05::DOUBLE), (0.5), (2.0), (8.0), (16.0), (40.0)) AS v(penalty)),
+    w AS (SELECT *, sign(sxy) * greatest(abs(sxy / (n * sd)) - penalty, 0) / sd AS weight FROM p),
+    e AS (SELECT *, (hyy - 2 * weight * hxy + weight * weight * hxx - 2 * (y / n - weight * x / n) * (hy - weight * hx)) / hn + pow(y / n - weight * x / n, 2) AS mse FROM w),
+    m AS (SELECT penalty, avg(mse) AS mse FROM e WHERE fold >= 0 GROUP BY 1)"""
+
+
+def price_and_paid(t):
+    """Price and price less discount of every line, in thousands."""
+    price = F.col("l_extendedprice") / 1000
+    return t.lineitem.select("l_orderkey", price.alias("price"), (price * (1 - F.col("l_discount"))).alias("paid"))
+
+
+@query("L5", "L6", "R4", sql=LASSO_SQL + """
+    SELECT m.penalty, round(m.mse, 6) AS mse, round(e.weight, 8) AS weight, m.penalty = (SELECT arg_min(penalty, mse) FROM m) AS chosen
+    FROM m JOIN e ON e.penalty = m.penalty AND e.fold = -1""")
+def one_predictor_lasso(t):
+    """Held-out error and weight for every penalty, and which one ten folds choose."""
+    lines = price_and_paid(t)
+    fit = pn.lasso_by_folds(lines, "paid", ["price"], order_fold(), PENALTIES)
+    errors = fit.errors.groupBy("penalty").agg(F.round(F.avg("mse"), 6).alias("mse"))
+    path = pn.penalty_path(gm.gather(gm.cross_products(lines, ["price", "paid"]))[()], PENALTIES)
+    weights = t.spark.createDataFrame([(p, round(float(w[0]), 8)) for p, w, _ in path], "penalty double, weight double")
+    return errors.join(weights, "penalty").withColumn("chosen", F.col("penalty") == fit.penalty)
+
+
+@query("L1", "M8", sql="""
+    WITH l AS (SELECT l_extendedprice / 1000 AS u, l_extendedprice / 1000 * (1 - l_discount) AS v FROM lineitem),
+    s AS (SELECT count(*) AS n, avg(u) AS x, avg(v) AS y, var_pop(u) AS vx, stddev_pop(u) AS sd, covar_pop(u, v) AS c, var_pop(v) AS vy FROM l),
+    w AS (SELECT *, sign(c) * greatest(abs(c / sd) - 0.3 * 0.8, 0) / (1 + 0.3 * (1 - 0.8) / sqrt(vy)) / sd AS b FROM s)
+    SELECT round(b, 8) AS weight, round(y - b * x, 7) AS intercept, round(vy - 2 * b * c + b * b * vx, 6) AS mse FROM w""")
+def one_predictor_elastic_net(t):
+    lines = price_and_paid(t)
+    fit = pn.elastic_net_fit(lines, "paid", ["price"], 0.3, 0.8)
+    errors = st.error_metrics(lines.select("paid", fit.score().alias("said")), "paid", "said")
+    return errors.select(F.lit(round(fit.coefficients[0], 8)).alias("weight"), F.lit(round(fit.intercept, 7)).alias("intercept"), F.round("mse", 6).alias("mse"))
+
+
 @query("L7", "L8", "L9", "L10", "L11", "L12", "L17", "U2", "O3", "F3")
 def model_comparison(t):
     train, test = charge_sides(t)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.models import classification as cl
 from larkspur.models import features as fe
+from larkspur.models import penalised as pn
 from larkspur.models import regression as rg
 from larkspur.sources import sinks, synthetic
 from larkspur.session import scratch_path
@@ -102,9 +103,8 @@ def test_committee_predicts_weighted_median(spark, bent):
 
 def test_lasso_finds_the_used_columns(spark):
     df = synthetic.linear_from_keys(spark.range(500), ["id"], seed=9).withColumn("noise", F.pmod(F.xxhash64("id"), F.lit(100)) / 100.0)
-    train = fe.assemble(df, ["x", "noise"]).withColumnRenamed("y", "label")
-    model = rg.lasso_by_folds(train, ["id"], [0.05, 5.0], folds=3, seed=1)
-    table = {r.label: r.coeff for r in rg.coefficient_table(train, model, ["x", "noise"]).collect()}
+    model = pn.lasso_by_folds(df, "y", ["x", "noise"], F.pmod("id", F.lit(3)), [0.05, 5.0])
+    table = {r.label: r.coeff for r in rg.coefficient_table(df, model, ["x", "noise"]).collect()}
     assert table["x"] > 2 and abs(table["noise"]) < 0.1
 
 

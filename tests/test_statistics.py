@@ -79,3 +79,29 @@ def test_collinear_columns_do_not_break_the_fit(spark):
     df = spark.range(20).select(F.col("id").cast("double").alias("a"), (2.0 * F.col("id")).alias("b"), (3.0 * F.col("id") + 1).alias("y"))
     row = grouped_ols(df, "y", ["a", "b"]).first()
     assert row["rank"] == 2 and row.sse == pytest.approx(0.0, abs=1e-6)
+
+
+def test_distribution_columns_against_exact_values(spark):
+    rows = [(float(x),) for x in (-38, -8.5, -3.6, -3.5, -1.96, -0.3, 0, 1e-9, 0.7, 2.4, 3.54, 6)] + [(None,), (float("nan"),)]
+    got = spark.createDataFrame(rows, "x double").select("x", ds.normal_cdf("x").alias("p")).collect()
+    for r in got:
+        if r.x is None or math.isnan(r.x):
+            assert r.p is None
+        else:
+            assert r.p == pytest.approx(0.5 * math.erfc(-r.x / math.sqrt(2)), rel=1e-11, abs=1e-300)
+    cases = [(t, df) for t in (0.0, -0.01, 0.5, 1.0, 1.7, -1.8, 3.0, 10.0, 100.0) for df in (1.0, 2.0, 5.5, 30.0, 1000.0, 6e5, 1e9)]
+    got = spark.createDataFrame(cases + [(1.0, 0.0), (None, 3.0), (2.0, None)], "t double, df double").select("t", "df", ds.t_p_value("t", "df").alias("p")).collect()
+    for r in got[:-3]:
+        if r.df == 1e9:  # log gamma cancels in the number form; the normal tail is as near as 1e-7 here
+            assert r.p == pytest.approx(math.erfc(abs(r.t) / math.sqrt(2)), rel=1e-6, abs=1e-300), r
+        else:
+            assert r.p == pytest.approx(ds.t_two_sided(r.t, r.df), rel=1e-10 if r.df < 1e5 else 1e-8, abs=1e-14), r
+    assert [r.p for r in got[-3:]] == [None] * 3
+    got = spark.createDataFrame([(d,) for d in (1.0, 2.0, 10.0, 500.0, 1e6)] + [(0.0,), (None,)], "df double")
+    for level in (0.9, 0.95, 0.99):
+        found = got.select("df", ds.t_quantile(level, "df").alias("q")).collect()
+        assert all(r.q == pytest.approx(ds.t_critical(level, r.df), rel=1e-10) for r in found[:-2])
+        assert [r.q for r in found[-2:]] == [None, None]
+    # Exact: with one degree of freedom the distribution is Cauchy's, with two it is algebraic.
+    one = spark.createDataFrame([(3.0,)], "t double").select(ds.t_p_value("t", F.lit(1.0)).alias("a"), ds.t_p_value("t", F.lit(2.0)).alias("b")).first()
+    assert one.a == pytest.approx(1 - 2 * math.atan(3) / math.pi, rel=1e-12) and one.b == pytest.approx(1 - 3 / math.sqrt(11), rel=1e-12)
