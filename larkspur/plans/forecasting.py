@@ -130,5 +130,5 @@ def saturating_trend(t):
 def trend_cross_validation(t):
     grid = [(c, s) for c in (0.001, 0.01, 0.1, 0.5) for s in (0.01, 0.1, 1.0, 10.0)]
     shape = tr.Shape(weekly=0)
-    scores = tr.rolling_origin(weekly_orders(t), shape, grid, horizon_days=30, initial_days=730, period_days=15)
+    scores = tr.rolling_origin(weekly_orders(t), shape, grid, horizon_days=30)
     return co.round_columns(scores, 4)

@@ -1,9 +1,11 @@
-"""ARIMA with seasonal terms and outside regressors, for many series and many orders at once.
-
-Fitted by the two-step regression of Hannan and Rissanen: a long autoregression
-estimates the shocks, then one least-squares fit on lagged values and lagged
-shocks gives all coefficients. Seasonal terms enter as extra lags. Estimates
-differ from maximum likelihood in small samples.
+"""ARIMA with multiplicative seasonal terms and outside regressors, for many series and many orders at once.
+
+Fitted by the regression of Hannan and Rissanen in three steps: a long
+autoregression estimates the shocks, a least-squares fit on lagged values and
+lagged shocks starts the coefficients, and regressions of the shocks on their own
+derivatives correct them until the conditional sum of squares rests. Estimates
+differ from maximum likelihood in small samples. The grid of orders compares the
+second step's fits, with seasonal terms as extra lags.
 """
 
 from __future__ import annotations
@@ -20,6 +22,16 @@ from pyspark.sql import types as T
 
 from larkspur.functions.linalg import gaussian_aic, grouped_ols, linear_score, solve_normal_equations
 from larkspur.series.prep import differences, ordered
+from larkspur.session import checkpointed
+
+
+def _lagged_ones(weights: np.ndarray, step: int) -> np.ndarray:
+    """1 + weights[0] B^step + weights[1] B^(2 step) + ... as an array of coefficients."""
+    out = np.zeros(1 + step * len(weights))
+    out[0] = 1.0
+    if len(weights):
+        out[step::step] = weights
+    return out
 
 
 @dataclass(frozen=True)
@@ -41,6 +53,23 @@ class Order:
     def ma_lags(self) -> list[int]:
         return [*range(1, self.q + 1), *[self.season * i for i in range(1, self.seasonal_q + 1)]]
 
+    @property
+    def reach(self) -> tuple[int, int]:
+        """The longest lag of the multiplied-out polynomials of values and of shocks."""
+        return self.p + self.season * self.seasonal_p, self.q + self.season * self.seasonal_q
+
+    def unfold(self, coef: np.ndarray, n_exog: int) -> tuple[np.ndarray, ...]:
+        """Coefficients of the constant, trend and regressors; of lags and seasonal lags of values; of shocks."""
+        cuts = np.cumsum([int(self.constant) + int(self.trend) + n_exog, self.p, self.seasonal_p, self.q])
+        return tuple(np.split(np.asarray(coef, dtype=float), cuts))
+
+    def polynomials(self, coef: np.ndarray, n_exog: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of lags 1, 2, ... of values and of shocks, seasonal parts multiplied out."""
+        _, ar, seasonal_ar, ma, seasonal_ma = self.unfold(coef, n_exog)
+        values = np.convolve(_lagged_ones(-ar, 1), _lagged_ones(-seasonal_ar, self.season))
+        shocks = np.convolve(_lagged_ones(ma, 1), _lagged_ones(seasonal_ma, self.season))
+        return -values[1:], shocks[1:]
+
     @property
     def lost(self) -> int:
         return self.d + self.seasonal_d * self.season
@@ -117,36 +146,175 @@ def _shocks(worked: DataFrame, order: Order, by: Sequence[str]) -> DataFrame:
     return scored.withColumn("e", F.col("w") - linear_score(F.col("_long"), names)).drop("_long", *names)
 
 
+def _lag(x: np.ndarray, k: int) -> np.ndarray:
+    out = np.zeros_like(x)
+    out[k:] = x[: len(x) - k] if k else x
+    return out
+
+
+def _filtered(x: np.ndarray, weights: np.ndarray, step: int) -> np.ndarray:
+    """x plus its lags of ``step``, 2 ``step``, ... by ``weights``."""
+    return x + sum((w * _lag(x, step * (i + 1)) for i, w in enumerate(weights)), np.zeros_like(x))
+
+
+def _recursion(given: np.ndarray, weights: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    """out[t] = given[t] - sum of weights[k] out[t - 1 - k]; zero where the series cannot be used."""
+    lags = np.flatnonzero(weights)
+    if not len(lags):
+        return np.where(usable.reshape(-1, *[1] * (given.ndim - 1)), given, 0.0)
+    reach, share = len(weights), weights[lags]
+    out = np.zeros((len(given) + reach, *given.shape[1:]))
+    back = reach - 1 - lags
+    for t in np.flatnonzero(usable):
+        out[t + reach] = given[t] - share @ out[t + back]
+    return out[reach:]
+
+
+def _shocks_of(order: Order, coef: np.ndarray, w: np.ndarray, base: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    values, shocks = order.polynomials(coef, base.shape[1] - int(order.constant) - int(order.trend))
+    given = w - base @ coef[: base.shape[1]] - sum((v * _lag(w, k) for k, v in enumerate(values, 1) if v), np.zeros_like(w))
+    return _recursion(given, shocks, usable)
+
+
+def _slopes(order: Order, coef: np.ndarray, w: np.ndarray, base: np.ndarray, e: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    """Derivatives of the shocks by every coefficient."""
+    _, ar, seasonal_ar, ma, seasonal_ma = order.unfold(coef, base.shape[1] - int(order.constant) - int(order.trend))
+    by_season, by_short = _filtered(w, -seasonal_ar, order.season), _filtered(w, -ar, 1)
+    e_season, e_short = _filtered(e, seasonal_ma, order.season), _filtered(e, ma, 1)
+    columns = [
+        *base.T, *[_lag(by_season, k) for k in range(1, order.p + 1)], *[_lag(by_short, order.season * k) for k in range(1, order.seasonal_p + 1)],
+        *[_lag(e_season, k) for k in range(1, order.q + 1)], *[_lag(e_short, order.season * k) for k in range(1, order.seasonal_q + 1)],
+    ]
+    _, shocks = order.polynomials(coef, base.shape[1] - int(order.constant) - int(order.trend))
+    return _recursion(-np.column_stack(columns), shocks, usable)
+
+
+def _least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    scale = np.sqrt((x * x).sum(axis=0))
+    scale[scale == 0] = 1.0
+    return np.linalg.lstsq(x / scale, y, rcond=1e-10)[0] / scale
+
+
+def _started(order: Order, w: np.ndarray, base: np.ndarray, known: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    """The first two steps: shocks of a long autoregression, then one regression on lagged values and shocks."""
+    e = np.zeros_like(w)
+    if order.ma_lags:
+        lags = order.long_lags
+        whole = known.copy()
+        for k in lags:
+            whole &= _lag(known.astype(float), k) > 0
+        if whole.sum() > len(lags) + 1:
+            x = np.column_stack([np.ones(len(w)), *[_lag(w, k) for k in lags]])
+            e = np.where(whole, w - x @ _least_squares(x[whole], w[whole]), 0.0)
+            usable = usable & whole
+    x = np.column_stack([base, *[_lag(w, k) for k in order.ar_lags], *[_lag(e, k) for k in order.ma_lags]])
+    return _least_squares(x[usable], w[usable]) if usable.any() else np.zeros(x.shape[1])
+
+
+def fit_arrays(order: Order, w: np.ndarray, exog: np.ndarray, steps: int = 60) -> dict | None:
+    """Fit one differenced series: coefficients, standard errors, shocks and sums; None without a usable value.
+
+    A value counts if it and all lags it needs are there; shocks before the first
+    such value, and at values that do not count, are zero.
+    """
+    known = ~np.isnan(w) & ~np.isnan(exog).any(axis=1)
+    usable = known.copy()
+    for k in range(order.p + 1):
+        for j in range(order.seasonal_p + 1):
+            lag = k + j * order.season
+            if lag:
+                usable &= _lag(known.astype(float), lag) > 0
+    if not usable.any():
+        return None
+    w = np.where(known, w, 0.0)
+    place = np.arange(1, len(w) + 1, dtype=float)
+    base = np.column_stack([np.ones((len(w), int(order.constant))), *([place] if order.trend else []), np.nan_to_num(exog)])
+    width = base.shape[1] + order.p + order.seasonal_p + order.q + order.seasonal_q
+    n = int(usable.sum())
+
+    def cost(coef: np.ndarray) -> tuple[float, np.ndarray]:
+        with np.errstate(all="ignore"):
+            e = _shocks_of(order, coef, w, base, usable)
+            sse = float(e[usable] @ e[usable])
+        return (sse if np.isfinite(sse) else np.inf), e
+
+    plain = np.zeros(width)
+    plain[: base.shape[1]] = _least_squares(base[usable], w[usable]) if base.shape[1] else []
+    coef = min((_started(order, w, base, known, usable), plain), key=lambda c: cost(c)[0])
+    sse, e = cost(coef)
+    for _ in range(steps if width else 0):
+        move, size = -_least_squares(_slopes(order, coef, w, base, e, usable)[usable], e[usable]), 1.0
+        while size > 1e-6:
+            lower, shocks = cost(coef + size * move)
+            if lower < sse:
+                break
+            size /= 2
+        if size <= 1e-6:
+            break
+        gain, coef, sse, e = sse - lower, coef + size * move, lower, shocks
+        if gain <= 1e-8 * sse:
+            break
+    stderr, rank = np.zeros(0), 0
+    if width:
+        slopes = _slopes(order, coef, w, base, e, usable)[usable]
+        scale = np.sqrt((slopes * slopes).sum(axis=0))
+        scale[scale == 0] = 1.0
+        gram = (slopes / scale).T @ (slopes / scale)
+        rank = int(np.linalg.matrix_rank(gram, tol=1e-10, hermitian=True))
+        spread = np.clip(np.diag(np.linalg.pinv(gram, rcond=1e-12, hermitian=True)), 0, None)
+        stderr = np.sqrt(sse / (n - rank) * spread) / scale if n > rank else np.full(width, np.nan)
+    used = w[usable]
+    total = float(((used - used.mean()) ** 2).sum() if order.constant else used @ used)
+    return {"coef": coef, "stderr": stderr, "sse": sse, "n": n, "rank": rank, "total": total, "resid": np.where(usable, e, np.nan)}
+
+
+_FITTED = T.StructType([
+    T.StructField("coef", T.ArrayType(T.DoubleType())), T.StructField("stderr", T.ArrayType(T.DoubleType())), T.StructField("sse", T.DoubleType()),
+    T.StructField("n", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("total", T.DoubleType()),
+    T.StructField("resid", T.ArrayType(T.DoubleType())),
+])
+
+
+def _fitter(order: Order, n_exog: int):
+    def plain(values) -> list:
+        return [None if np.isnan(v) else float(v) for v in values]
+
+    @F.pandas_udf(_FITTED)
+    def run(ws: pd.Series, xs: pd.Series) -> pd.DataFrame:
+        rows = []
+        for w, x in zip(ws, xs):
+            w = np.array(w, dtype=float)
+            found = fit_arrays(order, w, np.array(x, dtype=float).reshape(len(w), n_exog))
+            rows.append([None] * 7 if found is None else [
+                plain(found["coef"]), plain(found["stderr"]), found["sse"], found["n"], found["rank"], found["total"], plain(found["resid"])])
+        return pd.DataFrame(rows, columns=[f.name for f in _FITTED])
+
+    return run
+
+
 def fit(df: DataFrame, order: Order, by: Sequence[str] = (), exog: Sequence[str] = ()) -> Fit:
-    """Fit every series of ``(key..., ds, y, exog...)``."""
-    w = ordered(by)
-    shocked = _shocks(_worked(df, order, by, exog), order, by)
-    columns: dict[str, Column] = {}
-    if order.trend:
-        columns["trend"] = F.col("place").cast("double")
-    for name in exog:
-        columns[name + "_effect"] = F.col(f"x_{name}")
-    for k in order.ar_lags:
-        columns[f"ar_{k}"] = F.lag("w", k).over(w)
-    for k in order.ma_lags:
-        columns[f"ma_{k}"] = F.lag("e", k).over(w)
-    terms = (["(constant)"] if order.constant else []) + list(columns)
-    rows = shocked.withColumns(columns) if columns else shocked
-    if terms:
-        table = grouped_ols(rows, "w", list(columns), by, intercept=order.constant)
-    else:
-        sse, n = F.sum(F.col("w") * F.col("w")), F.count("w")
-        table = rows.groupBy(*by).agg(sse.alias("sse"), n.alias("n")).select(
-            *by, "n", F.array().cast("array<double>").alias("coef"), F.array().cast("array<double>").alias("stderr"), "sse",
-            F.lit(0).alias("rank"), F.lit(None).cast("double").alias("r2"), (F.col("sse") / F.col("n")).alias("sigma2"),
-            gaussian_aic(F.col("sse"), F.col("n"), F.lit(1)).alias("aic"),
-        )
-    scored = _attach(rows, table, by, ["coef"])
-    predicted = linear_score(F.col("coef"), list(columns), order.constant) if terms else F.lit(0.0)
-    resid = F.col("w") - predicted
-    history = scored.select(
-        *by, "ds", "y", *exog, "place", "w", "e", (F.col("y") - resid).alias("fitted"), resid.alias("resid")
-    )
+    """Fit every series of ``(key..., ds, y, exog...)``.
+
+    A series is one row of arrays, bounded by its calendar, so series spread over
+    tasks. One set of shocks serves the fit, its history and its forecasts. Series
+    without a value that has all of its lags are left out.
+    """
+    worked = _worked(df, order, by, exog)
+    point = F.struct("ds", "y", *exog, "place", F.col("w").cast("double").alias("w"), F.array(*[F.col(f"x_{n}").cast("double") for n in exog]).cast("array<double>").alias("_x"))
+    packed = worked.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_t"))
+    run = _fitter(order, len(exog))
+    found = checkpointed(packed.withColumn("_f", run(F.col("_t.w"), F.flatten(F.col("_t._x")))).where("_f.n IS NOT NULL"))
+    terms = [*["(constant)"] * order.constant, *["trend"] * order.trend, *[name + "_effect" for name in exog],
+             *[f"ar_{k}" for k in order.ar_lags], *[f"ma_{k}" for k in order.ma_lags]]
+    n, rank, sse, total = (F.col(f"_f.{c}") for c in ("n", "rank", "sse", "total"))
+    table = found.select(
+        *by, n.alias("n"), F.col("_f.coef").alias("coef"), F.col("_f.stderr").alias("stderr"), sse.alias("sse"), rank.alias("rank"),
+        (1 - sse / F.when(total != 0, total)).alias("r2"), (sse / F.when(n > rank, n - rank)).alias("sigma2"), gaussian_aic(sse, n, rank + 1).alias("aic"))
+    told = found.select(*by, F.explode(F.arrays_zip(F.col("_t").alias("t"), F.col("_f.resid").alias("resid"))).alias("p"))
+    resid = F.col("p.resid")
+    history = told.select(
+        *by, "p.t.ds", "p.t.y", *[f"p.t.{x}" for x in exog], "p.t.place", "p.t.w", resid.alias("e"),
+        (F.col("p.t.y") - resid).alias("fitted"), resid.alias("resid"))
     return Fit(order, terms, table, history, list(by), list(exog))
 
 
@@ -160,6 +328,7 @@ def _forecaster(order: Order, terms: list[str], n_exog: int):
     def run(coef: pd.Series, ys: pd.Series, ws: pd.Series, es: pd.Series, last: pd.Series, steps: pd.Series, future: pd.Series) -> pd.Series:
         out = []
         for c, y, w, e, place, h, x in zip(coef, ys, ws, es, last, steps, future):
+            values, shocks = (p.tolist() for p in order.polynomials(np.array(c, dtype=float), n_exog))
             levels = [[float(v) for v in y]]
             lags = [1] * order.d + [order.season] * order.seasonal_d
             for lag in lags:
@@ -169,20 +338,15 @@ def _forecaster(order: Order, terms: list[str], n_exog: int):
             x = np.asarray(list(x), dtype=float).reshape(int(h), n_exog) if n_exog else None
             answer = []
             for step in range(int(h)):
-                value, at = 0.0, offset
+                value = 0.0
                 if order.constant:
                     value += c[0]
                 if order.trend:
                     value += c[1 if order.constant else 0] * (place + step + 1)
                 if n_exog:
-                    value += float(np.dot(c[at:at + n_exog], x[step]))
-                    at += n_exog
-                for k in order.ar_lags:
-                    value += c[at] * w[-k]
-                    at += 1
-                for k in order.ma_lags:
-                    value += c[at] * e[-k]
-                    at += 1
+                    value += float(np.dot(c[offset:offset + n_exog], x[step]))
+                value += sum(a * w[-k] for k, a in enumerate(values, 1) if a)
+                value += sum(b * e[-k] for k, b in enumerate(shocks, 1) if b)
                 w.append(value)
                 e.append(0.0)
                 for depth in range(len(lags) - 1, -1, -1):
@@ -202,7 +366,7 @@ def forecast(model: Fit, h: int, step_days: int, future_exog: DataFrame | None =
     key. ``future_exog`` holds ``(key..., ds, exog...)`` for those periods, in differenced form not needed.
     """
     order, by = model.order, model.by
-    need = max([order.lost + 1, *order.ar_lags, *order.ma_lags, 1])
+    need = max([order.lost + 1, *order.reach])
     back = W.partitionBy(*by).orderBy(F.col("ds").desc())
     tail = model.history.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= need)
     packed = tail.groupBy(*by).agg(

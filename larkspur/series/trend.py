@@ -75,24 +75,21 @@ def with_design(df: DataFrame, shape: Shape) -> DataFrame:
     ))
 
 
-def _fit_series(shapes: Sequence[Shape]):
-    """Ridge weights of one series for each shape; the shapes share their columns and differ in penalties."""
+def _fit_series(shape: Shape):
+    """Ridge weights of one series."""
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(y: pd.Series, x: pd.Series, raw: pd.Series, scale: pd.Series) -> list:
         rows = np.stack([np.asarray(v, dtype=float) for v in x])
         target = y.to_numpy(dtype=float)
         gram, moment = rows.T @ rows, rows.T @ target
         line = np.polyfit(rows[:, 1], target, 1) if len(target) > 2 else [0.0, target.mean()]
         noise = max(float(np.var(target - np.polyval(line, rows[:, 1]))), 1e-12)
-        out = []
-        for shape in shapes:
-            penalty = shape.penalties(noise)
-            coef = solve_normal_equations(gram, moment, float(target @ target), len(target), penalty)[0]
-            if shape.capacity is not None:
-                coef = _saturating(rows, raw.to_numpy(dtype=float), coef, penalty, shape.capacity, float(scale.iloc[0]))
-            out.append(coef.tolist())
-        return out
+        penalty = shape.penalties(noise)
+        coef = solve_normal_equations(gram, moment, float(target @ target), len(target), penalty)[0]
+        if shape.capacity is not None:
+            coef = _saturating(rows, raw.to_numpy(dtype=float), coef, penalty, shape.capacity, float(scale.iloc[0]))
+        return coef.tolist()
 
     return run
 
@@ -155,17 +152,12 @@ def _with_rows(df: DataFrame, table: DataFrame, keys: Sequence[str], columns: Se
 
 def fit(df: DataFrame, shape: Shape, by: Sequence[str] = ()) -> DataFrame:
     """(key..., start, span, scale, coef): one row per series of ``(key..., ds, y)``."""
-    return _fit_many(df, [shape], by).withColumn("coef", F.col("coefs")[0]).drop("coefs")
-
-
-def _fit_many(df: DataFrame, shapes: Sequence[Shape], keys: Sequence[str]) -> DataFrame:
     history = df.where(F.col("y").isNotNull() & F.col("ds").isNotNull())
-    shape = shapes[0]
-    spans = _spans(history, keys, shape)
-    ready = with_design(_with_rows(history, spans, keys, ["start", "span", "scale"]), shape)
-    scaled = ready.select(*keys, "x", "y", "scale", (_link(F.col("y"), shape) / F.col("scale")).alias("z"))
-    coefs = scaled.groupBy(*keys).agg(_fit_series(shapes)("z", "x", F.col("y").cast("double"), "scale").alias("coefs"))
-    return _with_rows(coefs, spans, keys, ["start", "span", "scale"])
+    spans = _spans(history, by, shape)
+    ready = with_design(_with_rows(history, spans, by, ["start", "span", "scale"]), shape)
+    scaled = ready.select(*by, "x", "y", "scale", (_link(F.col("y"), shape) / F.col("scale")).alias("z"))
+    coefs = scaled.groupBy(*by).agg(_fit_series(shape)("z", "x", F.col("y").cast("double"), "scale").alias("coef"))
+    return _with_rows(coefs, spans, by, ["start", "span", "scale"])
 
 
 def _dot(x: Column, coef: Column, first: int, width: int) -> Column:
@@ -193,33 +185,110 @@ def residuals(df: DataFrame, predicted: DataFrame, by: Sequence[str] = ()) -> Da
     return joined.select(*keys, "y", "yhat", (F.col("y") - F.col("yhat")).alias("resid"))
 
 
+def origins(days: np.ndarray, y: np.ndarray, shapes: Sequence[Shape], horizon: int, initial: int, period: int) -> tuple[np.ndarray, int]:
+    """Squared error of every shape, summed over all cutoffs of one series, and how many held-out values there were.
+
+    ``days`` rise. The cross products of level, time, waves and values are summed
+    along the dates once: what a cutoff is fitted from is a prefix, and so is what
+    lies behind a changepoint, so the products of its hinges are differences of
+    prefixes. The shapes differ in their penalties only.
+    """
+    shape = shapes[0]
+    errors = np.zeros(len(shapes))
+    room = int(days[-1] - days[0]) - horizon - initial if len(days) else -1
+    if room < 0:
+        return errors, 0
+    time = (days - days[0]).astype(float)
+    waves = _wave_table(days, shape)
+    z = _link_values(y, shape)
+    rows = np.column_stack([np.ones(len(time)), time, waves, z])
+    sums = np.concatenate([np.zeros((1, rows.shape[1], rows.shape[1])), np.cumsum(rows[:, :, None] * rows[:, None, :], axis=0)])
+    top = np.maximum.accumulate(np.abs(z))
+    given = np.array([np.datetime64(d, "D").astype(int) - days[0] for d in shape.changepoint_dates], dtype=float)
+    hinges, width, tested = shape.hinges, shape.width, 0
+    still = [0, 1, *range(2 + hinges, width)]
+    for cut in range(int(days[-1]) - horizon, int(days[0]) + initial - 1, -period):
+        n, end = np.searchsorted(days, [cut, cut + horizon], side="right")
+        if n == end:
+            continue
+        span, scale = max(time[n - 1], 1.0), top[n - 1] or 1.0
+        knots = given if len(given) else span * shape.changepoint_range * np.arange(1, hinges + 1) / hinges
+        total = sums[n]
+        behind = total - sums[np.minimum(np.searchsorted(time, knots, side="right"), n)]
+        gram, moment = np.zeros((width, width)), np.zeros(width)
+        gram[np.ix_(still, still)] = total[:-1, :-1]
+        moment[still] = total[:-1, -1]
+        if hinges:
+            across = behind[:, 1] - knots[:, None] * behind[:, 0]
+            gram[2 : 2 + hinges, still], gram[np.ix_(still, range(2, 2 + hinges))] = across[:, :-1], across[:, :-1].T
+            moment[2 : 2 + hinges] = across[:, -1]
+            later = np.maximum.outer(np.arange(hinges), np.arange(hinges)) if not len(given) else np.where(knots[:, None] >= knots, np.arange(hinges)[:, None], np.arange(hinges))
+            last = behind[later]
+            gram[2 : 2 + hinges, 2 : 2 + hinges] = last[..., 1, 1] - np.add.outer(knots, knots) * last[..., 0, 1] + np.multiply.outer(knots, knots) * last[..., 0, 0]
+        unit = np.r_[1.0, np.full(1 + hinges, 1 / span), np.ones(width - 2 - hinges)]
+        gram, moment = gram * np.outer(unit, unit), moment * unit / scale
+        spread, drift = total[1, 1] - total[0, 1] ** 2 / n, total[1, -1] - total[0, 1] * total[0, -1] / n
+        rest = total[-1, -1] - total[0, -1] ** 2 / n - (drift**2 / spread if n > 2 and spread > 0 else 0.0)
+        noise = max(float(rest) / n / scale**2, 1e-12)
+        design = lambda at: np.column_stack([
+            np.ones(len(time[at])), time[at] / span, np.maximum(time[at][:, None] - knots, 0.0) / span, waves[at]])  # noqa: B023
+        penalties = np.stack([s.penalties(noise) for s in shapes])
+        coefs = np.linalg.solve(gram + penalties[:, None, :] * np.eye(width), np.broadcast_to(moment, (len(shapes), width))[..., None])[..., 0]
+        if shape.capacity is not None:
+            known = design(slice(0, n))
+            coefs = np.stack([_saturating(known, y[:n], c, p, shape.capacity, float(scale)) for c, p in zip(coefs, penalties)])
+        said = design(slice(n, end)) @ coefs.T * scale
+        if shape.capacity is not None:
+            said = shape.capacity / (1 + np.exp(-said))
+        errors += ((y[n:end, None] - said) ** 2).sum(axis=0)
+        tested += int(end - n)
+    return errors, tested
+
+
+def _wave_table(days: np.ndarray, shape: Shape) -> np.ndarray:
+    angles = [2 * math.pi * k * days / period for period, order in ((365.25, shape.yearly), (7.0, shape.weekly)) for k in range(1, order + 1)]
+    return np.column_stack([f(a) for a in angles for f in (np.sin, np.cos)]) if angles else np.zeros((len(days), 0))
+
+
+def _link_values(y: np.ndarray, shape: Shape) -> np.ndarray:
+    if shape.capacity is None:
+        return y
+    inside = np.clip(y, shape.capacity * 1e-3, shape.capacity * (1 - 1e-3))
+    return np.log(inside / (shape.capacity - inside))
+
+
 def rolling_origin(
-    df: DataFrame, shape: Shape, grid: Sequence[tuple[float, float]], horizon_days: int, initial_days: int,
-    period_days: int, by: Sequence[str] = (),
+    df: DataFrame, shape: Shape, grid: Sequence[tuple[float, float]], horizon_days: int = 30, initial_days: int | None = None,
+    period_days: int | None = None, by: Sequence[str] = (),
 ) -> DataFrame:
     """(changepoint_scale, season_scale, rmse, n) over every cutoff of every series.
 
-    Each (series, cutoff) is one group, so the fits spread over tasks; all
-    settings of the grid share a group's cross products.
+    Cutoffs go back from the last date less the horizon in steps of ``period_days``
+    (half a horizon) as long as ``initial_days`` (three horizons) are left. A row is
+    read once, however many cutoffs and settings there are; a series is one row of
+    arrays, bounded by its calendar, and series spread over tasks. Series too short
+    for a cutoff add nothing.
     """
     shapes = [replace(shape, changepoint_scale=c, season_scale=s) for c, s in grid]
-    history = df.where(F.col("y").isNotNull())
-    ends = history.groupBy(*by).agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"))
-    room = F.datediff("_last", "_first") - horizon_days - initial_days
-    steps = F.sequence(F.lit(0), F.floor(room / period_days).cast("int"))
-    cutoffs = ends.where(room >= 0).select(
-        *by, F.transform(steps, lambda k: F.date_sub(F.date_sub(F.col("_last"), horizon_days), (k * period_days).cast("int"))).alias("_cuts")
-    )
-    rows = _with_rows(history, cutoffs, by, ["_cuts"]).select(*by, "ds", "y", F.explode("_cuts").alias("cutoff"))
-    keys = [*by, "cutoff"]
-    train = rows.where(F.col("ds") <= F.col("cutoff"))
-    test = rows.where((F.col("ds") > F.col("cutoff")) & (F.datediff("ds", "cutoff") <= horizon_days))
-    fitted = _fit_many(train, shapes, keys)
-    designed = with_design(_with_rows(test, fitted, keys, ["start", "span", "scale", "coefs"]), shape)
-    scored = designed.select("y", "scale", "x", F.posexplode("coefs").alias("setting", "coef"))
-    value = _unlink(_dot(F.col("x"), F.col("coef"), 0, shape.width) * F.col("scale"), shape)
-    errors = scored.select("setting", F.pow(F.col("y") - value, 2).alias("_sq"))
-    table = errors.groupBy("setting").agg(F.sqrt(F.avg("_sq")).alias("rmse"), F.count(F.lit(1)).alias("n"))
+    initial = 3 * horizon_days if initial_days is None else initial_days
+    period = max(1, horizon_days // 2) if period_days is None else period_days
+
+    @F.pandas_udf("array<double>")
+    def run(days: pd.Series, ys: pd.Series) -> pd.Series:
+        out = []
+        for d, y in zip(days, ys):
+            errors, n = origins(np.asarray(d, dtype=int), np.asarray(y, dtype=float), shapes, horizon_days, initial, period)
+            out.append([*errors.tolist(), float(n)])
+        return pd.Series(out)
+
+    day = F.datediff("ds", F.lit("1970-01-01").cast("date"))
+    points = F.array_sort(F.collect_list(F.struct(day.alias("day"), F.col("y").cast("double").alias("y"))))
+    packed = df.where(F.col("y").isNotNull() & F.col("ds").isNotNull()).groupBy(*by).agg(points.alias("t"))
+    errors = packed.select(run(F.col("t.day"), F.col("t.y")).alias("e"))
+    totals = errors.select(F.posexplode("e").alias("setting", "sq")).groupBy("setting").agg(F.sum("sq").alias("sq"))
+    n = totals.where(F.col("setting") == len(grid)).select(F.col("sq").alias("n"))
     names = F.array(*[F.struct(F.lit(float(c)).alias("c"), F.lit(float(s)).alias("s")) for c, s in grid])
-    setting = F.element_at(names, F.col("setting") + 1)
-    return table.select(setting["c"].alias("changepoint_scale"), setting["s"].alias("season_scale"), "rmse", "n")
+    setting = F.get(names, F.col("setting"))
+    table = totals.where(F.col("setting") < len(grid)).withColumn("n", n.scalar())
+    return table.select(
+        setting["c"].alias("changepoint_scale"), setting["s"].alias("season_scale"), F.sqrt(F.try_divide("sq", "n")).alias("rmse"), F.col("n").cast("long").alias("n"))

@@ -191,3 +191,84 @@ def test_preparation_and_pairs(spark):
     row = sp.paired_correlation(pair, "a", "b").first()
     assert row.levels == pytest.approx(np.corrcoef([1, 3, 2, 6], [2, 5, 4, 6])[0, 1])
     assert row.differences == pytest.approx(np.corrcoef([2, -1, 4], [3, -1, 2])[0, 1])
+
+
+def _simulated(n, season, ar, seasonal_ar, ma, seasonal_ma, seed):
+    rng = np.random.default_rng(seed)
+    e = rng.normal(size=n + 400)
+    w = np.zeros(n + 400)
+    for t in range(season + 1, len(w)):
+        w[t] = (ar * w[t - 1] + seasonal_ar * w[t - season] - ar * seasonal_ar * w[t - season - 1]
+                + e[t] + ma * e[t - 1] + seasonal_ma * e[t - season] + ma * seasonal_ma * e[t - season - 1])
+    return np.cumsum(w[400:])
+
+
+def test_multiplicative_season_is_recovered(spark):
+    start = dt.date(1990, 1, 1)
+    truth = {"ar_1": 0.5, "ar_52": 0.6, "ma_1": 0.3, "ma_52": 0.4}
+    rows = [(k, start + dt.timedelta(7 * i), float(v)) for k in range(4) for i, v in enumerate(_simulated(2000, 52, 0.5, 0.6, 0.3, 0.4, k))]
+    df = spark.createDataFrame(rows, "k int, ds date, y double")
+    model = ar.fit(df, ar.Order(1, 1, 1, 1, 0, 1, 52), ["k"])
+    table = model.interval_table().collect()
+    assert len(table) == 16
+    within = [abs(r.estimate - truth[r.term]) <= 2 * r.stderr for r in table]
+    assert sum(within) >= 14 and all(abs(r.estimate - truth[r.term]) <= 3.5 * r.stderr for r in table)
+    assert all(0.9 < r.sigma2 < 1.1 for r in model.coefficients.collect())
+
+
+def test_forecast_goes_on_from_the_shocks_of_the_fit(spark):
+    order = ar.Order(1, 1, 1, 1, 0, 1, 4)
+    y = _simulated(160, 4, 0.4, 0.5, 0.3, 0.2, 9)
+    df = spark.createDataFrame([("a", dt.date(2000, 1, 1) + dt.timedelta(7 * i), float(v)) for i, v in enumerate(y)], "k string, ds date, y double")
+    model = ar.fit(df, order, ["k"])
+    a, sa, b, sb = model.coefficients.first().coef
+    past = model.history.orderBy("ds").collect()
+    w, e = [r.w or 0.0 for r in past], [r.resid or 0.0 for r in past]
+    assert all(r.e == r.resid for r in past)
+    # The shocks obey the model's own equation.
+    for t in range(20, 160):
+        said = a * w[t - 1] + sa * w[t - 4] - a * sa * w[t - 5] + b * e[t - 1] + sb * e[t - 4] + b * sb * e[t - 5]
+        assert w[t] - said == pytest.approx(e[t], abs=1e-9) and past[t].fitted == pytest.approx(past[t].y - e[t])
+    level, answer = y[-1], []
+    for _ in range(7):
+        w.append(a * w[-1] + sa * w[-4] - a * sa * w[-5] + b * e[-1] + sb * e[-4] + b * sb * e[-5])
+        e.append(0.0)
+        level += w[-1]
+        answer.append(level)
+    assert [r.yhat for r in ar.forecast(model, 7, 7).orderBy("ds").collect()] == pytest.approx(answer)
+
+
+def test_gaps_leave_out_what_needs_them(spark):
+    y = [float(v) for v in _simulated(120, 4, 0.6, 0.0, 0.0, 0.0, 3)]
+    rows = [("a", dt.date(2000, 1, 1) + dt.timedelta(i), None if i in (40, 41) else v) for i, v in enumerate(y)] + [("short", dt.date(2000, 1, 1), 1.0)]
+    df = spark.createDataFrame(rows, "k string, ds date, y double")
+    found = ar.fit(df, ar.Order(1, 1, 0), ["k"]).coefficients.collect()
+    assert [r.k for r in found] == ["a"] and found[0].n == 118 - 4
+    assert ar.fit(df.limit(0), ar.Order(1, 1, 1), ["k"]).coefficients.collect() == []
+
+
+@pytest.mark.parametrize("shape", [
+    tr.Shape(changepoints=6, yearly=2, weekly=2), tr.Shape(changepoint_dates=("2016-02-01", "2015-07-01", "2031-01-01"), yearly=1, weekly=0),
+    tr.Shape(changepoints=3, yearly=0, weekly=1, capacity=60.0)])
+def test_rolling_origin_is_a_fit_per_cutoff(spark, shape):
+    rng = np.random.default_rng(1)
+    data = []
+    for k, n in (("a", 500), ("b", 260), ("short", 60)):
+        steps = np.cumsum(rng.integers(1, 3, n))
+        data += [(k, START + dt.timedelta(int(d)), float(20 + 0.02 * d + 3 * np.sin(d / 58) + rng.normal())) for d in steps]
+    df = spark.createDataFrame(data + [("a", START + dt.timedelta(3), None)], "k string, ds date, y double")
+    grid = [(0.5, 10.0), (0.001, 0.1)]
+    got = {(r.changepoint_scale, r.season_scale): r for r in tr.rolling_origin(df, shape, grid, 30, 150, 70, ["k"]).collect()}
+    for c, s in grid:
+        one = tr.replace(shape, changepoint_scale=c, season_scale=s)
+        squares = []
+        for k in ("a", "b", "short"):
+            known = [(d, y) for q, d, y in data if q == k]
+            cut, first = known[-1][0] - dt.timedelta(30), known[0][0]
+            while (cut - first).days >= 150:
+                train = spark.createDataFrame([x for x in known if x[0] <= cut], "ds date, y double")
+                held = spark.createDataFrame([x for x in known if cut < x[0] <= cut + dt.timedelta(30)], "ds date, y double")
+                squares += [(r.y - r.yhat) ** 2 for r in tr.predict(held, tr.fit(train, one), one).collect()]
+                cut -= dt.timedelta(70)
+        assert got[c, s].n == len(squares) and got[c, s].rmse == pytest.approx(np.sqrt(np.mean(squares)), rel=1e-6)
+    assert tr.rolling_origin(df.limit(0), shape, grid).collect() == []
