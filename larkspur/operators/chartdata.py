@@ -109,24 +109,55 @@ def straight_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Data
     )
 
 
+def _density_shape(df: DataFrame, column: str):
+    """Smallest value, range, Scott's bandwidth and number of values, as one scalar struct."""
+    n = F.count(F.col(column)).cast("double")
+    lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
+    return df.select(F.struct(
+        lo.alias("lo"), (hi - lo).alias("span"), (F.stddev_samp(column) * F.pow(F.when(n > 0, n), F.lit(-0.2))).alias("h"), n.alias("n"),
+    )).scalar()
+
+
+def _density_curve(values: DataFrame, shape, points: int) -> DataFrame:
+    """(k, x, density) from weighted values (x, w): one running sum per point of the grid, merged map-side."""
+    s = F.col("s")
+    step = 2 * s["span"] / (points - 1)
+    scaled = values.withColumn("s", shape).select(
+        "w", F.try_divide(F.col("x") - s["lo"] + 0.5 * s["span"], s["h"]).alias("z"), F.try_divide(step, s["h"]).alias("g"))
+    off = [F.col("z") - k * F.col("g") for k in range(points)]
+    sums = scaled.agg(F.array(*[F.sum(F.col("w") * F.exp(-0.5 * o * o)) for o in off]).alias("sums")).where(F.size("sums") > 0).withColumn("s", shape)
+    cells = sums.where(s["n"] > 0).select("s", F.posexplode("sums").alias("k", "sum"))
+    return cells.select("k", (s["lo"] - 0.5 * s["span"] + F.col("k") * step).alias("x"), F.try_divide("sum", s["n"] * s["h"] * F.sqrt(F.lit(2.0) * F.pi())).alias("density"))
+
+
 def density(df: DataFrame, column: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density on a grid half a range wider than the data on each side.
 
     Bandwidth by Scott's rule; a column without spread has null densities. Every
     value adds to one running sum per point of the grid, merged map-side, so no
-    value is shuffled.
+    value is shuffled. ``binned_density`` is cheaper for large tables.
     """
-    n = F.count(F.col(column)).cast("double")
-    lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
-    shape = df.select(F.struct(
-        lo.alias("lo"), (hi - lo).alias("span"), (F.stddev_samp(column) * F.pow(F.when(n > 0, n), F.lit(-0.2))).alias("h"),
-    )).scalar()
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"), shape.alias("s"))
-    at = [F.col("s.lo") - 0.5 * F.col("s.span") + k * (2 * F.col("s.span") / (points - 1)) for k in range(points)]
-    bump = [F.exp(-0.5 * F.pow(F.try_divide(F.col("x") - a, F.col("s.h")), F.lit(2.0))) for a in at]
-    scale = F.count(F.lit(1)) * F.first("s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    cells = [F.struct(F.lit(k).alias("k"), F.first(a).alias("x"), F.try_divide(F.sum(b), scale).alias("density")) for k, (a, b) in enumerate(zip(at, bump))]
-    return values.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"), F.lit(1.0).alias("w"))
+    return _density_curve(values, _density_shape(df, column), points)
+
+
+def binned_density(df: DataFrame, column: str, points: int = 100, steps: int = 50) -> DataFrame:
+    """``density`` from counts on a fine grid of ``steps`` places per bandwidth.
+
+    Each value is shared between its two neighbours on the fine grid, in proportion.
+    That is linear interpolation of the kernel, whose second derivative is at most
+    its height, so the curve is off by no more than 1 / (8 ``steps``²) of the
+    kernel's height 0.4 / bandwidth. Counts and shares are merged map-side; only
+    places that hold values are kept, and the kernel is summed over these.
+    """
+    shape = _density_shape(df, column)
+    s = F.col("s")
+    spot = F.try_divide((F.col(column).cast("double") - s["lo"]) * steps, s["h"])
+    placed = df.where(F.col(column).isNotNull()).withColumn("s", shape).select(F.coalesce(spot, F.lit(0.0)).alias("u"))
+    bins = placed.groupBy(F.floor("u").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u") - F.floor("u")).alias("right"))
+    sides = F.array(F.struct(F.col("b").alias("b"), (F.col("n") - F.col("right")).alias("w")), F.struct((F.col("b") + 1).alias("b"), F.col("right").alias("w")))
+    values = bins.select(F.explode(sides).alias("p")).withColumn("s", shape).select((s["lo"] + F.col("p.b") * s["h"] / steps).alias("x"), F.col("p.w").alias("w"))
+    return _density_curve(values, shape, points)
 
 
 def value_per_region(df: DataFrame, region: str, value: str) -> DataFrame:

@@ -97,6 +97,20 @@ def event_value_density(t):
     return curve.select("k", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
 
 
+@query("C9", sql="""
+    WITH s AS (SELECT count(*)::DOUBLE AS n, min(value) AS lo, max(value) - min(value) AS span,
+                 stddev_samp(value) * pow(count(*)::DOUBLE, -0.2) AS h FROM events),
+    u AS (SELECT (value - lo) * 50 / h AS u FROM events, s),
+    b AS (SELECT floor(u) AS b, count(*) AS n, sum(u - floor(u)) AS r FROM u GROUP BY 1),
+    v AS (SELECT lo + b * h / 50 AS x, b.n - r AS w FROM b, s UNION ALL SELECT lo + (b + 1) * h / 50, r FROM b, s)
+    SELECT CAST(k AS INTEGER) AS k, round(lo - 0.5 * span + k * (2 * span / 99), 6) AS x,
+      round(sum(w * exp(-0.5 * pow((v.x - (lo - 0.5 * span + k * (2 * span / 99))) / h, 2))) / (min(n) * min(h) * sqrt(2 * pi())), 8) AS density
+    FROM v, s, range(100) AS g(k) GROUP BY k, lo, span""")
+def event_value_binned_density(t):
+    curve = ch.binned_density(t.events, "value", 100)
+    return curve.select("k", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
+
+
 @query("C10", sql="""
     SELECT n_name, round(sum(s_acctbal), 2) AS value FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1""")
 def supplier_balance_map(t):

@@ -48,11 +48,13 @@ def seasonal_arima_forecast(t):
     WITH d AS (SELECT o_orderpriority, ds, y - lag(y) OVER (PARTITION BY o_orderpriority ORDER BY ds) AS w FROM {WEEKLY_BY_SQL}),
     l AS (SELECT o_orderpriority, w, lag(w) OVER (PARTITION BY o_orderpriority ORDER BY ds) AS x FROM d),
     f AS (SELECT o_orderpriority, sum(w * x) / sum(x * x) AS b, sum(x * x) AS xx, sum(w * w) AS ww, sum(w * x) AS wx, count(*) AS n
-          FROM l WHERE w IS NOT NULL AND x IS NOT NULL GROUP BY 1)
-    SELECT o_orderpriority, 'ar_1' AS term, round(b, 6) AS estimate, round(sqrt((ww - b * wx) / (n - 1) / xx), 6) AS stderr FROM f""")
+          FROM l WHERE w IS NOT NULL AND x IS NOT NULL GROUP BY 1),
+    e AS (SELECT *, sqrt((ww - b * wx) / (n - 1) / xx) AS se FROM f)
+    SELECT o_orderpriority, 'ar_1' AS term, round(b, 6) AS estimate, round(se, 6) AS stderr,
+      round(b - 1.959963984540054 * se, 6) AS low, round(b + 1.959963984540054 * se, 6) AS high FROM e""")
 def first_order_coefficients(t):
     model = ar.fit(weekly_by_priority(t), ar.Order(1, 1, 0), BY)
-    return co.round_columns(model.interval_table().select(*BY, "term", "estimate", "stderr"), 6)
+    return co.round_columns(model.interval_table(), 6)
 
 
 @query("Y7", "Y10", sql=f"""

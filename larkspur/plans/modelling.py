@@ -100,6 +100,18 @@ def order_fold():
     return F.pmod(F.col("l_orderkey"), F.lit(10))
 
 
+@query("L3", sql="""
+    WITH l AS (SELECT l_quantity / 50 AS x, l_extendedprice / 1000 AS y FROM lineitem),
+    s AS (SELECT count(*)::DOUBLE AS n, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy FROM l),
+    w AS (SELECT CAST(k AS INTEGER) AS iteration, s.*, xy / xx * (1 - pow(1 - 0.05 * xx / n, k)) AS w FROM s, range(300) AS g(k))
+    SELECT iteration, round((yy - 2 * w * xy + w * w * xx) / (2 * n), 6) AS cost FROM w""")
+def price_descent_costs(t):
+    """Cost before each of 300 steps."""
+    lines = t.lineitem.select((F.col("l_quantity") / 50).alias("quantity"), (F.col("l_extendedprice") / 1000).alias("price"))
+    fit = rg.gradient_descent(lines, "price", ["quantity"], eta=0.05, n_iterations=300)
+    return co.round_columns(fit.history(t.spark), 6, ["cost"])
+
+
 @query("L5", "L6", "R4", "F6", "O3", "O4")
 def lasso_coefficients(t):
     """Ten folds, a hundred penalties: the two largest coefficients and the smallest one that are left."""

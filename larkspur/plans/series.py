@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import iso_text
+from larkspur.functions.distributions import normal_share_sql
 from larkspur.operators import columns as co
 from larkspur.operators import joins as jo
 from larkspur.operators import repair as rp
@@ -26,6 +27,10 @@ def weekly_by_priority(t):
     return weekly.withColumn("y", F.round("y", 2))
 
 
+def _polynomial(weights, x: str) -> str:
+    return " + ".join(f"{w} * pow({x}, {i})" for i, w in enumerate(weights))
+
+
 def _dated(df):
     return df.withColumn("ds", iso_text(F.col("ds")))
 
@@ -123,11 +128,15 @@ def weekly_autocorrelation(t):
 
 
 @query("Y4", sql=f"""
-    WITH a AS (SELECT max(acf) FILTER (lag = 1) AS r1, max(acf) FILTER (lag = 2) AS r2 FROM ({ACF_SQL}))
-    SELECT CAST(0 AS INTEGER) AS lag, 1.0::DOUBLE AS pacf UNION ALL SELECT 1, round(r1, 6) FROM a
-    UNION ALL SELECT 2, round((r2 - r1 * r1) / (1 - r1 * r1), 6) FROM a""")
+    WITH a AS (SELECT max(acf) FILTER (lag = 1) AS r1, max(acf) FILTER (lag = 2) AS r2, max(acf) FILTER (lag = 3) AS r3, max(acf) FILTER (lag = 4) AS r4 FROM ({ACF_SQL})),
+    b AS (SELECT *, (r2 - r1 * r1) / (1 - r1 * r1) AS p22 FROM a), c AS (SELECT *, r1 * (1 - p22) AS p21 FROM b),
+    d AS (SELECT *, (r3 - p21 * r2 - p22 * r1) / (1 - p21 * r1 - p22 * r2) AS p33 FROM c),
+    e AS (SELECT *, p21 - p33 * p22 AS p31, p22 - p33 * p21 AS p32 FROM d),
+    f AS (SELECT *, (r4 - p31 * r3 - p32 * r2 - p33 * r1) / (1 - p31 * r1 - p32 * r2 - p33 * r3) AS p44 FROM e)
+    SELECT CAST(0 AS INTEGER) AS lag, 1.0::DOUBLE AS pacf UNION ALL SELECT 1, round(r1, 6) FROM f UNION ALL SELECT 2, round(p22, 6) FROM f
+    UNION ALL SELECT 3, round(p33, 6) FROM f UNION ALL SELECT 4, round(p44, 6) FROM f""")
 def weekly_partial_autocorrelation(t):
-    return co.round_columns(dg.partial_autocorrelation(weekly_orders(t), 2), 6)
+    return co.round_columns(dg.partial_autocorrelation(weekly_orders(t), 4), 6)
 
 
 @query("Y4")
@@ -138,13 +147,16 @@ def partial_autocorrelation_by_priority(t):
 @query("Y2", sql=f"""
     WITH d AS (SELECT y - lag(y) OVER (ORDER BY ds) AS dy, lag(y) OVER (ORDER BY ds) AS l FROM {WEEKLY_SQL}),
     f AS (SELECT count(*) AS n, regr_slope(dy, l) AS b, regr_syy(dy, l) * (1 - regr_r2(dy, l)) / (count(*) - 2) AS s2, regr_sxx(dy, l) AS sxx
-          FROM d WHERE dy IS NOT NULL)
+          FROM d WHERE dy IS NOT NULL),
+    z AS (SELECT *, CASE WHEN b / sqrt(s2 / sxx) <= {dg.P_VALUE_SWITCH} THEN {_polynomial(dg.P_VALUE_SMALL, "b / sqrt(s2 / sxx)")}
+          ELSE {_polynomial(dg.P_VALUE_LARGE, "b / sqrt(s2 / sxx)")} END AS z FROM f)
     SELECT round(b / sqrt(s2 / sxx), 4) AS statistic, 0 AS lags, n AS n_obs,
-      round(-2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n), 6) AS critical_5 FROM f""")
+      round(CASE WHEN b / sqrt(s2 / sxx) > {dg.P_VALUE_HIGH} THEN 1 WHEN b / sqrt(s2 / sxx) < {dg.P_VALUE_LOW} THEN 0 ELSE {normal_share_sql("greatest(-9.0, z)")} END, 8) AS p_value,
+      round(-2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n), 6) AS critical_5 FROM z""")
 def weekly_unit_root_plain(t):
     row = dg.unit_root_test(weekly_orders(t), lag=0)
     return row.select(
-        F.round("statistic", 4).alias("statistic"), "lags", "n_obs", F.round("critical_5", 6).alias("critical_5")
+        F.round("statistic", 4).alias("statistic"), "lags", "n_obs", F.round("p_value", 8).alias("p_value"), F.round("critical_5", 6).alias("critical_5")
     )
 
 

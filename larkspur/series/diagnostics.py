@@ -7,18 +7,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.distributions import normal_cdf_value
-from larkspur.functions.linalg import ols_of_terms, solve_normal_equations
+from larkspur.functions.linalg import solve_normal_equations, with_intercept
 from larkspur.operators.chartdata import histogram
 from larkspur.series.prep import ordered
+from larkspur.session import checkpointed
 
 
 def autocorrelation(df: DataFrame, lags: int, column: str = "y", by: Sequence[str] = ()) -> DataFrame:
-    """(key..., lag, acf) for lags 0 … ``lags``; one sort serves every lag. A flat series has no rows."""
+    """(key..., lag, acf) for lags 0 … ``lags``; one sort serves every lag.
+
+    Lags as long as the series have no row; a flat series has nulls.
+    """
     w = ordered(by)
     values = df.where(F.col(column).isNotNull())
     means = values.groupBy(*by).agg(F.avg(column).alias("_mean"), F.count(F.lit(1)).alias("_n"))
@@ -31,9 +35,11 @@ def autocorrelation(df: DataFrame, lags: int, column: str = "y", by: Sequence[st
     total = F.sum(F.col("_e") * F.col("_e"))
     sums = shifted.groupBy(*by).agg(
         F.first("_n").alias("_n"),
+        (total == 0).alias("_flat"),
         F.array(F.try_divide(total, total), *[F.try_divide(F.sum(F.col("_e") * F.col(f"_l{k}")), total) for k in range(1, lags + 1)]).alias("_acf"),
     )
-    return sums.select(*by, F.posexplode("_acf").alias("lag", "acf")).where(F.col("acf").isNotNull())
+    cells = sums.select(*by, "_flat", F.posexplode("_acf").alias("lag", "acf"))
+    return cells.where(F.col("acf").isNotNull() | F.col("_flat")).drop("_flat")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -42,12 +48,12 @@ def _partial(acf: pd.Series) -> pd.Series:
     out = []
     for values in acf:
         r = np.asarray(values, dtype=float)
-        phi, variance, result = np.zeros(0), 1.0, [1.0]
+        phi, variance, result = np.zeros(0), 1.0, [1.0 if len(r) and not np.isnan(r[0]) else None]
         for k in range(1, len(r)):
             reflection = (r[k] - phi @ r[k - 1:0:-1]) / variance if variance > 0 else np.nan
             phi = np.append(phi - reflection * phi[::-1], reflection)
             variance *= 1.0 - reflection**2
-            result.append(float(reflection))
+            result.append(None if np.isnan(reflection) else float(reflection))
         out.append(result)
     return pd.Series(out)
 
@@ -114,22 +120,42 @@ def _p_value(statistic: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(s) else unit_root_p(float(s)) for s in statistic], dtype="float64")
 
 
-@F.pandas_udf(T.IntegerType())
-def _best_lag(gram: pd.Series, moment: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
-    """Number of lagged differences with the lowest AIC: nested fits are corners of one system."""
-    best = []
-    for g, m, total, count in zip(gram, moment, yy, n):
-        m = np.asarray(m, dtype=float)
-        k = len(m)
-        full = np.zeros((k, k))
-        full[np.triu_indices(k)] = np.asarray(g, dtype=float)
-        full = full + np.triu(full, 1).T
+def _lagged_steps(y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Steps of a series, and beside them the level before and ``most`` earlier steps; not a number where there is none."""
+    d = np.diff(y)
+    x = np.full((len(d), most + 1), np.nan)
+    x[:, 0] = y[:-1]
+    for k in range(1, most + 1):
+        x[k:, k] = d[: len(d) - k] if k < len(d) else []
+    return d, x
+
+
+def unit_root_of(y: np.ndarray, most: int, lag: int | None) -> tuple[float, int, int] | None:
+    """(statistic, lags, rows) of one series; None if it is too short."""
+    if len(y) < 3:
+        return None
+    # A constant is in the test, so the level may be taken around the series' mean.
+    d, x = _lagged_steps(y - y.mean(), most)
+    if lag is None:
+        common = slice(most, None)
+        rows, target = np.column_stack([np.ones(len(d)), x])[common], d[common]
+        if len(target) <= rows.shape[1]:
+            return None
+        # Nested fits are corners of one system.
+        gram, moment, total, n = rows.T @ rows, rows.T @ target, float(target @ target), len(target)
         scores = []
-        for size in range(2, k + 1):
-            _, _, sse, _ = solve_normal_equations(full[:size, :size], m[:size], total, count)
-            scores.append(count * math.log(max(sse, 1e-300) / count) + 2 * size)
-        best.append(int(np.argmin(scores)))
-    return pd.Series(best)
+        for size in range(2, rows.shape[1] + 1):
+            sse = solve_normal_equations(gram[:size, :size], moment[:size], total, n)[2]
+            scores.append(n * math.log(max(sse, 1e-300) / n) + 2 * size)
+        lag = int(np.argmin(scores))
+    rows, target = x[lag:, : lag + 1], d[lag:]
+    if len(target) <= lag + 2:
+        return None
+    apart, off = rows - rows.mean(axis=0), target - target.mean()
+    coef, stderr, _, _ = with_intercept(apart.T @ apart, apart.T @ off, float(off @ off), len(target), rows.mean(axis=0), float(target.mean()))
+    if not stderr[1] > 0:
+        return None
+    return float(coef[1] / stderr[1]), lag, len(target)
 
 
 def unit_root_test(
@@ -139,51 +165,31 @@ def unit_root_test(
 
     The number of lagged differences is chosen by AIC up to ``max_lag`` (default
     ``ceil(12 (n/100)^(1/4))`` of the longest series) unless ``lag`` fixes it. A
-    keyed series too short for the test has a row with its length and nulls.
+    series is one row, bounded by its calendar. A keyed series too short for the
+    test has a row with its length and nulls.
     """
-    w = ordered(by)
     values = df.where(F.col(column).isNotNull())
+    points = F.array_sort(F.collect_list(F.struct("ds", F.col(column).cast("double").alias("v"))))
+    packed = values.groupBy(*by).agg(points.alias("_t"))
     if lag is None and max_lag is None:
-        longest = values.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        packed = checkpointed(packed)
+        longest = packed.agg(F.max(F.size("_t"))).first()[0] or 0
         max_lag = math.ceil(12 * (longest / 100) ** 0.25)
     most = lag if lag is not None else max_lag
-    # A constant is in the test, so the level may be taken around the series' mean.
-    around = F.avg(column).over(Window.partitionBy(*by)) if by else values.agg(F.avg(column)).scalar()
-    values = values.withColumn(column, F.col(column) - around)
-    level = F.lag(column).over(w)
-    steps = values.select(*by, "ds", (F.col(column) - level).alias("_d"), level.alias("_level"))
-    names = [f"_d{k}" for k in range(1, most + 1)]
-    lagged = steps.select(*by, "_d", "_level", F.row_number().over(w).alias("_place"),
-                          *[F.lag("_d", k).over(w).alias(f"_d{k}") for k in range(1, most + 1)])
-    if lag is None:
-        terms = [F.lit(1.0), F.col("_level"), *[F.col(n) for n in names]]
-        k = len(terms)
-        sums = lagged.where(F.col("_place") > most + 1).groupBy(*by).agg(
-            F.array(*[F.sum(terms[i] * terms[j]) for i in range(k) for j in range(i, k)]).alias("_gram"),
-            F.array(*[F.sum(t * F.col("_d")) for t in terms]).alias("_moment"),
-            F.sum(F.col("_d") * F.col("_d")).alias("_yy"), F.count(F.lit(1)).alias("_n"),
-        ).where(F.col("_n") > k)
-        chosen = sums.select(*by, _best_lag("_gram", "_moment", "_yy", F.col("_n").cast("double")).alias("lags"))
-    else:
-        chosen = values.groupBy(*by).agg(F.lit(lag).alias("lags"))
-    if by:
-        rows = lagged.join(chosen, list(by))
-    else:
-        rows = lagged.withColumn("lags", chosen.select("lags").scalar())
-    # Refit on all rows the chosen lag allows; unused lags are zero columns.
-    masked = [F.when(F.lit(k) <= F.col("lags"), F.col(n)).otherwise(0.0) for k, n in enumerate(names, 1)]
-    usable = rows.where(F.col("_place") > F.col("lags") + 1)
-    fit = ols_of_terms(usable, F.col("_d"), [F.col("_level"), *masked], [*by, "lags"])
-    statistic = F.col("coef")[1] / F.col("stderr")[1]
-    out = fit.select(*by, statistic.alias("statistic"), "lags", F.col("n").alias("n_obs"))
+
+    @F.pandas_udf("statistic double, lags int, n_obs long")
+    def run(series: pd.Series) -> pd.DataFrame:
+        found = [unit_root_of(np.asarray(y, dtype=float), most, lag) for y in series]
+        return pd.DataFrame({
+            "statistic": pd.array([None if f is None else f[0] for f in found], "Float64"), "lags": pd.array([None if f is None else f[1] for f in found], "Int32"),
+            "n_obs": pd.array([len(y) if f is None else f[2] for f, y in zip(found, series)], "Int64")})
+
+    tested = packed.select(*by, run(F.col("_t.v")).alias("_r")).select(*by, "_r.*")
+    if not by:
+        tested = tested.where("statistic IS NOT NULL")
+    valid = F.when(F.col("statistic").isNotNull(), F.col("n_obs"))
     critical = [
-        sum((F.lit(c) / F.pow("n_obs", F.lit(i)) for i, c in enumerate(cs[1:], 1)), F.lit(cs[0])).alias(name)
+        sum((F.lit(c) / F.pow(valid, F.lit(i)) for i, c in enumerate(cs[1:], 1)), F.lit(cs[0])).alias(name)
         for name, cs in CRITICAL.items()
     ]
-    tested = out.select(*by, "statistic", _p_value("statistic").alias("p_value"), "lags", "n_obs", *critical)
-    if not by:
-        return tested
-    every = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    rest = [c for c in tested.columns if c not in by and c != "n_obs"]
-    whole = every.join(tested, list(by), "left")
-    return whole.select(*by, "statistic", "p_value", "lags", F.coalesce("n_obs", "_n").alias("n_obs"), *rest[3:])
+    return tested.select(*by, "statistic", _p_value("statistic").alias("p_value"), "lags", "n_obs", *critical)
