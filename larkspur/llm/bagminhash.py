@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import bitmap_of, components, cut, llm_query, maybe_in, open_pairs, star_pairs, table, without
+from larkspur.llm.common import bitmap_of, components, cut, llm_query, maybe_in, open_pairs_by_difference, star_pairs, table, without
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 WORDS = 400_000
@@ -164,13 +164,32 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return int(np.minimum(a[1][same], b[1][at[same]]).sum())
 
 
-def compared(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """``pairs`` (a, b) with the overlap of their multisets, and whether they are similar; ``texts``: (id, text)."""
+def compared(pairs: DataFrame, texts: DataFrame, s: Settings, apart: bool = False) -> DataFrame:
+    """``pairs`` (a, b) with the overlap of their multisets, and whether they are similar; ``texts``: (id, text).
+
+    With ``apart`` instead: size (of a), pivot (size of b), missing (what b has more)
+    and apart, hashes of all elements in which they differ, each copy by itself.
+    """
+
+    def told(x: tuple, y: tuple) -> np.ndarray:
+        sides = []
+        for (h, n), (g, m), salt in ((x, y, 1), (y, x, 2)):
+            rest = n.copy()
+            if len(g):
+                at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+                same = g[at] == h
+                rest[same] -= np.minimum(n[same], m[at[same]])
+            times = np.repeat(rest, rest) - (np.arange(rest.sum()) - np.repeat(np.cumsum(rest) - rest, rest))
+            # Copies are numbered from the most there are down, so that equal surpluses agree.
+            base = np.repeat(n - rest, rest) + times
+            sides.append(mix(np.repeat(h, rest) + base.astype(np.uint64) * GOLDEN) * np.uint64(2) + np.uint64(salt == 1))
+        return np.concatenate(sides).view(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             left, right = batch["text_a"].tolist(), batch["text_b"].tolist()
-            shared, both = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            shared, mine, its = (np.zeros(len(batch), np.int64) for _ in range(3))
+            differ: list[np.ndarray] = []
             for part in _portions(left):
                 codes, unique = pd.factorize(np.array(left[part] + right[part], dtype=object))
                 owner, h, n = bags(list(unique), s.width)
@@ -179,29 +198,19 @@ def compared(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                 bag = [(h[x:y], n[x:y]) for x, y in zip(cuts, cuts[1:])]
                 x, y = codes[: len(codes) // 2], codes[len(codes) // 2 :]
                 shared[part] = [overlap(bag[i], bag[j]) for i, j in zip(x, y)]
-                both[part] = size[x] + size[y]
-            similar = (shared > 0) & (shared >= s.similarity * (both - shared))
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "overlap": shared, "similar": similar})
+                mine[part], its[part] = size[x], size[y]
+                if apart:
+                    differ += [told(bag[i], bag[j]) for i, j in zip(x, y)]
+            if apart:
+                yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "size": mine, "pivot": its, "missing": its - shared, "apart": differ})
+            else:
+                similar = (shared > 0) & (shared >= s.similarity * (mine + its - shared))
+                yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "overlap": shared, "similar": similar})
 
     held = lambda side: texts.where(maybe_in(bitmap_of(pairs.select(side)), F.col("id"))).select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(held("a"), "a").join(held("b"), "b").select("a", "b", "text_a", "text_b").mapInPandas(
-        run, f"a {kind}, b {kind}, overlap long, similar boolean")
-
-
-def own_material(texts: DataFrame, s: Settings) -> DataFrame:
-    """(id, own): how much of each multiset of ``texts`` (id, text) no other of them has; those without any are left out."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            whole, ids = batch["text"].tolist(), batch["id"].to_numpy()
-            for part in _portions(whole):
-                owner, h, n = bags(whole[part], s.width)
-                yield pd.DataFrame({"id": ids[part][owner], "h": h.view(np.int64), "n": n})
-
-    kind = texts.schema["id"].dataType.simpleString()
-    shingles = texts.mapInPandas(run, f"id {kind}, h long, n long").groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id"), F.min("n").alias("n"))
-    return shingles.where("c = 1").groupBy("id").agg(F.sum("n").alias("own"))
+    gives = "size long, pivot long, missing long, apart array<bigint>" if apart else "overlap long, similar boolean"
+    return pairs.join(held("a"), "a").join(held("b"), "b").select("a", "b", "text_a", "text_b").mapInPandas(run, f"a {kind}, b {kind}, {gives}")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS) -> DataFrame:
@@ -230,15 +239,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS
     tested = cut(compared(cut(star_pairs(members)), rows, s).groupBy("a", "b").agg(F.max("overlap").alias("overlap"), F.max("similar").alias("similar")))
     edges = tested.where("similar").select("a", "b")
     roots = cut(components(edges))
-    # What the stars leave open: exact, and linear but for texts that differ and can still be similar.
-
-    def sizes_of(ids: DataFrame) -> DataFrame:
-        texts = rows.where(maybe_in(bitmap_of(ids), F.col("id"))).join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
-        own = own_material(texts, s)
-        sizes = classes.groupBy("id").agg(F.min("size").alias("size"))
-        return cut(ids.join(sizes, "id").join(own, "id", "left").select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared")))
-
-    more = open_pairs(members, roots, tested, s.similarity, sizes_of)
+    # What the stars leave open: exact, and linear but for texts that differ from their bucket's least one in the same way.
+    more = open_pairs_by_difference(members, roots, tested, s.similarity, lambda stars: compared(stars, rows, s, apart=True))
     if more is not None and not more.isEmpty():
         edges = edges.unionByName(compared(more, rows, s).where("similar").select("a", "b"))
         roots = cut(components(edges))

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from larkspur.llm import bagminhash, decontam, langid, pieces, suffixes
+from larkspur.llm import bagminhash, common, decontam, langid, pieces, suffixes
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -157,6 +157,18 @@ def test_repeats_of_odd_rows(spark, odd_docs):
     assert suffixes.remove_repeats(odd_docs.limit(0)).count() == 0
 
 
+def test_repeats_of_rows_without_a_key(spark):
+    rng = random.Random(21)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    shared = noise(2259)
+    texts = [(None, noise(100) + shared + noise(300)), (3, shared + noise(500)), (None, noise(900)), (0, noise(50) + shared[:700] + noise(20)), (None, noise(300))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.n_bytes): (bytes(r.kept), [tuple(x) for x in r.spans]) for r in suffixes.remove_repeats(docs).collect()}
+    for (key, text), kept in zip(texts, _slow_cut([t.encode() for _, t in texts], 400)):
+        assert got[key, len(text)][0] == kept
+    assert len(got[None, 2659][1]) == len(got[3, 2759][1]) == 1 and got[None, 900][1] == []
+
+
 # Operator 8
 
 def _slow_align(a, b):
@@ -274,3 +286,60 @@ def test_groups_of_odd_rows(spark, odd_docs):
     assert {5, 6} in groups.values() and {4} in groups.values() and {1} in groups.values() and {2} in groups.values()
     assert len(rows) == 9 and sum(r.kept for r in rows) == 8
     assert bagminhash.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_pairs_by_difference_drop_none(spark):
+    """Multisets around a few bases: every similar pair of one bucket in different components is found, ties at exactly 0.8 too."""
+    rng = random.Random(4)
+    bags = {}
+    for i in range(160):
+        base = [100 * (i % 4) + x for x in range(45)]
+        bag = Counter(base)
+        for _ in range(rng.choice([0, 2, 5, 9, 14])):
+            bag[rng.choice(base)] -= 1
+            bag[1000 * (i % 4) + rng.randrange(25)] += 1
+        bags[i] = +bag
+    bags[200], bags[201] = Counter(range(5000, 5028)), Counter(range(5000, 5035))  # 28 of 35: exactly 0.8
+    bags[199] = Counter(list(range(5000, 5010)) + list(range(6000, 6030)))
+    shared = lambda a, b: sum((bags[a] & bags[b]).values())
+    similar = lambda a, b: 5 * shared(a, b) >= 4 * (sum(bags[a].values()) + sum(bags[b].values()) - shared(a, b))
+    buckets = [(k, i) for i in range(160) for k in {i % 4, 4 + i % 3}] + [(9, 199), (9, 200), (9, 201)]
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    members = frame(buckets, "bucket long, id long")
+    stars = [tuple(r) for r in common.star_pairs(members).collect()]
+    tested = frame([(a, b, shared(a, b)) for a, b in stars], "a long, b long, overlap long")
+    edges = frame([(a, b) for a, b in stars if similar(a, b)], "a long, b long")
+    roots = common.components(edges)
+    root = {r.node: r.root for r in roots.collect()}
+
+    def differences(pairs):
+        told = lambda a, b: [hash((x, k, side)) for side, d, low in ((0, bags[a] - bags[b], bags[b]), (1, bags[b] - bags[a], bags[a]))
+                             for x, n in d.items() for k in range(low[x], low[x] + n)]
+        rows = [(r.a, r.b, sum(bags[r.a].values()), sum(bags[r.b].values()), sum((bags[r.b] - bags[r.a]).values()), told(r.a, r.b)) for r in pairs.collect()]
+        return frame(rows, "a long, b long, size long, pivot long, missing long, apart array<long>")
+
+    got = {tuple(r) for r in common.open_pairs_by_difference(members, roots, tested, 0.8, differences).collect()}
+    mates = defaultdict(set)
+    for k, i in buckets:
+        mates[k].add(i)
+    wanted = {(max(a, b), min(a, b)) for ids in mates.values() for a in ids for b in ids if a < b and similar(a, b) and root.get(a, a) != root.get(b, b)}
+    assert len(wanted) > 20 and (201, 200) in wanted and wanted <= got | {(a, b) for a, b in stars}
+    assert len(got) < sum(len(x) ** 2 for x in mates.values()) / 8  # far fewer than all pairs
+
+
+def test_differences_of_bags(spark):
+    texts = {1: "a b c d e f g h", 2: "a b c d e f g h a b c d e f", 3: "a b c d e x g h a b c d e", 4: "", 5: "a b c d e a b c d e a b c d e"}
+    rows = spark.createDataFrame(list(texts.items()), "id long, text string")
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts if a > b], "a long, b long")
+    found = {(r.a, r.b): r for r in bagminhash.compared(pairs, rows, bagminhash.SETTINGS, apart=True).collect()}
+    bag = {}
+    for k, text in texts.items():
+        words = text.split()
+        bag[k] = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    size = lambda c: sum(c.values())
+    for (a, b), r in found.items():
+        assert (r.size, r.pivot, r.missing) == (size(bag[a]), size(bag[b]), size(bag[b] - bag[a]))
+        assert len(r.apart) == len(set(r.apart)) == size(bag[a] - bag[b]) + size(bag[b] - bag[a])
+    for a, c in ((2, 3), (2, 5), (3, 5)):  # two texts and one pivot: the formula for what they share
+        one, two = found[a, 1], found[c, 1]
+        assert size(bag[a] & bag[c]) == one.pivot - one.missing - two.missing + len(set(one.apart) & set(two.apart))
