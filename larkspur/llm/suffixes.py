@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.bagminhash import GOLDEN, mix
@@ -182,6 +182,11 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.column_stack([spans[new, 0], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(spans) - 1]]])
 
 
+def _named(docs: DataFrame, key: str) -> Column:
+    """``key`` with a value for null, so that joins find it; a key that has this value is told apart by the text, or has the same spans."""
+    return F.coalesce(F.col(key), F.lit("" if docs.schema[key].dataType.typeName() == "string" else 0).cast(docs.schema[key].dataType))
+
+
 def _anchor_rows(rows: DataFrame, s: Settings) -> DataFrame:
     kind = rows.schema["doc"].dataType.simpleString()
 
@@ -284,10 +289,10 @@ def repeated_spans(docs: DataFrame, key: str, s: Settings = SETTINGS) -> DataFra
     """Spans (doc, row, start, stop) of bytes that a repeated window covers; spans may overlap.
 
     ``row`` is a hash of the text: rows that repeat a key and a text share their
-    spans, and count as places of their own.
+    spans, and count as places of their own. A null key is named by ``_named``.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("doc"), F.xxhash64("text").alias("row"), "text").where(F.octet_length("text") >= s.length)
+    rows = docs.select(_named(docs, key).alias("doc"), F.xxhash64("text").alias("row"), "text").where(F.octet_length("text") >= s.length)
     path = scratch_path(spark, "anchors")
     _anchor_rows(rows, s).write.parquet(path)
     runs = spark.read.parquet(path)
@@ -340,7 +345,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS)
     kind = docs.schema[key].dataType.simpleString()
     lists = repeated_spans(docs, key, s).groupBy("doc", "row").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     lists = cut(lists)
-    rows = docs.select(F.col(key).alias("doc"), F.xxhash64("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("doc"), _named(docs, key).alias("name"), F.xxhash64("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     touched = maybe_in(bitmap_of(lists.select("row").distinct()), F.col("row"))
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     plain = lambda df: df.select(F.col("doc").alias(key), F.octet_length("text").cast("long").alias("n_bytes"), none.alias("spans"), F.encode("text", "utf-8").alias("kept"))
@@ -357,7 +362,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS)
             yield pd.DataFrame(out, columns=[key, "n_bytes", "spans", "kept"])
 
     schema = f"`{key}` {kind}, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept binary"
-    match = (F.col("doc").eqNullSafe(F.col("_doc"))) & (F.col("row") == F.col("_row"))
+    match = (F.col("name") == F.col("_doc")) & (F.col("row") == F.col("_row"))
     named = lists.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), "found")
     some = rows.where(touched).join(named, match, "left")
     changed = some.where("found IS NOT NULL").select("doc", "text", "found").mapInPandas(cut_out, schema)
@@ -366,7 +371,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", s: Settings = SETTINGS)
 
 @llm_query("op4_suffix_array_dedup")
 def op4_suffix_array_dedup(spark, sf_dir):
+    """The contract's columns, and ``repeated``: whether the document loses a passage of ``length`` bytes that is found again."""
     cut_down = remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     return cut_down.select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("repeated"))
