@@ -140,57 +140,6 @@ def open_pairs(rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity:
     return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
 
-def open_pairs_by_difference(
-    rows: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float, differences: Callable[[DataFrame], DataFrame]
-) -> DataFrame | None:
-    """As ``open_pairs``: pairs (a, b) of one bucket that were not tested and can be similar. No pair is dropped.
-
-    ``differences`` takes pairs (a, b) of a member and the least member of its
-    bucket, the pivot, and gives (a, b, size, pivot, missing, apart): the sizes of
-    both sets, how much of the pivot a lacks, and hashes of all elements in which
-    they differ, on either side. Two members with differences D and E from the same
-    pivot P share |P| less what each lacks, plus what D and E share. So sets that
-    are similar, with t = p / q an overlap of p (m + n) / (p + q), must share
-
-        |D & E| >= f(A) + f(B),   f(X) = p |X| / (p + q) + missing(X) - |P| / 2
-
-    differences. This is over 0 unless both are similar to the pivot, and then
-    they are in one component. Copies of one text differ from it in elements that
-    few others have, so these are joined by a prefix filter: of each difference
-    only its rarest elements, so many that two that share enough share one of them.
-    """
-    t = Fraction(str(similarity))
-    p, v = t.numerator, t.numerator + t.denominator
-    members = cut(open_members(rows, roots))
-    if members.isEmpty():
-        return None
-    stars = cut(star_pairs(members))
-    known = cut(members.select("id", "root").distinct())
-    found = differences(stars).join(known.select(F.col("id").alias("a"), F.col("root").alias("mine")), "a").join(
-        known.select(F.col("id").alias("b"), F.col("root").alias("its")), "b")
-    # In units of 1 / 2v, so that nothing is rounded.
-    need = 2 * (p * F.col("size") + v * F.col("missing")) - v * F.col("pivot")
-    found = cut(found.select("a", "b", "mine", (F.col("mine") == F.col("its")).alias("near"), need.alias("need"), F.size("apart").alias("n"), "apart"))
-    least = found.groupBy("b").agg(F.min("need").alias("any"), F.min(F.when(~F.col("near"), F.col("need"))).alias("far"))
-    found = found.join(least, "b")
-    # A member of the pivot's component has partners among the others only.
-    needs = F.greatest(F.lit(1), F.ceil((F.col("need") + F.when(F.col("near"), F.col("far")).otherwise(F.col("any"))) / (2 * v)))
-    found = found.withColumn("prefix", F.col("n") - needs + 1).where("prefix > 0")
-    spread = cut(found.select("a", "b", "mine", "near", "need", "n", "prefix", F.explode("apart").alias("x")))
-    often = spread.groupBy("b", "x").agg(F.count("*").alias("c")).where("c > 1")
-    common = spread.join(often, ["b", "x"]).groupBy("a", "b").agg(
-        F.first(F.struct("mine", "near", "need", "n", "prefix")).alias("m"), F.sort_array(F.collect_list(F.struct("c", "x"))).alias("l"))
-    # Elements that no other member differs in come first; what is left of the prefix are the rarest of the others.
-    left = F.col("m.prefix") - (F.col("m.n") - F.size("l"))
-    rare = common.where(left > 0).select("a", "b", "m.*", F.explode(F.slice("l", F.lit(1), left.cast("int"))).alias("e"))
-    rare = cut(rare.select("b", F.col("e.x").alias("x"), "a", "mine", "near", "need", "n"))
-    other = rare.select(F.col("b").alias("b2"), F.col("x").alias("x2"), *[F.col(c).alias(c + "2") for c in ("a", "mine", "near", "need", "n")])
-    able = (F.col("mine") < F.col("mine2")) & ~(F.col("near") & F.col("near2")) & (F.col("need") + F.col("need2") <= 2 * v * F.least("n", "n2"))
-    pairs = rare.join(other, (F.col("b") == F.col("b2")) & (F.col("x") == F.col("x2")) & able)
-    pairs = pairs.select(F.greatest("a", "a2").alias("a"), F.least("a", "a2").alias("b")).distinct()
-    return cut(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-
-
 #: Bits of a bitmap: 2**23 bits are 1 MB, whatever the number of keys.
 BITS = 23
 
