@@ -100,7 +100,8 @@ def test_distribution_columns_against_exact_values(spark):
     got = spark.createDataFrame([(d,) for d in (1.0, 2.0, 10.0, 500.0, 1e6)] + [(0.0,), (None,)], "df double")
     for level in (0.9, 0.95, 0.99):
         found = got.select("df", ds.t_quantile(level, "df").alias("q")).collect()
-        assert all(r.q == pytest.approx(ds.t_critical(level, r.df), rel=1e-10) for r in found[:-2])
+        # The number form cancels digits of log gamma for many degrees of freedom; the columns do not.
+        assert all(r.q == pytest.approx(ds.t_critical(level, r.df), rel=1e-10 if r.df < 1e4 else 1e-8) for r in found[:-2])
         assert [r.q for r in found[-2:]] == [None, None]
     # Exact: with one degree of freedom the distribution is Cauchy's, with two it is algebraic.
     one = spark.createDataFrame([(3.0,)], "t double").select(ds.t_p_value("t", F.lit(1.0)).alias("a"), ds.t_p_value("t", F.lit(2.0)).alias("b")).first()
