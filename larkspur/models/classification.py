@@ -64,7 +64,7 @@ def elbow(df: DataFrame, ks: Sequence[int], seed: int = 1, features: str = "feat
             model = KMeans(k=k, seed=seed, featuresCol=features).fit(table)
             score = None
             if silhouette:
-                score = float(ClusteringEvaluator(featuresCol=features).evaluate(model.transform(table)))
+                score = silhouette_score(model.transform(table), features)
             rows.append((int(k), float(model.summary.trainingCost), score))
     finally:
         table.unpersist()

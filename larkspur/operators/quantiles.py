@@ -121,13 +121,3 @@ def quantile_table(
     return long.groupBy(*by).agg(*[
         F.max(F.when(F.abs(F.col("prob") - p) < 1e-12, F.col("value"))).alias(name) for name, p in names.items()
     ])
-
-
-def approx_quantile_table(
-    df: DataFrame, column: str, names: dict[str, float], by: Sequence[str] = (), accuracy: int = ACCURACY
-) -> DataFrame:
-    """Sketch-only variant for exploration: one pass, rank error at most ``1/accuracy``."""
-    agg = F.percentile_approx(F.col(column).cast("double"), list(names.values()), accuracy)
-    return df.groupBy(*by).agg(agg.alias("_q")).select(
-        *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)]
-    )
