@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,23 +76,93 @@ def silhouette_score(clustered: DataFrame, features: str = "features") -> float:
     return float(ClusteringEvaluator(metricName="silhouette", featuresCol=features).evaluate(clustered))
 
 
+#: Steps of the walk in ``scattered``; see there.
+WALK = 16
+
+
+def scattered(place: Column, n: int, key: int, rounds: int = 6) -> Column:
+    """A keyed one-to-one map of the positions 1 to ``n`` onto themselves.
+
+    Positions are cells of a grid of a x b cells, a and b near the root of n. In
+    turn, one coordinate is moved around by a hash of the other: each round can be
+    undone, so no two positions meet. The fewer than a cells beyond n are walked
+    over by applying the map again. A walk of ``WALK`` steps is enough for every
+    n up to 256, and beyond that one fails with a chance under n ** -7; it then
+    raises, rather than use a value twice.
+    """
+    a = max(1, math.isqrt(max(n, 1) - 1) + 1)
+    b = max(1, -(-n // a))
+
+    def once(x: Column) -> Column:
+        cell = F.struct((x % a).alias("l"), F.floor(x / a).cast("bigint").alias("r"))
+        turns = F.array(*[F.lit(key * 1_000_003 + i) for i in range(rounds)])
+
+        def turn(c: Column, k: Column) -> Column:
+            left = F.pmod(c["l"] + F.pmod(F.xxhash64(c["r"], k), F.lit(a)), F.lit(a))
+            right = F.pmod(c["r"] + F.pmod(F.xxhash64(left, k, F.lit(1)), F.lit(b)), F.lit(b))
+            return F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r"))
+
+        return F.aggregate(turns, cell, turn, lambda c: c["l"] + c["r"] * a)
+
+    walked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)), F.lit(-1).cast("bigint"),
+        lambda x, i: F.when(i == 1, once(place.cast("bigint") - 1)).when(x >= n, once(x)).otherwise(x))
+    return F.transform(F.array(walked), lambda x: F.when(x < n, x + 1).otherwise(
+        F.raise_error(F.lit("no position found; use another key")).cast("bigint")))[0]
+
+
+def shuffled_features(placed: DataFrame, features: Sequence[str], n: int, seed: int = 123, place: str = "_place") -> DataFrame:
+    """(place, _moved): per position the features' values of other rows, as array<double>, each feature moved by a key of its own.
+
+    Every value is used exactly once. One shuffle, whatever the number of features.
+    """
+    cells = F.array(*[
+        F.struct(scattered(F.col(place), n, seed + i).alias("at"), F.lit(i).alias("i"), F.col(f).cast("double").alias("v"))
+        for i, f in enumerate(features)])
+    spread = placed.select(F.explode(cells).alias("c")).select(F.col("c.at").alias(place), "c.i", "c.v")
+    values = [F.max(F.when(F.col("i") == i, F.col("v"))) for i in range(len(features))]
+    return spread.groupBy(place).agg(F.array(*values).alias("_moved"))
+
+
 def shuffle_importance(
     df: DataFrame, model, features: Sequence[str], label: str, keys: Sequence[str], seed: int = 123
 ) -> DataFrame:
     """Accuracy lost when one feature's values are shuffled among the rows.
 
     ``model`` reads a vector column ``features``. The rows are numbered once in
-    key order; a feature's values, numbered in hash order, are joined back on
-    that position.
+    key order; a bijection of the positions per feature says where a value goes.
+    One join brings all moved values to their rows, and one scan scores the rows
+    as they are and with each feature replaced. Rows with a null feature are not
+    scored. An empty table gives nulls.
     """
     placed = checkpointed(number_rows(df.select(*keys, *features, label), list(keys), name="_place"))
-    hit = F.avg((F.col("prediction") == F.col(label)).cast("double"))
-    base = model.transform(assemble(placed, features)).agg(hit).first()[0]
+    own = [F.col(f).cast("double") for f in features]
+    both = placed.join(shuffled_features(placed, features, placed.count(), seed), "_place")
+    swaps = [[F.get("_moved", F.lit(i)) if j == i else c for j, c in enumerate(own)] for i in range(len(features))]
+    cases = F.array(*[F.struct(F.lit(i).alias("i"), F.array(*v).alias("x")) for i, v in enumerate([own, *swaps])])
+    rows = both.select(label, F.explode(cases).alias("c")).where(~F.exists("c.x", lambda v: v.isNull()))
+    scored = model.transform(rows.select(label, "c.i", array_to_vector("c.x").alias("features")))
+    found = {r["i"]: r["a"] for r in scored.groupBy("i").agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")).collect()}
+    base = found.get(0)
+    table = [(f, float(base - found[i + 1]) if base is not None and i + 1 in found else None) for i, f in enumerate(features)]
+    return df.sparkSession.createDataFrame(table, "feature string, accuracy_loss double")
+
+
+def refit_on_best(
+    train: DataFrame, test: DataFrame, fit: Callable[[DataFrame], object], ranked: DataFrame, label: str, best: Sequence[int],
+    feature: str = "feature", weight: str = "accuracy_loss",
+) -> DataFrame:
+    """Models of the first few features only: (n_features, names, accuracy, error_rate) on ``test``, a row for each number in ``best``.
+
+    ``ranked`` holds a row for each feature; the heaviest come first, ties by
+    name. ``fit`` gets a table of ``features`` and ``label`` and returns a model.
+    """
+    order = [r[feature] for r in ranked.orderBy(F.col(weight).desc_nulls_last(), feature).select(feature).collect()]
     rows = []
-    for i, feature in enumerate(features):
-        order = [F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + i)), *[F.col(k) for k in keys]]
-        moved = number_rows(placed.select(*keys, F.col(feature).alias("_moved")), order, name="_place")
-        mixed = placed.drop(feature).join(moved.select("_place", F.col("_moved").alias(feature)), "_place")
-        accuracy = model.transform(assemble(mixed, features)).agg(hit).first()[0]
-        rows.append((feature, float(base - accuracy)))
-    return df.sparkSession.createDataFrame(rows, "feature string, accuracy_loss double")
+    for n in best:
+        names = order[:n]
+        model = fit(assemble(train, names).select("features", label))
+        hit = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+        accuracy = model.transform(assemble(test, names)).agg(hit).first()[0]
+        rows.append((len(names), ",".join(names), accuracy, None if accuracy is None else 1 - accuracy))
+    return train.sparkSession.createDataFrame(rows, "n_features int, names string, accuracy double, error_rate double")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.distributions import normal_cdf, t_p_value, t_quantile
+from larkspur.functions.gram import cross_products, gather
 from larkspur.operators.aggregates import correlation_matrix
 
 
@@ -83,6 +84,48 @@ def variance_inflation(df: DataFrame, predictors: Sequence[str]) -> DataFrame:
     )
 
 
+def generalised_inflation(df: DataFrame, terms: Mapping[str, Sequence[str]], weight: Column | None = None) -> DataFrame:
+    """Inflation of each term of a model with an intercept: (term, df, gvif, gvif_scaled).
+
+    A term is one numeric column or the 0/1 columns of a factor (without its first
+    level). ``weight`` is what a row adds to the information matrix, p (1 - p) for
+    a logit; without it the model is linear. The factor is det(own block) *
+    det(block of the others) / det(all), and ``gvif_scaled`` its 2 df-th root,
+    which compares terms of different width. Rows with a null anywhere are left
+    out. Where a term is a sum of others, or does not vary, factors are null.
+    Only columns squared numbers reach the driver.
+    """
+    columns = list(dict.fromkeys(c for group in terms.values() for c in group))
+    weight = F.lit(1.0) if weight is None else weight.cast("double")
+    used = df.select(weight.alias("_w"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]).dropna()
+    names = [f"_x{i}" for i in range(len(columns))]
+    # About the weighted means first: sums about zero would lose digits.
+    means = used.agg(*[F.try_divide(F.sum(F.col(c) * F.col("_w")), F.sum("_w")).alias(c) for c in names]).first()
+    schema = "term string, df int, gvif double, gvif_scaled double"
+    if not columns or means[0] is None:
+        return df.sparkSession.createDataFrame([], schema)
+    scaled = used.select(*[((F.col(c) - means[c]) * F.sqrt("_w")).alias(c) for c in names], F.sqrt("_w").alias("_w"))
+    p = gather(cross_products(scaled, [*names, "_w"]))[()]
+    full = p.gram + p.n * np.outer(p.mean, p.mean)
+    matrix = full[:-1, :-1] - np.outer(full[:-1, -1], full[-1, :-1]) / full[-1, -1]
+    spread = np.sqrt(np.clip(np.diag(matrix), 0, None))
+    unit = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1), 0.0)
+    matrix = matrix * np.outer(unit, unit)
+
+    def log_det(at: Sequence[int]) -> float:
+        sign, value = np.linalg.slogdet(matrix[np.ix_(at, at)]) if len(at) else (1.0, 0.0)
+        return float(value) if sign > 0 and value > -27.0 * max(len(at), 1) else float("nan")
+
+    rows, everything = [], log_det(range(len(columns)))
+    for term, group in terms.items():
+        own = [columns.index(c) for c in dict.fromkeys(group)]
+        rest = [i for i in range(len(columns)) if i not in own]
+        log = log_det(own) + log_det(rest) - everything
+        known = not np.isnan(log)
+        rows.append((term, len(own), float(np.exp(log)) if known else None, float(np.exp(log / (2 * len(own)))) if known else None))
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def logit_fit_measures(df: DataFrame, label: str, probability: str, rank: int) -> DataFrame:
     """Fit measures of a logit model from labels and fitted probabilities.
 

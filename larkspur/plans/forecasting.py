@@ -118,6 +118,15 @@ def trend_with_given_changepoints(t):
     return _dated(co.round_columns(tr.predict(ca.extend(series, "ds", 53, 7), tr.fit(series, shape), shape), 2))
 
 
+@query("Y11", "Y12")
+def trend_changes(t):
+    """The changes of slope that remain of 25 candidates, per priority, next to the fit's size."""
+    series = weekly_by_priority(t)
+    shape = tr.Shape(weekly=0, sparse=True)
+    found = tr.changes(tr.fit(series, shape, BY), shape, BY)
+    return _dated(co.round_columns(found, 4))
+
+
 @query("Y13", "P10")
 def saturating_trend(t):
     counts = t.events.groupBy("event_type", F.to_date("ts").alias("ds")).agg(F.count(F.lit(1)).cast("double").alias("y"))

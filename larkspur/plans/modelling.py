@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from larkspur.functions import gram as gm
 from larkspur.functions.distributions import t_p_value_sql
 from larkspur.models import classification as cl
+from larkspur.models import extra_trees as et
 from larkspur.models import features as fe
 from larkspur.models import penalised as pn
 from larkspur.models import regression as rg
@@ -16,7 +19,7 @@ from larkspur.operators import columns as co
 from larkspur.operators import rows as ro
 from larkspur.operators import sampling as sa
 from larkspur.operators import stats as st
-from larkspur.operators.ranking import top_n
+from larkspur.operators.ranking import number_rows, top_n
 from larkspur.plans.registry import query
 from larkspur.session import checkpointed
 
@@ -196,6 +199,34 @@ def model_comparison(t):
     return co.round_columns(results, 6)
 
 
+@query("L9", "M8")
+def extra_trees_errors(t):
+    """Test error of trees with thresholds drawn at random."""
+    train, test = charge_sides(t)
+    model = et.extra_trees(train, trees=10, depth=8, seed=123)
+    return co.round_columns(st.error_metrics(model.transform(test), "label", "prediction"), 6)
+
+
+#: Ranges of the features over all rows: what the first node of a tree draws its threshold from.
+RANGE_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, min({c}) AS low, max({c}) AS high, sum({c}) AS total, count(*) AS n FROM lineitem" for c in PREDICTORS)
+
+
+@query("L9", sql=f"""
+    SELECT feature, true AS inside, n::BIGINT AS n FROM ({RANGE_SQL})""")
+def extra_trees_first_splits(t):
+    """Per feature, whether every first split of it lies inside its range, and the rows it was drawn from."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    ready = checkpointed(fe.assemble(t.lineitem.select(*PREDICTORS, charge.alias("label")), PREDICTORS))
+    found = [et.splits(t.spark, et.extra_trees(fe.assemble(ready.drop("features"), [c]), trees=4, depth=1, seed=7), [c]) for c in PREDICTORS]
+    roots = reduce(lambda a, b: a.unionByName(b), found).where("node = 0")
+    ranges = ready.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.count(c).alias("n")).alias(c) for c in PREDICTORS])
+    table = ranges.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in PREDICTORS])).alias("s"))
+    table = table.select("s.feature", "s.r.low", "s.r.high", "s.r.n")
+    judged = roots.join(table, "feature").groupBy("feature", "n").agg(F.bool_and((F.col("threshold") >= F.col("low")) & (F.col("threshold") < F.col("high"))).alias("inside"))
+    return judged.select("feature", "inside", "n")
+
+
 @query("L7")
 def forest_importances(t):
     train, _ = charge_sides(t)
@@ -315,6 +346,31 @@ def quality_shuffle_importance(t):
     return cl.shuffle_importance(known, model, DOC_FEATURES, "quality", ["doc_id"])
 
 
+@query("L21", "P15", sql="""
+    SELECT count(*) AS n, count(*) AS positions, 1 AS first, count(*) AS last, sum(l_quantity)::DOUBLE AS quantity,
+      round(sum(l_extendedprice), 2) AS price FROM lineitem""")
+def shuffled_lines_keep_their_values(t):
+    """Both columns after their values changed rows: every position is met once and no value is lost."""
+    placed = checkpointed(number_rows(t.lineitem.select(*KEYS, "l_quantity", "l_extendedprice"), KEYS, name="_place"))
+    moved = cl.shuffled_features(placed, ["l_quantity", "l_extendedprice"], placed.count(), seed=5)
+    return moved.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_place").alias("positions"), F.min("_place").cast("int").alias("first"), F.max("_place").alias("last"),
+        F.sum(F.col("_moved")[0]).alias("quantity"), F.round(F.sum(F.col("_moved")[1]), 2).alias("price"))
+
+
+@query("L21", "L7", "M7")
+def quality_refit_on_best(t):
+    """Forests on the two and three features whose shuffling costs most, and on all, with their test errors."""
+    train, test = sa.split_by_key(checkpointed(labelled_features(t)), ["doc_id"], 0.8, seed=123)
+    train, test = checkpointed(train), checkpointed(test)
+    forest = cl.forest_classifier(trees=20, depth=5, labelCol="quality")
+    fit = lambda table: forest.fit(table.withColumnRenamed("label", "quality"))
+    named = lambda df: df.withColumn("label", F.col("quality").cast("double"))
+    model = forest.fit(fe.assemble(train, DOC_FEATURES).select("features", "quality"))
+    ranked = cl.shuffle_importance(train, model, DOC_FEATURES, "quality", ["doc_id"])
+    return co.round_columns(cl.refit_on_best(named(train), named(test), fit, ranked, "label", [2, 3, len(DOC_FEATURES)]), 6)
+
+
 @query("L13", "A13", "M7")
 def embedding_network_report(t):
     ready = t.embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from larkspur.functions.distributions import normal_share_sql, t_p_value_sql
+from larkspur.models.features import dummies
 from larkspur.operators import aggregates as ag
 from larkspur.operators import columns as co
 from larkspur.operators import stats as st
-from larkspur.functions.distributions import normal_share_sql, t_p_value_sql
 from larkspur.plans.registry import query
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -155,6 +156,27 @@ def scored_labels(t):
     return joined.select(F.col("quality").alias("y"), (1 / (1 + F.exp(-eta))).alias("p"))
 
 
+# With two terms both have the same factor, and it is what the levels leave unexplained of the number:
+# its weighted squares about the mean over those about the mean of its level.
+@query("M5", "E3", sql=f"""
+    WITH s AS (SELECT ln(1 + n_chars) AS x, lang, p * (1 - p) AS w FROM (SELECT n_chars, lang, 1 / (1 + exp(-(0.8 - 0.0004 * n_chars + 0.5 * (lang = 'en')::INT))) AS p
+      FROM labels JOIN documents USING (doc_id)) WHERE lang IS NOT NULL),
+    l AS (SELECT lang, sum(w) AS sw, sum(w * x) / sum(w) AS m FROM s GROUP BY lang),
+    g AS (SELECT sum(w * x) / sum(w) AS m, count(DISTINCT lang) - 1 AS k FROM s),
+    f AS (SELECT sum(w * pow(x - g.m, 2)) / sum(w * pow(x - l.m, 2)) AS v, any_value(g.k) AS k FROM s JOIN l USING (lang), g)
+    SELECT 'lang' AS term, k::INT AS df, round(v, 6) AS gvif, round(pow(v, 1 / (2.0 * k)), 6) AS gvif_scaled FROM f
+    UNION ALL SELECT 'log_chars', 1, round(v, 6), round(sqrt(v), 6) FROM f""")
+def label_term_inflation(t):
+    """Inflation of a factor and a number in a logit, weighted by its information matrix."""
+    joined = t.labels.join(t.documents.select("doc_id", "n_chars", "lang"), "doc_id").where(F.col("lang").isNotNull())
+    eta = 0.8 - 0.0004 * F.col("n_chars") + 0.5 * (F.col("lang") == "en").cast("int")
+    p = 1 / (1 + F.exp(-eta))
+    base = joined.select(F.log(1 + F.col("n_chars")).alias("log_chars"), "lang", (p * (1 - p)).alias("w"))
+    flags = dummies(base, ["lang"], drop_first=True)
+    terms = {"lang": [c for c in flags.columns if c.startswith("lang_")], "log_chars": ["log_chars"]}
+    return co.round_columns(st.generalised_inflation(flags, terms, F.col("w")), 6)
+
+
 @query("M6", "X4", sql=f"""
     WITH s AS (SELECT count(*)::DOUBLE AS n, avg(y) AS base, sum(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END) AS ll,
       var_pop(ln(p / (1 - p))) * count(*) AS spread, sum(pow(y - p, 2)) AS residual, var_pop(y) * count(*) AS total,

@@ -3,6 +3,7 @@
 A piecewise-linear trend and Fourier terms are columns; their weights are
 fitted per series by ridge regression, where the penalties play the part of the
 priors on changepoints and seasons. Capacity-limited growth fits the logit.
+With ``Shape(sparse=True)`` changes are penalised by their size, so that few remain.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.linalg import solve_normal_equations
+from larkspur.models.penalised import coordinate_descent
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,8 @@ class Shape:
     changepoint_scale: float = 0.05
     season_scale: float = 10.0
     capacity: float | None = None
+    #: Penalise the size of a change, not its square: most changepoints then get no change at all.
+    sparse: bool = False
 
     @property
     def hinges(self) -> int:
@@ -86,14 +90,52 @@ def _fit_series(shape: Shape):
         line = np.polyfit(rows[:, 1], target, 1) if len(target) > 2 else [0.0, target.mean()]
         noise = max(float(np.var(target - np.polyval(line, rows[:, 1]))), 1e-12)
         penalty = shape.penalties(noise)
-        coef = solve_normal_equations(gram, moment, float(target @ target), len(target), penalty)[0]
+        if shape.sparse:
+            coef = _sparse_weights(gram, moment, float(target @ target), shape, noise)
+        else:
+            coef = solve_normal_equations(gram, moment, float(target @ target), len(target), penalty)[0]
         if shape.capacity is not None:
-            coef = _saturating(rows, raw.to_numpy(dtype=float), coef, penalty, shape.capacity, float(scale.iloc[0]))
+            coef = _bounded(rows, raw.to_numpy(dtype=float), coef, penalty, shape, float(scale.iloc[0]))
         return coef.tolist()
 
     return run
 
 
+def _sparse_weights(gram: np.ndarray, moment: np.ndarray, squares: float, shape: Shape, noise: float) -> np.ndarray:
+    """Weights with the changes at the hinges under a penalty on their sizes, the others under a ridge.
+
+    The ridge part has a closed form and is eliminated; what is left is a lasso in
+    the hinges only, on cross products. Each change is measured in its own first
+    estimate, so that real ones are hardly shrunk and do not call their neighbours
+    in. At the default ``changepoint_scale`` a change of its own remains if it is
+    beyond sqrt(2 log(n * hinges)) standard errors.
+    """
+    n, h = float(gram[0, 0]), shape.hinges
+    hinges, rest = slice(2, 2 + h), [0, 1, *range(2 + h, shape.width)]
+    inner = gram[np.ix_(rest, rest)] + np.diag(shape.penalties(noise)[rest] + 1e-12 * np.trace(gram))
+    across = gram[hinges, rest]
+    solved = np.linalg.solve(inner, np.column_stack([across.T, moment[rest]]))
+    own, pull = gram[hinges, hinges] - across @ solved[:, :-1], moment[hinges] - across @ solved[:, -1]
+    first = np.linalg.solve(own + (1e-10 * np.trace(own) + 1e-300) * np.eye(h), pull)
+    if n > shape.width:
+        noise = max((squares - float(moment[rest] @ solved[:, -1]) - float(first @ pull)) / (n - shape.width), 1e-12)
+    weight = 2 * noise * math.log(max(n * h, 2.0)) * 0.05 / shape.changepoint_scale
+    change = first * coordinate_descent(own * np.outer(first, first), pull * first, weight, 0.0, np.zeros(h), tolerance=1e-9, sweeps=3000)
+    out = np.zeros(shape.width)
+    out[hinges], out[rest] = change, solved[:, -1] - solved[:, :-1] @ change
+    return out
+
+
+def _bounded(x: np.ndarray, y: np.ndarray, coef: np.ndarray, penalty: np.ndarray, shape: Shape, scale: float) -> np.ndarray:
+    """``_saturating`` from ``coef``; a sparse shape keeps the hinges that ``coef`` has."""
+    used = np.ones(len(coef), dtype=bool)
+    if shape.sparse:
+        used[2 : 2 + shape.hinges] = coef[2 : 2 + shape.hinges] != 0
+    out = np.zeros(len(coef))
+    out[used] = _saturating(x[:, used], y, coef[used], penalty[used], shape.capacity, scale)
+    return out
+
+
 def _saturating(x: np.ndarray, y: np.ndarray, coef: np.ndarray, penalty: np.ndarray, capacity: float, scale: float, steps: int = 12) -> np.ndarray:
     """Penalised least squares of ``y`` on ``capacity / (1 + exp(-scale x coef))``, by damped Gauss-Newton steps.
 
@@ -160,6 +202,19 @@ def fit(df: DataFrame, shape: Shape, by: Sequence[str] = ()) -> DataFrame:
     return _with_rows(coefs, spans, by, ["start", "span", "scale"])
 
 
+def changes(fitted: DataFrame, shape: Shape, by: Sequence[str] = ()) -> DataFrame:
+    """(key..., knot, ds, change): what ``fit`` found at every changepoint; change is in units a day of the (linked) series."""
+    if shape.changepoint_dates:
+        dates = F.array(*[F.lit(d).cast("date") for d in shape.changepoint_dates])
+    else:
+        dates = F.transform(
+            F.sequence(F.lit(1), F.lit(max(shape.changepoints, 1))),
+            lambda i: F.date_add("start", F.round(F.col("span") * shape.changepoint_range * i / max(shape.changepoints, 1)).cast("int")))
+    size = F.slice("coef", 3, shape.hinges)
+    rows = fitted.select(*by, "scale", "span", dates.alias("_d"), F.posexplode(size).alias("knot", "_c"))
+    return rows.select(*by, "knot", F.get("_d", F.col("knot")).alias("ds"), (F.col("_c") * F.col("scale") / F.col("span")).alias("change"))
+
+
 def _dot(x: Column, coef: Column, first: int, width: int) -> Column:
     parts = F.zip_with(F.slice(x, first + 1, width), F.slice(coef, first + 1, width), lambda a, b: a * b)
     return F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
@@ -233,10 +288,13 @@ def origins(days: np.ndarray, y: np.ndarray, shapes: Sequence[Shape], horizon: i
         design = lambda at: np.column_stack([
             np.ones(len(time[at])), time[at] / span, np.maximum(time[at][:, None] - knots, 0.0) / span, waves[at]])  # noqa: B023
         penalties = np.stack([s.penalties(noise) for s in shapes])
-        coefs = np.linalg.solve(gram + penalties[:, None, :] * np.eye(width), np.broadcast_to(moment, (len(shapes), width))[..., None])[..., 0]
+        if shape.sparse:
+            coefs = np.stack([_sparse_weights(gram, moment, float(total[-1, -1]) / scale**2, s, noise) for s in shapes])
+        else:
+            coefs = np.linalg.solve(gram + penalties[:, None, :] * np.eye(width), np.broadcast_to(moment, (len(shapes), width))[..., None])[..., 0]
         if shape.capacity is not None:
             known = design(slice(0, n))
-            coefs = np.stack([_saturating(known, y[:n], c, p, shape.capacity, float(scale)) for c, p in zip(coefs, penalties)])
+            coefs = np.stack([_bounded(known, y[:n], c, p, shape, float(scale)) for c, p in zip(coefs, penalties)])
         said = design(slice(n, end)) @ coefs.T * scale
         if shape.capacity is not None:
             said = shape.capacity / (1 + np.exp(-said))
