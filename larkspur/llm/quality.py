@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import GAP, cut, let, llm_query, table, without, words_of
+from larkspur.operators.ranking import small_side
 
 #: The character classes, each as what is removed from the text in this order; the rest is the last class.
 CLASSES = ["\\p{Ll}+", GAP + "+", "\\p{Lu}+", "[0-9]+", "[.,;:!?'\"()-]+"]
@@ -28,8 +29,6 @@ COMMON_WORDS: Mapping[str, str] = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne",
     "es": "de la que el en y a los se del las un por con no una su para es al lo como",
 }
-#: The row of references that stands for every language without one of its own.
-POOLED = "*"
 
 
 @dataclass(frozen=True)
@@ -103,8 +102,8 @@ def _covered(windows: Column, width: int = 5) -> Column:
 
 
 def profiles(docs: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits: Limits = LIMITS) -> DataFrame:
-    """``base_counts`` with base_failed, _lang (the language, or ``*``) and _hits: how often
-    each common word of the language occurs, then all other words. One pass over the texts."""
+    """``base_counts`` with base_failed, _lang and _hits: how often each common word of
+    the language occurs, then all other words (only these where no words are listed). One pass over the texts."""
     dictionary = {lang: words.split() for lang, words in common.items()}
     known = sorted({w for words in dictionary.values() for w in words})
     df = base_counts(docs).withColumn("_found", F.filter("_words", lambda w: w.isin(known))).drop("_words")
@@ -115,7 +114,7 @@ def profiles(docs: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits:
             F.array(*[F.lit(w) for w in words]), lambda w: F.size(F.filter(f, lambda x: x == w)).cast("double")))
         hits = F.when(F.col("lang") == lang, each).otherwise(hits)
     return df.withColumns({
-        "_lang": F.when(F.col("lang").isin(list(dictionary)), F.col("lang")).otherwise(POOLED),
+        "_lang": F.col("lang"),
         "_hits": let(hits, lambda h: F.concat(h, F.array(F.col("n_words") - F.aggregate(h, F.lit(0.0), lambda a, x: a + x)))),
         "base_failed": (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")),
     }).drop("_found")
@@ -124,19 +123,16 @@ def profiles(docs: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits:
 def references(profiled: DataFrame, common: Mapping[str, str] = COMMON_WORDS, limits: Limits = LIMITS) -> DataFrame:
     """Shares by language (_ref) from ``profiles``: class_ref and word_ref, array<double>.
 
-    Summed over all documents that pass the base rule; the row ``*`` pools all
-    languages and has no words. Languages with fewer than ``min_reference_words``
-    words have no row. At most one row per language of ``common``, and one.
+    Summed over all documents of a language that pass the base rule, whatever the
+    language: those without listed words have character classes only. Languages
+    with fewer than ``min_reference_words`` words, and null, have no row.
     """
     k, m = len(CLASSES) + 1, max((len(w.split()) for w in common.values()), default=0) + 1
-    sums = profiled.where("NOT base_failed").groupBy("_lang").agg(
+    sums = profiled.where("NOT base_failed AND _lang IS NOT NULL").groupBy("_lang").agg(
         F.sum("n_words").alias("n"), *[F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(k)],
         *[F.sum(F.coalesce(F.get("_hits", F.lit(i)), F.lit(0.0))).alias(f"w{i}") for i in range(m)])
-    names = sums.columns[1:]
-    pooled = sums.agg(*[F.sum(c).alias(c) for c in names]).select(F.lit(POOLED).alias("_lang"), *names)
-    both = sums.where(F.col("_lang") != POOLED).where(F.col("n") >= limits.min_reference_words).unionByName(pooled)
     total = sum((F.col(f"c{i}") for i in range(1, k)), F.col("c0"))
-    return both.select(
+    return sums.where(F.col("n") >= limits.min_reference_words).select(
         F.col("_lang").alias("_ref"), F.array(*[F.try_divide(F.col(f"c{i}"), total) for i in range(k)]).alias("class_ref"),
         F.array(*[F.try_divide(F.col(f"w{i}"), F.col("n")) for i in range(m)]).alias("word_ref"))
 
@@ -158,34 +154,29 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", common: Mapping[str, str
     """Judge every document: key, base counts, base_failed, both distances and kept.
 
     ``docs`` needs ``key``, text and lang; other columns are not read. A document
-    whose language has no reference (null, unlisted or too rare) is held against
-    the pooled characters only. Null and empty texts fail the base rule, as they
-    have no words. Repeated rows are judged alike, one row for each. An empty
-    table gives an empty result.
+    whose language has no reference (null or too rare) is not compared: what it
+    looks like in another language or script says nothing about it. A language
+    without listed words is compared by its characters only. Null and empty texts
+    fail the base rule, as they have no words. Repeated rows are judged alike, one
+    row for each. An empty table gives an empty result.
 
     The texts are read once: what is kept of each is a row of numbers, written to
-    the shared folder, from which references and distances are made.
+    the shared folder, from which references and distances are made. References
+    are a row per language, joined by broadcast if they are counted to be few.
     """
     rows = cut(profiles(docs.select(key, "text", "lang"), common, limits).drop("text", "lang"))
-    refs = references(rows, common, limits).collect()  # at most len(common) + 1 rows
-    shape = [(r["_ref"], [x or 0.0 for x in r["class_ref"]], [x or 0.0 for x in r["word_ref"]]) for r in refs]
-    class_ref = word_ref = F.lit(None).cast("array<double>")
-    for lang, classes, words in shape:
-        if lang == POOLED:
-            class_ref = F.when(F.lit(True), F.array(*map(F.lit, classes)))
-    for lang, classes, words in shape:
-        if lang != POOLED:
-            size = len(common[lang].split())
-            class_ref = F.when(F.col("_lang") == lang, F.array(*map(F.lit, classes))).otherwise(class_ref)
-            word_ref = F.when(F.col("_lang") == lang, F.array(*map(F.lit, words[:size + 1]))).otherwise(word_ref)
+    refs = small_side(cut(references(rows, common, limits)))
+    both = rows.join(refs, F.col("_lang") == F.col("_ref"), "left")
     chars = F.aggregate("_classes", F.lit(0.0), lambda a, x: a + x)
-    judged = rows.withColumns({
-        "class_distance": F.when(chars >= limits.min_class_chars, distance(F.col("_classes"), class_ref)),
-        "word_distance": F.when(F.col("n_words") >= limits.min_common_words, distance(F.col("_hits"), word_ref)),
+    words = F.slice("word_ref", 1, F.size("_hits"))
+    known, listed = F.col("_ref").isNotNull(), F.size("_hits") > 1
+    judged = both.withColumns({
+        "class_distance": F.when(known & (chars >= limits.min_class_chars), distance(F.col("_classes"), F.col("class_ref"))),
+        "word_distance": F.when(known & listed & (F.col("n_words") >= limits.min_common_words), distance(F.col("_hits"), words)),
     })
     near = (F.coalesce("class_distance", F.lit(0.0)) <= limits.max_class_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance)
-    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("_classes", "_hits", "_lang")
+    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("_classes", "_hits", "_lang", "_ref", "class_ref", "word_ref")
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -197,7 +188,7 @@ _JS = "sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) EL
 _SQL = f"""
 WITH dict(lang, i, w) AS (SELECT l, unnest(range(1, len(ws) + 1)), unnest(ws) FROM (SELECT l, string_split(x, ' ') AS ws
     FROM (VALUES {", ".join(f"('{lang}', '{words}')" for lang, words in COMMON_WORDS.items())}) AS v(l, x))),
-d AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN (SELECT lang FROM dict) THEN lang ELSE '*' END AS lang FROM documents),
+d AS (SELECT doc_id, coalesce(text, '') AS t, lang FROM documents),
 w AS (SELECT doc_id, t, lang, list_filter(string_split_regex(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls FROM d),
 win AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
@@ -216,11 +207,9 @@ g AS (SELECT *, regexp_replace(r4, '[.,;:!?''"()-]+', '', 'g') AS r5 FROM f),
 h AS (SELECT *, [length(t) - length(r), length(r) - length(r2), length(r2) - length(r3), length(r3) - length(r4), length(r4) - length(r5), length(r5)] AS cl FROM g),
 cls AS (SELECT doc_id, lang, k, cl[k] AS n, length(t) AS chars, base_failed FROM h, (SELECT unnest(range(1, 7)) AS k)),
 size AS (SELECT lang, sum(n_words) AS n FROM h WHERE NOT base_failed GROUP BY 1),
-csum AS (SELECT lang, k, sum(n) AS n FROM cls WHERE NOT base_failed AND (lang IN (SELECT lang FROM size WHERE n >= {LIMITS.min_reference_words}) AND lang <> '*') GROUP BY 1, 2
-    UNION ALL SELECT '*', k, sum(n) FROM cls WHERE NOT base_failed GROUP BY 2),
+csum AS (SELECT lang, k, sum(n) AS n FROM cls WHERE NOT base_failed AND lang IN (SELECT lang FROM size WHERE n >= {LIMITS.min_reference_words}) GROUP BY 1, 2),
 cref AS (SELECT lang, k, n / sum(n) OVER (PARTITION BY lang) AS q FROM csum),
-cdist AS (SELECT doc_id, {_JS} AS x FROM (SELECT doc_id, n / chars AS p, q FROM cls JOIN cref ON cref.k = cls.k
-    AND cref.lang = CASE WHEN cls.lang IN (SELECT lang FROM cref) THEN cls.lang ELSE '*' END WHERE chars >= {LIMITS.min_class_chars}) GROUP BY 1),
+cdist AS (SELECT doc_id, {_JS} AS x FROM (SELECT doc_id, n / chars AS p, q FROM cls JOIN cref USING (lang, k) WHERE chars >= {LIMITS.min_class_chars}) GROUP BY 1),
 uses AS (SELECT doc_id, lang, y AS w, count(*) AS n FROM (SELECT doc_id, lang, unnest(ws) AS y FROM h) GROUP BY 1, 2, 3),
 hit AS (SELECT h.doc_id, h.lang, dict.i, h.n_words, h.base_failed, coalesce(u.n, 0) AS n FROM h JOIN dict USING (lang) LEFT JOIN uses u ON u.doc_id = h.doc_id AND u.w = dict.w),
 hall AS (SELECT * FROM hit UNION ALL SELECT doc_id, lang, 0, n_words, base_failed, n_words - sum(n) FROM hit GROUP BY doc_id, lang, n_words, base_failed),

@@ -69,6 +69,21 @@ def test_divergent_documents_are_rejected(spark):
     assert all(kept[i] for i in range(40)) and not kept[100] and not kept[101]
 
 
+def test_scripts_without_case_are_held_against_their_own(spark):
+    rng = random.Random(3)
+    words = quality.COMMON_WORDS["en"].split()
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    chinese = lambda: "\u3002 ".join("".join(rng.choice(signs) for _ in range(rng.randrange(6, 30))) for _ in range(40))
+    english = lambda: " ".join(rng.choice(words) + rng.choice(["", "s", "ing", "er"]) for _ in range(300))
+    rows = [(i, english(), "en") for i in range(40)] + [(100 + i, chinese(), "zh") for i in range(60)]
+    rows += [(200, chinese(), None), (201, chinese(), "ja"), (202, "one two", None), (300, english(), "zh"), (301, chinese(), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality_rules(df).collect()}
+    assert all(got[i].kept for i in [*range(40), *range(100, 160), 200, 201]) and not got[202].kept
+    assert not got[300].kept and not got[301].kept
+    assert got[200].class_distance is None and got[201].class_distance is None and got[100].word_distance is None
+
+
 def test_distance_is_a_distance(spark):
     df = spark.createDataFrame([([3.0, 1.0], [0.75, 0.25]), ([1.0, 0.0], [0.0, 1.0]), ([0.0, 0.0], [0.5, 0.5])], "c array<double>, r array<double>")
     same, apart, empty = [r[0] for r in df.select(quality.distance(F.col("c"), F.col("r"))).collect()]
