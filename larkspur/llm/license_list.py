@@ -67,28 +67,28 @@ TEXTS: tuple[tuple[str, str], ...] = (
 )
 #: license, digest, length and first characters of the normalised text.
 DIGESTS: tuple[tuple[str, str, int, str], ...] = (
-    ("Apache-2.0", "2896b7e8600dadd8347c7aee41efab7eb63ce6876503ce7c682763193444751d", 9767, "apache license versi"),
-    ("Apache-2.0", "2fc83df0480a54d14eb356acd83e604d65fdf086414a234f21fc77529673ecc4", 8751, "apache license versi"),
-    ("Apache-2.0", "54175bdc6b5fc388f0353ee508dd12752f6e2b1bb9671d9f37ed88cab15411b5", 8723, "apache license versi"),
-    ("Artistic-1.0-Perl", "ddb49d591ecc4f65a223b9f53f330918100c323532a653c090d21b38e35a3a42", 5626, "the artistic license"),
+    ("Apache-2.0", "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b", 9887, "apache license versi"),
+    ("Apache-2.0", "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe", 8871, "apache license versi"),
+    ("Apache-2.0", "6aa661403864282a4d084f1551e8149a5f1a7b5e8b05b6db8e1a8a28d0badc64", 8843, "apache license versi"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702", 5833, "the artistic license"),
     ("CC0-1.0", "6e4a79b7eaf2cdc3879a899ef330c98026c9d697ee87d41a28ac5159e8e53348", 6695, "creative commons leg"),
-    ("GFDL-1.2-only", "37db86be8f16e9b8dfb0d63e1698ad2e07d54f312494c1cb2dbdb4fa37487f0f", 19514, "gnu free documentati"),
-    ("GFDL-1.3-only", "7befa86e5ee53162018d597eee81db6c727f3e64fab4641af93e19deab1807b4", 21882, "gnu free documentati"),
+    ("GFDL-1.2-only", "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60", 19583, "gnu free documentati"),
+    ("GFDL-1.3-only", "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826", 22018, "gnu free documentati"),
     ("GPL-1.0-only", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc", 9415, "gnu general public l"),
     ("GPL-1.0-only", "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70", 9387, "gnu general public l"),
-    ("GPL-1.0-only", "9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c", 11702, "gnu general public l"),
-    ("GPL-2.0-only", "a1e7ba14d8d85807f384435b77f91e925decc43da128311c991c4f2337e44017", 14391, "gnu general public l"),
-    ("GPL-2.0-only", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1", 17053, "gnu general public l"),
-    ("GPL-2.0-only", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999", 14419, "gnu general public l"),
-    ("GPL-3.0-only", "59a779feaae4de539260be3c8adb19c287a771586d211e12d93932777da37349", 33204, "gnu general public l"),
-    ("GPL-3.0-only", "f37d587507fc579524cb06d1130d5899891a978ee008cfc033b3b4d95da28bee", 30738, "gnu general public l"),
-    ("GPL-3.0-only", "f7bb29d9a31c3a1a68ccff0d8d9053350dc0b10b52b62d46d0f2e36a41e32975", 30766, "gnu general public l"),
-    ("LGPL-2.0-only", "b4114daa3dfa52e27e78b2c4e17acd58bf4381e812762f4ded0bcb8eabd1092c", 23874, "gnu library general "),
-    ("LGPL-2.0-only", "e0de5033b5ad2a24c0a1a8b04f09e33038ffa62d2bef7178de2a3c6f5d56f499", 22056, "gnu library general "),
-    ("LGPL-2.0-only", "ff773d8d898dfc51ae2dbf3baa20700673e8ceb153b13d26c525af34a59adf0c", 22084, "gnu library general "),
-    ("LGPL-2.1-only", "294fb9ec58649c7eb0cf90fc2900ac1b28b82fb6da9d40d7599d6b7d399d4d2e", 24961, "gnu lesser general p"),
-    ("LGPL-2.1-only", "963f79d48038eed98d8341c84d8d3b765e99508a738d00654c0112f70a7c370c", 23172, "gnu lesser general p"),
-    ("LGPL-2.1-only", "9bf9c99aeafbdbccd7456a00d574699e3deb41868375496cacbf170be719bebd", 23144, "gnu lesser general p"),
+    ("GPL-1.0-only", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224", 11765, "gnu general public l"),
+    ("GPL-2.0-only", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808", 14455, "gnu general public l"),
+    ("GPL-2.0-only", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821", 17117, "gnu general public l"),
+    ("GPL-2.0-only", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34", 14483, "gnu general public l"),
+    ("GPL-3.0-only", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a", 33406, "gnu general public l"),
+    ("GPL-3.0-only", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191", 30940, "gnu general public l"),
+    ("GPL-3.0-only", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636", 30968, "gnu general public l"),
+    ("LGPL-2.0-only", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908", 24130, "gnu library general "),
+    ("LGPL-2.0-only", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2", 22249, "gnu library general "),
+    ("LGPL-2.0-only", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260", 22277, "gnu library general "),
+    ("LGPL-2.1-only", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891", 25217, "gnu lesser general p"),
+    ("LGPL-2.1-only", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4", 23365, "gnu lesser general p"),
+    ("LGPL-2.1-only", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df", 23337, "gnu lesser general p"),
     ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", 7104, "gnu lesser general p"),
     ("MPL-1.1", "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6", 22447, "mozilla public licen"),
     ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a", 14341, "mozilla public licen"),

@@ -77,13 +77,14 @@ SPELLINGS: Mapping[str, str] = {
 #: Everything in ASCII but letters and digits, and the usual marks outside ASCII; a line break is kept.
 BROADCAST_ROWS = 100_000
 MARKS = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F\\u00A0\\u00A9\\u00AE\\u2010-\\u2015\\u2018-\\u201F\\u2022\\u2026\\u2122]+"
-COPYRIGHT = "(?m)^[ ]*(copyright|all rights reserved|portions copyright|c [0-9]{4})[^\\n]*$"
-#: Copyright lines open with such a word or sign; "c" is what is left of a sign in brackets.
+COPYRIGHT = "(?m)^[ ]*((portions )?(copyright )+([0-9]{4}|yyyy|year |c )|all rights reserved|c [0-9]{4})[^\\n]*$"
+#: Copyright lines open with the word and a sign or a year (or its place in a form), or with the sign and a year; "c" is what is
+#: left of a sign. A line of a licence that is wrapped before the word "copyright" is none.
 
 
 def normal_lines(text: Column) -> Column:
     """The text lower-cased, without marks and copyright lines; line breaks stay."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), MARKS, " ")
+    plain = F.regexp_replace(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("©"), F.lit(" copyright c "))), MARKS, " ")
     return F.regexp_replace(plain, COPYRIGHT, "")
 
 
@@ -158,18 +159,20 @@ def _sql_lines(x: str) -> str:
     marks = MARKS.replace("\\u", "\\x{").replace("]+", "]+")
     for code in ("00A0", "00A9", "00AE", "2010", "2015", "2018", "201F", "2022", "2026", "2122"):
         marks = marks.replace("\\x{" + code, "\\x{" + code + "}")
-    return f"regexp_replace(regexp_replace(lower(coalesce({x}, '')), '{marks}', ' ', 'g'), '{COPYRIGHT}', '', 'g')"
+    return f"regexp_replace(regexp_replace(lower(replace(coalesce({x}, ''), '©', ' copyright c ')), '{marks}', ' ', 'g'), '{COPYRIGHT}', '', 'g')"
 
 
 _SQL = f"""
-WITH known(license, unit) AS (SELECT min(l), u FROM (SELECT l, {_sql_unit(_sql_lines("t"))} AS u
-    FROM (VALUES {", ".join("('%s', '%s')" % (n, t.replace("'", "''")) for n, t in LICENSES)}) AS k(l, t)) GROUP BY u),
+WITH known(license, digest) AS (SELECT min(l), h FROM (
+    SELECT l, sha256({_sql_unit(_sql_lines("t"))}) AS h
+    FROM (VALUES {", ".join("('%s', '%s')" % (n, t.replace("'", "''")) for n, t in LICENSES + TEXTS)}) AS k(l, t)
+    UNION ALL SELECT * FROM (VALUES {", ".join("('%s', '%s')" % row[:2] for row in DIGESTS)}) AS g(l, h)) GROUP BY h),
 d AS (SELECT doc_id, {_sql_lines("text")} AS lines FROM documents),
-whole AS (SELECT doc_id, {_sql_unit("lines")} AS unit FROM d),
-part AS (SELECT doc_id, {_sql_unit("line")} AS unit FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM d)),
-hit AS (SELECT doc_id, list_sort(list(DISTINCT license)) AS notices, count(*) AS n_notices FROM part JOIN known USING (unit) GROUP BY 1)
+whole AS (SELECT doc_id, sha256({_sql_unit("lines")}) AS digest FROM d),
+part AS (SELECT doc_id, sha256({_sql_unit("line")}) AS digest FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM d)),
+hit AS (SELECT doc_id, list_sort(list(DISTINCT license)) AS notices, count(*) AS n_notices FROM part JOIN known USING (digest) GROUP BY 1)
 SELECT doc_id, known.license, coalesce(array_to_string(notices, ' '), '') AS notices, coalesce(n_notices, 0) AS n_notices
-FROM whole LEFT JOIN known USING (unit) LEFT JOIN hit USING (doc_id)"""
+FROM whole LEFT JOIN known USING (digest) LEFT JOIN hit USING (doc_id)"""
 
 
 @llm_query("op5_license_scans", _SQL)

@@ -4,7 +4,9 @@ import hashlib
 import pathlib
 import random
 import re
+import textwrap
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +247,33 @@ OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
     assert all(notices is None or got[i].notices == notices for i, (_, _, notices) in texts.items())
 
 
+def test_windows_with_system_turns_of_any_length_agree_with_the_twin(spark):
+    rng = random.Random(21)
+    rows = []
+    for c in range(12):
+        rows.append((c, 0, "system", "s" * (0, 300, 508, 600, 1500, 5000)[c % 6]))
+        rows += [(c, k, ("user", "assistant")[k % 2], "x|<|y" * rng.randrange(1, 200)) for k in range(1, rng.randrange(2, 30))]
+    rows += [(20, 0, "user", None), (21, 0, "system", "t" * 3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    db = duckdb.connect()
+    db.register("conversations", df.toPandas())
+    want = {r[0]: tuple(r) for r in db.execute(chat._SQL).fetchall() if r[0] >= 0}
+    names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    got = {r.conv_id: tuple(r[n] for n in names) for r in chat.conversation_digests(chat.chat_windows(df)).collect()}
+    assert got == want
+
+
+def test_rewrapped_licences_keep_their_lines_about_copyright(spark):
+    texts = [(n, t) for n, t in licenses.LICENSES + licenses.TEXTS if len(t) > 200]
+    wrap = lambda t, w: "\n".join("\n".join(textwrap.wrap(x, w)) for x in t.split("\n"))
+    rows = [(k * 100 + w, n, head + wrap(t, w)) for k, (n, t) in enumerate(texts) for w in range(60, 101, 2)
+            for head in ("Copyright 2020 A. Body\n© B. Body 2021\n\n",)[: 1 if w % 4 else 0] or ("",)]
+    assert sum("\ncopyright " in x.lower().split("\n\n")[-1] for _, _, x in rows) > 5
+    df = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    got = {r.doc_id: r.license for r in licenses.license_scan(df, licenses.known_digests(spark)).collect()}
+    assert {i: got[i] for i, _, _ in rows} == {i: n for i, n, _ in rows}
+
+
 # Operator 2
 
 def _brute_lines(docs, similarity, width):
