@@ -194,11 +194,15 @@ a AS (SELECT *, CAST(ceil(octet_length(encode(role || text)) / 4) + 4 AS BIGINT)
     length(text) + length(regexp_extract_all(text, '([<\\[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>|<SYS>)'))
     + length(role) + 2 * (length(role) - length(translate(role, '%<[', ''))) + {len(START + HEAD + END)} AS chars FROM c),
 b AS (SELECT *, row_number() OVER w AS place, sum(tokens) OVER (w ROWS UNBOUNDED PRECEDING) AS upto FROM a WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-s AS (SELECT *, (upto - tokens) // {BUDGET.new_tokens} AS x, (upto - 1) // {BUDGET.new_tokens} AS y FROM b),
-g AS (SELECT *, CASE WHEN x = y THEN 2 * x ELSE 2 * x + 1 END AS span FROM s),
-m AS (SELECT *, coalesce(lag(span) OVER w <> span, TRUE) AS starts, lead(span, 1) OVER w AS s1, lead(span, 2) OVER w AS s2, lead(tokens, 1) OVER w AS t1,
-    first_value(CASE WHEN role = 'system' AND tokens <= {BUDGET.system_tokens} THEN chars END) OVER w AS sys FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
-n AS (SELECT *, place = 1 AND role = 'system' AS is_sys FROM m)
+p AS (SELECT *, place = 1 AND role = 'system' AS is_sys, first_value(CASE WHEN role = 'system' THEN tokens END) OVER w AS held,
+    first_value(CASE WHEN role = 'system' THEN chars END) OVER w AS sys FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+l AS (SELECT *, CASE WHEN held > {BUDGET.system_tokens} THEN held ELSE 0 END AS long,
+    greatest({BUDGET.new_tokens} - greatest(coalesce(held, 0) - {BUDGET.system_tokens}, 0), 1) AS cell FROM p),
+s AS (SELECT *, (upto - long - tokens) // cell AS x, (upto - long - 1) // cell AS y FROM l),
+f AS (SELECT *, CASE WHEN x = y THEN 2 * x ELSE 2 * x + 1 END AS own FROM s),
+g AS (SELECT *, CASE WHEN is_sys AND long > 0 THEN coalesce(lead(own) OVER w, 0) ELSE own END AS span FROM f WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+n AS (SELECT *, coalesce(lag(span) OVER w <> span, TRUE) AS starts, lead(span, 1) OVER w AS s1, lead(span, 2) OVER w AS s2, lead(tokens, 1) OVER w AS t1
+    FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY place))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
     sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
