@@ -4,10 +4,11 @@ Every tree sees all rows. A node draws ``tries`` features and, for each, one
 threshold between the least and the greatest value that the feature has in the
 node; of these splits the one that lowers the squared error most is kept. A
 level takes two scans: ranges per (tree, node, feature), then sums on both sides
-of each drawn threshold. Both are summed per batch before they are shuffled, so a
-shuffle carries the nodes of a level, not rows, and a hot value costs no more
-than any other. The driver holds the trees: at most ``trees * 2 ** (depth + 1)``
-nodes.
+of each drawn threshold. The rows are packed once in blocks of some thousand, so
+a scan reads arrays. Both scans are summed per partition before they are
+shuffled, so a shuffle carries the nodes of a level, not rows, and a hot value
+costs no more than any other. The driver holds the trees: at most
+``trees * 2 ** (depth + 1)`` nodes.
 """
 
 from __future__ import annotations
@@ -18,12 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.session import checkpointed
 
+BLOCKS = "n long, k int, total double, x binary, y binary"
+#: A task holds so many numbers of its nodes before it hands them on.
+HELD = 1 << 21
 RANGES = "tree int, node int, feature int, low double, high double"
 SUMS = "tree int, node int, feature int, n double, total double, n_left double, left double"
 
@@ -38,11 +43,13 @@ class Trees:
 
     def place(self, x: np.ndarray, tree: int, levels: int) -> np.ndarray:
         """The node that every row of ``x`` reaches after at most ``levels`` splits."""
-        at = np.zeros(len(x), dtype=np.int64)
+        n, flat = len(x), x.ravel(order="F")
+        feature, threshold = self.feature[tree], self.threshold[tree]
+        column = np.maximum(feature, 0) * n
+        at, row = np.zeros(n, dtype=np.int64), np.arange(n)
         for _ in range(levels):
-            f = self.feature[tree, at]
-            right = x[np.arange(len(x)), np.maximum(f, 0)] > self.threshold[tree, at]
-            at = np.where(f < 0, at, 2 * at + 1 + right)
+            right = flat[column[at] + row] > threshold[at]
+            at = np.where(feature[at] < 0, at, 2 * at + 1 + right)
         return at
 
 
@@ -60,7 +67,7 @@ class ExtraTreesModel:
         def answer(values: pd.Series) -> pd.Series:
             out, known = np.full(len(values), np.nan), values.notna().to_numpy()
             if known.any():
-                x = np.stack(values[known].to_list()).astype(float)
+                x = np.asfortranarray(np.stack(values[known].to_list()).astype(float))
                 answers = [trees.value[t, trees.place(x, t, depth)] for t in range(len(trees.value))]
                 out[known] = np.mean(answers, axis=0)
             return pd.Series(out)
@@ -68,10 +75,31 @@ class ExtraTreesModel:
         return df.withColumn(output, answer(F.when(F.col(self.features).isNotNull(), vector_to_array(self.features))))
 
 
-def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _packed(table: DataFrame) -> DataFrame:
+    """The rows (x, y) in blocks, one for each Arrow batch: numbers of rows and features, sum of y, x feature by feature, and y."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x, y = batch.column("x").flatten().to_numpy(zero_copy_only=False), batch.column("y").to_numpy(zero_copy_only=False)
+            if np.ptp(batch.column("x").value_lengths().to_numpy()):
+                raise ValueError("the feature vectors differ in length")
+            k = len(x) // n
+            yield pa.RecordBatch.from_pydict({
+                "n": pa.array([n], pa.int64()), "k": pa.array([k], pa.int32()), "total": pa.array([y.sum()], pa.float64()),
+                "x": pa.array([x.reshape(n, k).T.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
+
+    return table.mapInArrow(run, BLOCKS)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], mean: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y less ``mean``) of each block; x is in Fortran order."""
     for batch in batches:
-        if len(batch):
-            yield np.stack(batch["x"].to_list()).astype(float), batch["y"].to_numpy(dtype=float)
+        for n, k, x, y in zip(*[batch.column(c) for c in ("n", "k", "x", "y")]):
+            shape = (k.as_py(), n.as_py())
+            yield np.frombuffer(x.as_buffer(), dtype=float).reshape(shape).T, np.frombuffer(y.as_buffer(), dtype=float) - mean
 
 
 def _open_rows(trees: Trees, t: int, x: np.ndarray, level: int, growing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,25 +110,49 @@ def _open_rows(trees: Trees, t: int, x: np.ndarray, level: int, growing: np.ndar
     return rows, at[rows] - first
 
 
-def _ranges(table: DataFrame, trees: Trees, level: int, growing: np.ndarray) -> pd.DataFrame:
+def _frame(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
+    """A batch with the columns of ``schema``, of which "int" ones have four bytes."""
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"int": pa.int32(), "double": pa.float64()}
+    return pa.RecordBatch.from_pydict({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns)})
+
+
+def _ranges(blocks: DataFrame, trees: Trees, level: int, growing: np.ndarray, mean: float) -> pd.DataFrame:
     """(tree, node, feature, low, high) of a level's growing nodes."""
+    width = 2**level
 
-    def run(batches):
-        for x, _ in _batches(batches):
+    def handed_on(held: dict) -> Iterator[pa.RecordBatch]:
+        for t, (seen, low, high) in held.items():
+            nodes, k = np.flatnonzero(seen), low.shape[1]
+            yield _frame(RANGES, np.full(len(nodes) * k, t), np.repeat(nodes, k), np.tile(np.arange(k), len(nodes)), low[nodes].ravel(), high[nodes].ravel())
+        held.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+        for x, _ in _unpacked(batches, mean):
+            k = x.shape[1]
             for t in range(len(trees.value)):
                 rows, node = _open_rows(trees, t, x, level, growing)
                 if not len(rows):
                     continue
-                order = np.argsort(node, kind="stable")
-                nodes, starts = np.unique(node[order], return_index=True)
-                sorted_x = x[rows[order]]
-                low, high = np.minimum.reduceat(sorted_x, starts), np.maximum.reduceat(sorted_x, starts)
-                k = x.shape[1]
-                yield pd.DataFrame({
-                    "tree": t, "node": np.repeat(nodes, k), "feature": np.tile(np.arange(k), len(nodes)),
-                    "low": low.ravel(), "high": high.ravel()})
-
-    parts = table.mapInPandas(run, RANGES)
+                if t not in held:
+                    held[t] = np.zeros(width, dtype=bool), np.full((width, k), np.inf), np.full((width, k), -np.inf)
+                seen, low, high = held[t]
+                # Nodes of a level fit two bytes, which are sorted fastest.
+                order = rows[np.argsort(node.astype(np.int16), kind="stable")]
+                counts = np.bincount(node, minlength=width)
+                nodes = np.flatnonzero(counts)
+                starts = (np.cumsum(counts) - counts)[nodes]
+                seen[nodes] = True
+                for j in range(k):
+                    values = x[:, j][order]
+                    low[nodes, j] = np.minimum(low[nodes, j], np.minimum.reduceat(values, starts))
+                    high[nodes, j] = np.maximum(high[nodes, j], np.maximum.reduceat(values, starts))
+                if 2 * len(held) * width * k > HELD:
+                    yield from handed_on(held)
+        yield from handed_on(held)
+
+    parts = blocks.mapInArrow(run, RANGES)
     return parts.groupBy("tree", "node", "feature").agg(F.min("low").alias("low"), F.max("high").alias("high")).toPandas()
 
 
@@ -118,7 +170,7 @@ def _draw(ranges: pd.DataFrame, tries: int, seed: int, level: int) -> dict[tuple
     return drawn
 
 
-def _sums(table: DataFrame, trees: Trees, level: int, growing: np.ndarray, drawn: dict) -> pd.DataFrame:
+def _sums(blocks: DataFrame, trees: Trees, level: int, growing: np.ndarray, drawn: dict, mean: float) -> pd.DataFrame:
     """Row counts and target sums of every drawn split, in all and at or below the threshold."""
     slots = max(len(v) for v in drawn.values())
     width = 2**level
@@ -128,24 +180,37 @@ def _sums(table: DataFrame, trees: Trees, level: int, growing: np.ndarray, drawn
         for s, (f, c) in enumerate(splits):
             feature[tree, node, s], cut[tree, node, s] = f, c
 
-    def run(batches):
-        for x, y in _batches(batches):
+    def handed_on(held: dict) -> Iterator[pa.RecordBatch]:
+        for t, (n, total, n_left, left) in held.items():
+            node, slot = np.nonzero((n > 0)[:, None] & (feature[t] >= 0))
+            yield _frame(SUMS, np.full(len(node), t), node, feature[t, node, slot], n[node], total[node], n_left[node, slot], left[node, slot])
+        held.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+        for x, y in _unpacked(batches, mean):
+            flat = x.ravel(order="F")
             for t in range(len(trees.value)):
                 rows, node = _open_rows(trees, t, x, level, growing)
                 if not len(rows):
                     continue
-                n, total = np.bincount(node, minlength=width), np.bincount(node, y[rows], minlength=width)
+                if t not in held:
+                    held[t] = np.zeros(width), np.zeros(width), np.zeros((width, slots)), np.zeros((width, slots))
+                n, total, n_left, left = held[t]
+                weight = y[rows]
+                n += np.bincount(node, minlength=width)
+                total += np.bincount(node, weight, minlength=width)
                 for s in range(slots):
-                    f = feature[t, node, s]
-                    below = (f >= 0) & (x[rows, np.maximum(f, 0)] <= cut[t, node, s])
-                    n_left = np.bincount(node[below], minlength=width)
-                    left = np.bincount(node[below], y[rows[below]], minlength=width)
-                    used = np.flatnonzero((n > 0) & (feature[t, :, s] >= 0))
-                    yield pd.DataFrame({
-                        "tree": t, "node": used, "feature": feature[t, used, s], "n": n[used].astype(float), "total": total[used],
-                        "n_left": n_left[used].astype(float), "left": left[used]})
-
-    parts = table.mapInPandas(run, SUMS)
+                    f = feature[t, :, s]
+                    below = (f >= 0)[node] & (flat[(np.maximum(f, 0) * len(x))[node] + rows] <= cut[t, :, s][node])
+                    side = 2 * node + below
+                    n_left[:, s] += np.bincount(side, minlength=2 * width)[1::2]
+                    left[:, s] += np.bincount(side, weight, minlength=2 * width)[1::2]
+                if 2 * len(held) * width * (slots + 1) > HELD:
+                    yield from handed_on(held)
+        yield from handed_on(held)
+
+    parts = blocks.mapInArrow(run, SUMS)
     return parts.groupBy("tree", "node", "feature").agg(*[F.sum(c).alias(c) for c in ("n", "total", "n_left", "left")]).toPandas()
 
 
@@ -159,9 +224,9 @@ def extra_trees(
     ``min_rows`` rows are leaves. The draws depend on the seed and a node's place
     only, not on how the rows are laid out. No rows give no model.
     """
-    table = checkpointed(train.where(F.col(features).isNotNull() & F.col(label).isNotNull()).select(
-        vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y")))
-    start = table.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean"), F.max(F.size("x")).alias("k")).first()
+    blocks = checkpointed(_packed(train.where(F.col(features).isNotNull() & F.col(label).isNotNull()).select(
+        vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))))
+    start = blocks.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("k").alias("k")).first()
     if not start["n"]:
         raise ValueError("no rows to fit")
     if not 0 <= depth <= 16:
@@ -169,17 +234,16 @@ def extra_trees(
     size = 2 ** (depth + 1) - 1
     model = Trees(np.full((trees, size), -1), np.zeros((trees, size)), np.zeros((trees, size)))
     # Sums of the target are taken about its mean, which keeps their digits.
-    mean = float(start["mean"])
-    shifted = table.select("x", (F.col("y") - mean).alias("y"))
+    mean = start["total"] / start["n"]
     growing = np.zeros((trees, size), dtype=bool)
     growing[:, 0] = start["n"] >= min_rows
     for level in range(depth):
         if not growing.any():
             break
-        drawn = _draw(_ranges(shifted, model, level, growing), tries or int(start["k"]), seed, level)
+        drawn = _draw(_ranges(blocks, model, level, growing, mean), tries or int(start["k"]), seed, level)
         if not drawn:
             break
-        sums = _sums(shifted, model, level, growing, drawn)
+        sums = _sums(blocks, model, level, growing, drawn, mean)
         growing = _split(model, sums, drawn, level, min_rows)
     model.value += mean
     return ExtraTreesModel(model, depth, features)

@@ -217,8 +217,8 @@ RANGE_SQL = " UNION ALL ".join(
 def extra_trees_first_splits(t):
     """Per feature, whether every first split of it lies inside its range, and the rows it was drawn from."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    ready = checkpointed(fe.assemble(t.lineitem.select(*PREDICTORS, charge.alias("label")), PREDICTORS))
-    found = [et.splits(t.spark, et.extra_trees(fe.assemble(ready.drop("features"), [c]), trees=4, depth=1, seed=7), [c]) for c in PREDICTORS]
+    ready = checkpointed(fe.assemble(t.lineitem.select(*PREDICTORS, charge.alias("label")), PREDICTORS).drop("features"))
+    found = [et.splits(t.spark, et.extra_trees(fe.assemble(ready, [c]), trees=4, depth=1, seed=7), [c]) for c in PREDICTORS]
     roots = reduce(lambda a, b: a.unionByName(b), found).where("node = 0")
     ranges = ready.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.count(c).alias("n")).alias(c) for c in PREDICTORS])
     table = ranges.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in PREDICTORS])).alias("s"))

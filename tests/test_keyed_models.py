@@ -143,3 +143,25 @@ def test_two_planted_breaks_remain_of_twenty(spark):
     grid = [(0.05, 1.0), (0.5, 1.0)]
     scores = tr.rolling_origin(df, shape, grid, 30, 350, 40, ["k"]).collect()
     assert len(scores) == 2 and all(r.rmse < 5 for r in scores)
+
+
+def test_extra_trees_scan_blocks_instead_of_rows(spark, monkeypatch):
+    """The rows are packed once; every scan of a level reads blocks and hands on one row per node, whatever the number of rows."""
+    handed = []
+    packed = et._packed
+
+    def watched(table):
+        out = packed(table)
+        handed.append(out)
+        return out
+
+    monkeypatch.setattr(et, "_packed", watched)
+    ready = _points(spark, n=3000, parts=2)
+    model = et.extra_trees(ready, trees=2, depth=3, seed=9)
+    blocks = handed[0]
+    assert blocks.count() <= 4 and blocks.agg(F.sum("n")).first()[0] == 3000
+    # Handing on after every tree gives the same trees.
+    monkeypatch.setattr(et, "HELD", 1)
+    again = et.extra_trees(ready, trees=2, depth=3, seed=9)
+    assert (model.trees.feature == again.trees.feature).all() and (model.trees.threshold == again.trees.threshold).all()
+    assert again.trees.value == pytest.approx(model.trees.value, rel=1e-9)
