@@ -111,15 +111,21 @@ def scattered(place: Column, n: int, key: int, rounds: int = 6) -> Column:
         F.raise_error(F.lit("no position found; use another key")).cast("bigint")))[0]
 
 
+#: A task of ``shuffled_features`` sorts about so many values to their places.
+CELLS = 500_000
+
+
 def shuffled_features(placed: DataFrame, features: Sequence[str], n: int, seed: int = 123, place: str = "_place") -> DataFrame:
     """(place, _moved): per position the features' values of other rows, as array<double>, each feature moved by a key of its own.
 
-    Every value is used exactly once. One shuffle, whatever the number of features.
+    Every value is used exactly once. One shuffle, whatever the number of features,
+    in tasks of at most about ``CELLS`` values, so that memory does not grow with the table.
     """
     cells = F.array(*[
         F.struct(scattered(F.col(place), n, seed + i).alias("at"), F.lit(i).alias("i"), F.col(f).cast("double").alias("v"))
         for i, f in enumerate(features)])
     spread = placed.select(F.explode(cells).alias("c")).select(F.col("c.at").alias(place), "c.i", "c.v")
+    spread = spread.repartition(max(1, -(-n * len(features) // CELLS)), place)
     values = [F.max(F.when(F.col("i") == i, F.col("v"))) for i in range(len(features))]
     return spread.groupBy(place).agg(F.array(*values).alias("_moved"))
 

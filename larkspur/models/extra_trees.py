@@ -63,14 +63,14 @@ class ExtraTreesModel:
         """Add the mean of the trees' answers; rows without features get null."""
         trees, depth = self.trees, self.depth
 
-        @F.pandas_udf("double")
-        def answer(values: pd.Series) -> pd.Series:
-            out, known = np.full(len(values), np.nan), values.notna().to_numpy()
+        @F.arrow_udf("double")
+        def answer(values: pa.Array) -> pa.Array:
+            known = values.is_valid().to_numpy(zero_copy_only=False)
+            out = np.full(len(values), np.nan)
             if known.any():
-                x = np.asfortranarray(np.stack(values[known].to_list()).astype(float))
-                answers = [trees.value[t, trees.place(x, t, depth)] for t in range(len(trees.value))]
-                out[known] = np.mean(answers, axis=0)
-            return pd.Series(out)
+                x = np.asfortranarray(values.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(known.sum(), -1))
+                out[known] = np.mean([trees.value[t, trees.place(x, t, depth)] for t in range(len(trees.value))], axis=0)
+            return pa.array(out, from_pandas=True)
 
         return df.withColumn(output, answer(F.when(F.col(self.features).isNotNull(), vector_to_array(self.features))))
 

@@ -165,3 +165,40 @@ def test_extra_trees_scan_blocks_instead_of_rows(spark, monkeypatch):
     again = et.extra_trees(ready, trees=2, depth=3, seed=9)
     assert (model.trees.feature == again.trees.feature).all() and (model.trees.threshold == again.trees.threshold).all()
     assert again.trees.value == pytest.approx(model.trees.value, rel=1e-9)
+
+
+def test_extra_trees_score_batches_with_gaps(spark):
+    """Scoring reads whole Arrow arrays; rows without features keep their place."""
+    ready = _points(spark, n=50, parts=1)
+    model = et.extra_trees(ready, trees=2, depth=3, seed=9)
+    gaps = ready.withColumn("features", F.when(F.col("a") < 0.5, F.col("features"))).select("a", "b", "features")
+    got = {(r.a, r.b): r.prediction for r in model.transform(gaps).collect()}
+    for a, b in got:
+        x = np.array([[a, b]])
+        want = np.mean([model.trees.value[t, model.trees.place(x, t, 3)] for t in range(2)])
+        assert got[a, b] == (pytest.approx(want) if a < 0.5 else None)
+
+
+def test_shuffled_features_use_more_tasks_for_more_rows(spark, monkeypatch):
+    """The tasks that put values in their places hold a bounded number of them."""
+    monkeypatch.setattr(cl, "CELLS", 20)
+    placed = spark.range(60).select((F.col("id") + 1).alias("_place"), F.col("id").alias("v"))
+    moved = cl.shuffled_features(placed, ["v", "v"], 60, seed=1)
+    assert moved.rdd.getNumPartitions() == 6
+    rows = moved.collect()
+    assert sorted(r._place for r in rows) == list(range(1, 61))
+    for i in range(2):
+        assert sorted(r._moved[i] for r in rows) == list(range(60))
+
+
+def test_reweighting_predicts_once_a_round_and_keeps_its_trees(spark, monkeypatch):
+    """A cached table is not written again, and every round but the last writes one table."""
+    written = []
+    monkeypatch.setattr(rg, "checkpointed", lambda df: written.append(df.columns) or df.localCheckpoint())
+    ready = _points(spark).select("features", "label")
+    plain = rg.boost_by_reweighting(ready, rounds=3, depth=2)
+    assert len(written) == 3
+    written.clear()
+    cached = rg.boost_by_reweighting(ready.persist(), rounds=3, depth=2)
+    assert len(written) == 2
+    assert cached.votes == pytest.approx(plain.votes) and [t.toDebugString.split("\n")[1:] for t in cached.trees] == [t.toDebugString.split("\n")[1:] for t in plain.trees]
