@@ -125,7 +125,7 @@ def shuffled_features(placed: DataFrame, features: Sequence[str], n: int, seed:
         F.struct(scattered(F.col(place), n, seed + i).alias("at"), F.lit(i).alias("i"), F.col(f).cast("double").alias("v"))
         for i, f in enumerate(features)])
     spread = placed.select(F.explode(cells).alias("c")).select(F.col("c.at").alias(place), "c.i", "c.v")
-    spread = spread.repartition(max(1, -(-n * len(features) // CELLS)), place)
+    spread = spread.repartition(max(8, -(-n * len(features) // CELLS)), place)
     values = [F.max(F.when(F.col("i") == i, F.col("v"))) for i in range(len(features))]
     return spread.groupBy(place).agg(F.array(*values).alias("_moved"))
 

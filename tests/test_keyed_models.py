@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larkspur.models import classification as cl
 from larkspur.models import extra_trees as et
 from larkspur.models import features as fe
+from larkspur.models import regression as rg
 from larkspur.operators import stats as st
 from larkspur.series import trend as tr
 
@@ -181,10 +182,10 @@ def test_extra_trees_score_batches_with_gaps(spark):
 
 def test_shuffled_features_use_more_tasks_for_more_rows(spark, monkeypatch):
     """The tasks that put values in their places hold a bounded number of them."""
-    monkeypatch.setattr(cl, "CELLS", 20)
+    monkeypatch.setattr(cl, "CELLS", 10)
     placed = spark.range(60).select((F.col("id") + 1).alias("_place"), F.col("id").alias("v"))
     moved = cl.shuffled_features(placed, ["v", "v"], 60, seed=1)
-    assert moved.rdd.getNumPartitions() == 6
+    assert moved.rdd.getNumPartitions() == 12
     rows = moved.collect()
     assert sorted(r._place for r in rows) == list(range(1, 61))
     for i in range(2):
