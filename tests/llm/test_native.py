@@ -5,12 +5,13 @@ import pathlib
 import random
 import re
 import textwrap
+from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, common, fuzzylines, licenses, quality, urls
+from larkspur.llm import bagminhash, chat, common, fuzzylines, licenses, quality, urls
 
 
 def test_components_of_chains_stars_and_loops(spark):
@@ -47,6 +48,56 @@ def test_exact_ties_stay_open(spark):
         assert common.open_pairs(rows, frame([], "node long, root long"), tested, 0.8, lambda ids: less).count() == 0
 
 
+def test_crowds_of_near_copies_make_few_pairs_and_lose_no_link(spark):
+    rng = random.Random(7)
+    fresh = lambda: rng.getrandbits(63) - 2**62
+    bases = [[fresh() for _ in range(200)] for _ in range(2)]
+    bases[1][:30] = bases[0][:30]
+    sets = {}
+    for i in range(1, 301):
+        base = list(bases[i % 6 == 0])
+        # The first one is far from the others, so that it links none of them.
+        for _ in range(12 if i == 1 else rng.randrange(7)):
+            at = 5 * rng.randrange(40)
+            base[at:at + 5] = [fresh() for _ in range(5)]
+        sets[i] = set(base)
+    alike = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    links = lambda pairs: {r.node: r.root for r in common.components(frame(pairs, "a long, b long")).collect()}
+    tested = frame([(i, 1, len(sets[i] & sets[1])) for i in sets if i > 1], "a long, b long, overlap long")
+    rows, roots = frame([(5, i) for i in sets] + [(6, i) for i in sets if i % 3], "bucket long, id long"), frame([], "node long, root long")
+    stars = [(i, 1) for i in sets if i > 1 and alike(i, 1)]
+    want = links([(a, b) for a in sets for b in sets if b < a and alike(a, b)])
+    every = frame([(i, h) for i, x in sets.items() for h in x], "id long, h long")
+    plain = lambda ids: common.parity_sketch(every.join(ids, "id", "left_semi")).withColumn("shared", F.col("size"))
+    whole = lambda ids: frame([(i, sorted(x)) for i, x in sets.items()], "id long, set array<long>").join(ids, "id", "left_semi")
+    counts = []
+    for crowd in (1000, 50):
+        got = [tuple(r) for r in common.open_pairs(rows, roots, tested, 0.8, plain, whole, crowd).collect()]
+        assert links([x for x in got if alike(*x)] + stars) == want
+        counts.append(len(got))
+    alike_pairs = sum(alike(a, b) for a in sets for b in sets if 1 < b < a)
+    assert counts[0] < 2 * alike_pairs and counts[1] < 5 * len(sets) < alike_pairs
+
+
+def test_sketches_differ_in_no_more_than_the_bags(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 400))) for _ in range(12)] + ["", "a a a a a a a a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    owner, h, n = bagminhash.bags(texts, 5)
+    bags = [Counter({int(x): int(c) for o, x, c in zip(owner, h, n) if o == i}) for i in range(len(texts))]
+    outline = {r.id: r for r in bagminhash.outlines(docs, bagminhash.SETTINGS).collect()}
+    sets = {r.id: r.set for r in bagminhash.bag_sets(docs, bagminhash.SETTINGS).collect()}
+    again = {r.id: (r.size, r.sketch) for r in common.parity_sketch(spark.createDataFrame(
+        [(i, x) for i, y in sets.items() for x in y], "id long, h long")).collect()}
+    for i, x in enumerate(bags):
+        assert outline[i].size == len(set(sets[i])) == x.total()
+        assert not x or again[i] == (outline[i].size, outline[i].sketch)
+        for j, y in enumerate(bags):
+            differ = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(outline[i].sketch, outline[j].sketch))
+            assert len(set(sets[i]) & set(sets[j])) == (x & y).total() and differ <= x.total() + y.total() - 2 * (x & y).total()
+
+
 # Operator 6
 
 def test_base_counts_by_hand(spark):
