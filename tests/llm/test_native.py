@@ -5,6 +5,7 @@ import pathlib
 import random
 import re
 import textwrap
+import time
 from collections import Counter
 
 import duckdb
@@ -48,6 +49,36 @@ def test_exact_ties_stay_open(spark):
         assert common.open_pairs(rows, frame([], "node long, root long"), tested, 0.8, lambda ids: less).count() == 0
 
 
+def test_members_that_the_stars_settle_are_not_open(spark):
+    rows = spark.createDataFrame([(5, 1), (5, 2), (6, 1), (6, 2), (6, 3), (7, 2), (7, 4), (7, 5)], "bucket long, id long")
+    left = lambda roots: sorted(tuple(r) for r in common.open_members(rows, spark.createDataFrame(roots, "node long, root long")).select("bucket", "id", "root").collect())
+    assert left([]) == [(6, 2, 2), (6, 3, 3), (7, 4, 4), (7, 5, 5)]
+    assert left([(2, 2), (3, 2)]) == [(7, 4, 4), (7, 5, 5)]
+    assert left([(4, 4), (5, 4)]) == [(6, 2, 2), (6, 3, 3)]
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: sum(disk.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(disk.getAllFiles().size()))
+    before = files()
+    kept = common.cut(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and kept.count() == 700
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
+def test_lines_keep_neither_bands_nor_texts(spark):
+    docs = spark.createDataFrame([(i, f"one line that all have\nand one about number {i} and what follows it") for i in range(20)], "doc_id long, text string")
+    gone = fuzzylines.line_groups(docs, "doc_id").collect()
+    folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    left = list(folder.glob("lines-*"))
+    assert gone and left and not list(folder.glob("bands-*")) and not list(folder.glob("texts-*"))
+    assert all("bands" not in spark.read.parquet(str(x)).columns for x in left)
+
+
 def test_crowds_of_near_copies_make_few_pairs_and_lose_no_link(spark):
     rng = random.Random(7)
     fresh = lambda: rng.getrandbits(63) - 2**62
