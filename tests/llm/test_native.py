@@ -430,6 +430,51 @@ def test_recall_of_bands_by_length_and_without_blanks(spark):
     assert len(rows) == 18 and all(r.recall >= 0.95 for r in rows) and sum(r.recall for r in rows) / 18 >= 0.99
 
 
+def test_lines_that_meet_by_chance_are_told_apart_without_their_texts(spark, monkeypatch):
+    rng = random.Random(29)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40)]
+    lines = [" ".join(rng.choice(vocabulary) for _ in range(9 if i % 2 else 40)) for i in range(600)]
+    lines += [line + "x" for line in lines[:30]]
+    compared, whole = [], fuzzylines._compared
+    monkeypatch.setattr(fuzzylines, "_compared", lambda pairs, *rest: (compared.extend(pairs.select("a", "b").collect()), whole(pairs, *rest))[1])
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    gone = {(r.doc, n) for r in fuzzylines.line_groups(df, "doc_id").collect() for n in r.nos}
+    assert gone == {(600 + i, 0) for i in range(30)} == _brute_lines(list(enumerate(lines)), 0.8, 5)
+    assert 30 <= len(compared) <= 60
+
+
+def test_line_sketches_differ_in_no_more_than_the_sets_and_deals_are_the_bands(spark):
+    rng = random.Random(31)
+    pairs = []
+    for length in (1, 4, 5, 9, 60, 68, 70, 84, 90, 300, 2000):
+        for edits in (0, 1, 3, length // 9, length):
+            a = [rng.choice("abcdefghijklmnop ") for _ in range(length)]
+            b = list(a)
+            for at in rng.sample(range(length), min(edits, length)):
+                b[at] = rng.choice("abcdefghijklmnop ")
+            pairs.append(("".join(a), "".join(b)))
+    s = fuzzylines.SETTINGS
+    lines = spark.createDataFrame([(2 * i + j, x) for i, p in enumerate(pairs) for j, x in enumerate(p)], "id long, line string")
+    found = {r.id: r for r in fuzzylines.with_buckets(lines, s).collect()}
+    plain = {r.id: r for r in lines.select("id", F.sort_array(fuzzylines.bands_of(F.col("line"), s)).alias("bands"), fuzzylines.shingle_set(F.col("line"), s.width).alias("set")).collect()}
+    for i in range(len(pairs)):
+        (a, b), (x, y) = [plain[2 * i + j] for j in (0, 1)], [found[2 * i + j] for j in (0, 1)]
+        differ = sum(((v ^ w) & (2**64 - 1)).bit_count() for v, w in zip(x.sketch, y.sketch, strict=True))
+        assert differ <= len(set(a.set) ^ set(b.set)) and (x.size, y.size) == (len(a.set), len(b.set))
+        for r, whole in ((x, a), (y, b)):
+            assert sorted(v for k in range(fuzzylines.DEALS) for v in r[f"bands_{k}"]) == whole.bands
+
+
+def test_crowded_buckets_are_left_whole(spark, monkeypatch):
+    monkeypatch.setattr(fuzzylines, "CROWD", 4)
+    lines = [f"a line of some length that all have but for number {i}" for i in range(12)] + ["nothing of this kind is found anywhere else, at all"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    gone = {(r.doc, n) for r in fuzzylines.line_groups(df, "doc_id").collect() for n in r.nos}
+    assert gone == {(i, 0) for i in range(1, 12)} == _brute_lines(list(enumerate(lines)), 0.8, 5)
+    folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    assert not [x for kind in ("members", "met", "bands", "texts") for x in folder.glob(f"{kind}-*")]
+
+
 def test_lines_of_odd_rows(spark, odd_docs):
     out = fuzzylines.dedup_lines(odd_docs)
     assert out.columns == odd_docs.columns + ["n_lines", "n_removed"]
